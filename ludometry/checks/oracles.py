@@ -322,7 +322,8 @@ SELECT path,
        CASE WHEN kind IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN 'number'
             WHEN kind = 'VARCHAR' THEN 'string' ELSE lower(kind) END AS json_type,
        count(*) AS row_count,
-       min(cast(field AS varchar)) AS example
+       min(CASE WHEN kind = 'DOUBLE' THEN printf('%g', cast(field AS double))
+                ELSE cast(field AS varchar) END) AS example
 FROM fields GROUP BY 1, 2
 """
 

@@ -239,8 +239,7 @@ def events_enriched_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unknown_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = game_events(spark, sf_dir)
-    return enrich.unknown_maps(enrich.with_map_names(events, game_maps(spark, sf_dir)))
+    return enrich.unknown_maps(game_events(spark, sf_dir), game_maps(spark, sf_dir))
 
 
 def map_names(spark: SparkSession, sf_dir: str) -> DataFrame:

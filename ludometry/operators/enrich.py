@@ -18,8 +18,9 @@ def with_map_names(events: DataFrame, maps: DataFrame) -> DataFrame:
     return events.join(maps.select("map_id", "map_name"), "map_id", "left")
 
 
-def unknown_maps(enriched: DataFrame) -> DataFrame:
-    return unresolved(enriched, "map_id", "map_name")
+def unknown_maps(events: DataFrame, maps: DataFrame) -> DataFrame:
+    """Map ids that events name and the maps lack."""
+    return unresolved(events, maps, "map_id", "map_name")
 
 
 def map_names(maps: DataFrame) -> DataFrame:

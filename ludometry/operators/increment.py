@@ -4,47 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stored_among(stored_keys: DataFrame, batch_keys: DataFrame, key: str) -> DataFrame:
-    """The stored keys that also occur in the batch.
-
-    The batch is the small side as a rule. A semi join lets Spark broadcast it
-    when it is, and then the far larger store is scanned but never shuffled.
-    """
-    return stored_keys.join(batch_keys.select(key).distinct(), key, "left_semi").distinct()
+# Most keys that are sent to every executor; some 50 MB of text keys.
+BROADCAST_KEYS = 500_000
 
 
-def new_rows(batch: DataFrame, stored_keys: DataFrame | None, key: str) -> DataFrame:
+def new_rows(
+    batch: DataFrame, stored_keys: DataFrame | None, key: str, batch_rows: int | None = None
+) -> DataFrame:
     """Rows of the batch whose key is not stored; without a store, all of them.
 
+    ``batch_rows``, where the caller has counted them, picks the plan. A small
+    batch is broadcast to the store, which is then scanned and never shuffled;
+    otherwise both sides are shuffled, the store reduced to distinct keys first
+    so that many copies of a key weigh nothing. Either way many copies in the
+    batch can be split by the adaptive skew join.
+
     Null keys never match and so always survive; give keyless rows a
     ``content_key`` first. Copies within the batch are kept.
     """
     if stored_keys is None:
         return batch
-    return batch.join(stored_among(stored_keys, batch, key), key, "left_anti")
+    known = stored_keys
+    if batch_rows is not None and batch_rows <= BROADCAST_KEYS:
+        known = known.join(F.broadcast(batch.select(key).distinct()), key, "left_semi")
+    return batch.join(known.distinct(), key, "left_anti")
 
 
 def unprocessed_keys(source: DataFrame, done_keys: DataFrame, key: str) -> DataFrame:
     """Keys of the source that are not done yet; narrow on both sides."""
-    return source.select(key).filter(F.col(key).isNotNull()).distinct().join(
-        done_keys, key, "left_anti"
+    return (
+        source.select(key)
+        .filter(F.col(key).isNotNull())
+        .distinct()
+        .join(done_keys, key, "left_anti")
     )
 
 
-def unprocessed_rows(source: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of the source with one of the given keys or none at all.
-
-    For a large source that is mostly done: only its keys were compared, and
-    the few that are left are broadcast to its wide rows where they fit.
-    """
-    keyless = source.filter(F.col(key).isNull())
-    return source.join(keys, key, "left_semi").unionByName(keyless)
-
-
 def upsert(stored: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows without those the delta replaces, plus the delta."""
     return stored.join(delta.select(*keys), list(keys), "left_anti").unionByName(delta)
@@ -55,16 +54,10 @@ def watermark(stored: DataFrame, column: str) -> DataFrame:
     return stored.agg(F.coalesce(F.max(column), F.lit(0)).alias("watermark"))
 
 
-def above_watermark(rows: DataFrame, stored: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the largest stored value."""
-    bound = F.broadcast(watermark(stored, column))  # always one row
-    return rows.join(bound, F.col(column) > F.col("watermark"), "left_semi")
-
-
 def in_dates(rows: DataFrame, dates: Sequence, column: str = "event_date") -> DataFrame:
     """Rows of the given days, null among them; prunes the partitions to read."""
     days = [day for day in dates if day is not None]
-    wanted: Column = F.col(column).isin(days)
+    wanted = F.col(column).isin(days)
     if len(days) < len(dates):
         wanted = wanted | F.col(column).isNull()
     return rows.filter(wanted)

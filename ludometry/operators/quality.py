@@ -73,9 +73,14 @@ def one_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     )
 
 
-def unresolved(enriched: DataFrame, key: str, name: str) -> DataFrame:
-    """Distinct non-null keys that found no entry in the dimension."""
-    return enriched.filter(F.col(key).isNotNull() & F.col(name).isNull()).select(key).distinct()
+def unresolved(rows: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct non-null keys without a named entry in the dimension.
+
+    The keys are made distinct before the lookup, so a crowded key is one row.
+    """
+    named = dimension.filter(F.col(name).isNotNull()).select(key)
+    keys = rows.filter(F.col(key).isNotNull()).select(key).distinct()
+    return keys.join(named, key, "left_anti")
 
 
 # Checks return the rows that break them; an empty result passes.

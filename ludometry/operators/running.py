@@ -10,6 +10,7 @@ same numbers for every row.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,12 @@ def running_total(
 
 
 def sliced_running_total(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    name: str,
+    slices: int,
 ) -> DataFrame:
     """The same numbers as :func:`running_total` with no key kept in one task.
 
@@ -45,7 +51,7 @@ def sliced_running_total(
     ensure_checkpoints(rows.sparkSession)
     sliced = (
         rows.withColumn("_value", value)
-        .repartitionByRange(*keys, *order)
+        .repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
         .withColumn("_key", F.struct(*keys))
         .checkpoint()
@@ -69,22 +75,14 @@ def sliced_running_total(
     )
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None where there are none.
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> list[tuple]:
+    """Keys with more than ``hot_rows`` rows, as (key, number of rows).
 
     One map-side-combined count over a single column. The answer holds at most
     ``rows / hot_rows`` keys, which bounds both the driver and the broadcast.
     """
-    found = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(key)
-        .collect()
-    )
-    if not found:
-        return None
-    return rows.sparkSession.createDataFrame(found, rows.select(key).schema)
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return [tuple(row) for row in counted.filter(F.col("_n") > hot_rows).collect()]
 
 
 def per_key(
@@ -93,12 +91,19 @@ def per_key(
     apply: Callable[[DataFrame, RunningTotal], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Run ``apply`` with the plain running total, and with the sliced one on hot keys."""
+    """Run ``apply`` with the plain running total, and with the sliced one on hot keys.
+
+    A slice holds about as many rows as the largest key that is not hot.
+    """
     hot = hot_keys(rows, key, hot_rows)
-    if hot is None:
+    if not hot:
         return apply(rows, running_total)
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    slices = 1 + sum(count for _, count in hot) // hot_rows
+    names = rows.select(F.col(key).alias("_hot"))
+    listed = rows.sparkSession.createDataFrame([(value,) for value, _ in hot], names.schema)
     same = F.col(key).eqNullSafe(F.col("_hot"))
-    ordinary = rows.join(hot, same, "left_anti")
-    heavy = rows.join(hot, same, "left_semi")
-    return apply(ordinary, running_total).unionByName(apply(heavy, sliced_running_total))
+    ordinary = rows.join(F.broadcast(listed), same, "left_anti")
+    heavy = rows.join(F.broadcast(listed), same, "left_semi")
+    return apply(ordinary, running_total).unionByName(
+        apply(heavy, partial(sliced_running_total, slices=slices))
+    )

@@ -47,11 +47,11 @@ def append_new_events(
         return append_partitioned(batch, lake.bronze_events, "event_date")
     # Parsed once and with all fields; the corrupt flags depend on it.
     landing = scratch_path(spark, "bronze-landing")
-    batch.withColumn("_key", content_key("id", PAYLOAD)).write.parquet(landing)
+    arrived = overwrite(batch.withColumn("_key", content_key("id", PAYLOAD)), landing)
     landed = spark.read.parquet(landing)
     if dates is not None:
         stored = in_dates(stored, dates)
-    fresh = new_rows(landed, _stored_keys(stored), "_key").drop("_key")
+    fresh = new_rows(landed, _stored_keys(stored), "_key", arrived).drop("_key")
     return append_partitioned(fresh, lake.bronze_events, "event_date")
 
 

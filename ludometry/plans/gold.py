@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.operators.increment import above_watermark, upsert
+from ludometry.operators.increment import BROADCAST_KEYS, upsert, watermark
 from ludometry.operators.mart import mart_player_stats
 from ludometry.operators.matches import matches
 from ludometry.operators.running import HOT_ROWS
@@ -27,16 +27,20 @@ from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
 def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Matches that finish after the last stored one.
 
-    Ordinals count over the whole history of a player, but only players with
-    a finish beyond the watermark can add a match, so only their history is
-    shuffled.
+    Ordinals count over the whole history of a player, but only players with a
+    finish beyond the watermark can add a match. While those are few enough to
+    send around, only their history is shuffled.
     """
-    finishes = events.filter(F.col("event_type") == MATCH_FINISH).select("user_id", "timestamp")
-    active = above_watermark(
-        finishes.withColumnRenamed("timestamp", "finish_timestamp"), stored, "finish_timestamp"
+    last = watermark(stored, "finish_timestamp").first().watermark
+    active = (
+        events.filter((F.col("event_type") == MATCH_FINISH) & (F.col("timestamp") > last))
+        .select("user_id")
+        .distinct()
     )
-    history = events.join(active.select("user_id").distinct(), "user_id", "left_semi")
-    return above_watermark(matches(history, hot_rows), stored, "finish_timestamp")
+    history = events
+    if active.count() <= BROADCAST_KEYS:
+        history = events.join(F.broadcast(active), "user_id", "left_semi")
+    return matches(history, hot_rows).filter(F.col("finish_timestamp") > last)
 
 
 def update_matches(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludometry.operators.enrich import with_map_names
-from ludometry.operators.increment import in_dates, unprocessed_keys, unprocessed_rows
+from ludometry.operators.increment import BROADCAST_KEYS, in_dates, unprocessed_keys
 from ludometry.operators.normalize import (
     clean_events,
     flatten_events,
@@ -71,22 +71,42 @@ def not_yet_quarantined(rejected: DataFrame, quarantined: DataFrame | None) -> D
     return keyed.join(known, "_digest", "left_anti").drop("_digest")
 
 
-def unprocessed_events(
-    spark: SparkSession, lake: Lake, dates: Sequence | None = None
-) -> DataFrame:
-    """Bronze rows whose id Silver does not hold; rows without id always."""
+def new_events(
+    spark: SparkSession, lake: Lake, dates: Sequence | None = None, at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected events of Bronze whose id Silver does not hold.
+
+    Rows without an id are always among the rejected. Usually Silver holds
+    nearly all of Bronze: then only the ids are compared, and the few new ones
+    are sent to the wide rows. When there are too many to send, the rows are
+    joined with Silver's ids, the accepted ones after their copies are gone.
+    """
     bronze = read_or_empty(spark, lake.bronze_events, BRONZE_EVENT)
     silver = read_table(spark, lake.silver_events, SILVER_EVENT)
     if dates is not None:
         bronze = in_dates(bronze, dates)
         silver = None if silver is None else in_dates(silver, dates)
     if silver is None:
-        return bronze
-    # Both writes below need these keys; pinned, they are found once, before
-    # the first write changes what the tables hold.
+        refined = refine_events(bronze, at)
+        return accepted_events(refined), split(refined)[1]
+
+    done = silver.select("event_id")
+    # Both writes use these ids; pinned, they are found once.
     ensure_checkpoints(spark)
-    done = silver.select(F.col("event_id").alias("id"))
-    return unprocessed_rows(bronze, unprocessed_keys(bronze, done, "id").checkpoint(), "id")
+    fresh = unprocessed_keys(
+        bronze.select(F.col("id").alias("event_id")), done, "event_id"
+    ).checkpoint()
+    if fresh.count() <= BROADCAST_KEYS:
+        sent = F.broadcast(fresh.withColumnRenamed("event_id", "id"))
+        keyless = bronze.filter(F.col("id").isNull())
+        refined = refine_events(bronze.join(sent, "id", "left_semi"), at)
+        rejected = split(refined)[1].unionByName(split(refine_events(keyless, at))[1])
+        return accepted_events(refined), rejected
+    refined = refine_events(bronze, at)
+    return (
+        accepted_events(refined).join(done, "event_id", "left_anti"),
+        split(refined)[1].join(done, "event_id", "left_anti"),
+    )
 
 
 def run_silver(
@@ -97,15 +117,13 @@ def run_silver(
     Bad events are written first. Should the job die in between, the next run
     still finds the good ones, whose ids Silver does not hold yet.
     """
-    refined = refine_events(unprocessed_events(spark, lake, dates), at)
+    accepted, rejected = new_events(spark, lake, dates, at)
     quarantined = read_table(spark, lake.quarantined_events, SILVER_EVENT)
-    rejected = not_yet_quarantined(split(refined)[1], quarantined)
+    rejected = not_yet_quarantined(rejected, quarantined)
     maps = refine_maps(read_or_empty(spark, lake.bronze_maps, BRONZE_MAP), at)
     return {
         "quarantined_events": append_partitioned(rejected, lake.quarantined_events, "event_date"),
-        "valid_events": append_partitioned(
-            accepted_events(refined), lake.silver_events, "event_date"
-        ),
+        "valid_events": append_partitioned(accepted, lake.silver_events, "event_date"),
         "valid_maps": overwrite(accepted_maps(maps), lake.silver_maps),
         "quarantined_maps": overwrite(split(maps)[1], lake.quarantined_maps),
     }
