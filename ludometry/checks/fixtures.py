@@ -1,207 +1,151 @@
 """Game telemetry derived from the driver's tables.
 
-The given ``events`` become game events, ``nation`` gives countries and
-``region`` the maps. Every event row is used. Field ``k`` of ``props`` decides
-the details, among them which raw lines are damaged and how.
+The given ``events`` become game events and ``region`` the maps. Every event
+row is used. Field ``k`` of ``props`` decides the details, among them which raw
+lines are damaged and how.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Values of k that damage a raw line (fixed values, mirrored in the oracle).
-TRUNCATED = 90
-NO_USER = 91
-ZERO_TIME = 92
-BLANK_TYPE = 93
-NO_ID = 94
-TWICE = 95
-TEXT_TIME = 96
-NOT_AN_OBJECT = 97  # only in the flat variant
-
-# Players register on a signup of at least this value; some never do.
-REGISTERING_VALUE = 80
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
-    # Countries of 25 nations; players beyond them have none.
-    nations = _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("long").alias("_nation"), F.upper("n_name").alias("_country")
-    )
-    k = F.get_json_object("props", "$.k").cast("int")
-    # Both sides without a zone, so the session time zone plays no part.
-    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
-    game_type = (
-        F.when((F.col("event_type") == "signup") & (F.col("value") >= REGISTERING_VALUE), "registration")
-        .when(F.col("event_type") == "signup", "tutorial")
-        .when(F.col("event_type") == "error", "session_ping")
-        .when(F.col("event_type") == "view", "match_start")
-        .when(F.col("event_type") == "purchase", "match_finish")
-        .otherwise("other")
-    )
-    return (
-        events.withColumn("k", k)
-        .withColumn("_nation", F.col("user_id") % 26)
-        .join(F.broadcast(nations), "_nation", "left")  # 25 rows at every scale
-        .select(
-            F.col("event_id").cast("string").alias("event_id"),
-            seconds.alias("timestamp"),
-            game_type.alias("event_type"),
-            F.col("user_id").cast("string").alias("user_id"),
-            F.col("_country"),
-            "value",
-            "k",
-        )
-    )
-
-
-def _details(source: DataFrame) -> DataFrame:
-    """The cleaned fields that each type of event carries."""
-    k = F.col("k")
-    registers = F.col("event_type") == "registration"
-    plays = F.col("event_type").isin("match_start", "match_finish")
-    system = F.when(k % 3 == 0, "ios").when(k % 3 == 1, "android").otherwise("web")
-    suffix = F.when(k % 2 == 0, "").otherwise("_x")
-    state = F.when(k % 2 == 0, "started").otherwise("in_progress")
-    won = F.when(F.col("value") >= 20, 1.0).otherwise(0.0)
-    return source.select(
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+REGION = T.StructType(
+    [T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]
+)
+
+# A signup of some value registers its player; some players never do.
+GAME_TYPE = """
+CASE WHEN event_type = 'signup' AND value >= 80 THEN 'registration'
+     WHEN event_type = 'signup' THEN 'tutorial'
+     WHEN event_type = 'error' THEN 'session_ping'
+     WHEN event_type = 'view' THEN 'match_start'
+     WHEN event_type = 'purchase' THEN 'match_finish'
+     ELSE 'other' END"""
+
+# Whole seconds since the epoch. Subtracting two zone-less instants keeps the
+# session time zone out of it.
+SECONDS = "CAST(CAST(ts - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND) AS BIGINT)"
+
+# Players 0 to 24 of every 26 live in the nation of that key; the last has none.
+DETAILS = {
+    "event_id": "CAST(event_id AS STRING)",
+    "timestamp": "seconds",
+    "event_type": "game_type",
+    "user_id": "CAST(user_id AS STRING)",
+    "country": """CASE WHEN game_type = 'registration' AND k >= 10 AND user_id % 26 < 25
+                       THEN concat('NATION_', user_id % 26) END""",
+    "device_os": """CASE WHEN game_type = 'registration'
+                         THEN CASE k % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END
+                    END""",
+    "username": """CASE WHEN game_type = 'registration'
+                        THEN concat('player_', user_id, CASE k % 2 WHEN 0 THEN '' ELSE '_x' END)
+                   END""",
+    "session_state": """CASE WHEN game_type = 'session_ping'
+                             THEN CASE k % 2 WHEN 0 THEN 'started' ELSE 'in_progress' END END""",
+    "map_id": """CASE WHEN game_type IN ('match_start', 'match_finish')
+                      THEN CAST(k % 7 AS STRING) END""",
+    "opponent_id": """CASE WHEN game_type IN ('match_start', 'match_finish')
+                           THEN CAST((k div 7) % 2 AS STRING) END""",
+    "outcome": """CASE WHEN game_type = 'match_finish'
+                       THEN CASE WHEN value >= 20 THEN 1D ELSE 0D END END""",
+}
+
+# Cleaned fields made untidy again. The numbers of k that damage a record:
+# 90 a cut line, 91 no user, 92 second zero, 93 a blank type, 94 no id,
+# 95 the line twice, 96 a text as time, and 97 (profiles only) no object.
+RAW_ID = "CASE WHEN k <> 94 THEN event_id END AS id"
+RAW_TIME = "CASE WHEN k = 92 THEN 0L ELSE timestamp END AS timestamp"
+RAW_TYPE = """CASE WHEN k = 93 THEN '  ' WHEN k % 5 = 0 THEN concat(' ', upper(event_type), ' ')
+                   ELSE event_type END AS event_type"""
+RAW_USER = "CASE WHEN k <> 91 THEN user_id END AS user_id"
+RAW_PROFILE = """concat(' ', lower(country)) AS country,
+                 concat(upper(device_os), ' ') AS device_os,
+                 concat(' ', username, ' ') AS username"""
+RAW_DATA = f"""struct({RAW_PROFILE}, upper(session_state) AS state,
+                      map_id, opponent_id, outcome) AS event_data"""
+
+
+def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned fields that each type of event carries, and k."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr(
         "event_id",
-        "timestamp",
-        "event_type",
+        f"{SECONDS} AS seconds",
+        f"{GAME_TYPE} AS game_type",
         "user_id",
-        F.when(registers & (k >= 10), F.col("_country")).alias("country"),
-        F.when(registers, system).alias("device_os"),
-        F.when(registers, F.concat(F.lit("player_"), "user_id", suffix)).alias("username"),
-        F.when(F.col("event_type") == "session_ping", state).alias("session_state"),
-        F.when(plays, (k % 7).cast("string")).alias("map_id"),
-        F.when(plays, (F.floor(k / 7) % 2).cast("string")).alias("opponent_id"),
-        F.when(F.col("event_type") == "match_finish", won).alias("outcome"),
-        "k",
-    )
+        "value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    ).selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
 
 
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged events, as Silver would give them without any damage."""
-    return _details(_source(spark, sf_dir)).select(
-        "event_id",
-        "timestamp",
-        "event_type",
-        "user_id",
-        "country",
-        "device_os",
-        "username",
-        "session_state",
-        "map_id",
-        "opponent_id",
-        "outcome",
-        F.timestamp_seconds("timestamp").alias("event_timestamp"),
+    return _details(spark, sf_dir).selectExpr(
+        *DETAILS, "timestamp_seconds(timestamp) AS event_timestamp"
     )
 
 
+def _region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(REGION).parquet(f"{sf_dir}/region.parquet")
+
+
 def game_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged maps; map ids 5 and 6 of the events have none."""
-    return _table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").cast("string").alias("map_id"), F.col("r_name").alias("map_name")
+    return _region(spark, sf_dir).selectExpr(
+        "CAST(r_regionkey AS STRING) AS map_id", "r_name AS map_name"
     )
 
 
-def _raw_fields(details: DataFrame) -> dict[str, Column]:
-    """Cleaned fields made untidy again, with null where a defect removes them."""
-    k = F.col("k")
-    untidy_type = F.when(k % 5 == 0, F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")))
-    return {
-        "id": F.when(k != NO_ID, F.col("event_id")),
-        "timestamp": F.when(k == ZERO_TIME, F.lit(0)).otherwise(F.col("timestamp")),
-        "event_type": F.when(k == BLANK_TYPE, "  ").otherwise(
-            F.coalesce(untidy_type, F.col("event_type"))
-        ),
-        "user_id": F.when(k != NO_USER, F.col("user_id")),
-        "country": F.concat(F.lit(" "), F.lower("country")),
-        "device_os": F.concat(F.upper("device_os"), F.lit(" ")),
-        "username": F.concat(F.lit(" "), "username", F.lit(" ")),
-        "state": F.upper("session_state"),
-    }
-
-
-def _damaged(details: DataFrame, line: Column, text_time_line: Column) -> DataFrame:
-    """One text line per event, damaged as ``k`` says, and two for a doubled event."""
-    k = F.col("k")
-    cut = F.concat(F.lit('{"id": "'), "event_id", F.lit('", "timestamp": '))
-    damaged = F.when(k == TRUNCATED, cut).when(k == TEXT_TIME, text_time_line).otherwise(line)
-    times = F.when(k == TWICE, 2).otherwise(1)
-    return details.select(
-        F.explode(F.array_repeat(damaged, times)).alias("value"), F.col("timestamp").alias("_at")
+def _lines(details: DataFrame, nested: str, broken: str) -> DataFrame:
+    """Raw JSON lines (value) with the second of their event (_at).
+
+    ``broken`` names further damage as a CASE branch.
+    """
+
+    def line(time: str) -> str:
+        return f"to_json(struct({RAW_ID}, {time}, {RAW_TYPE}, {RAW_USER}, {nested}))"
+
+    value = f"""CASE WHEN k = 90 THEN concat('{{"id": "', event_id, '", "timestamp": ')
+                     WHEN k = 96 THEN {line("'soon' AS timestamp")}
+                     {broken}
+                     ELSE {line(RAW_TIME)} END"""
+    copies = "CASE WHEN k = 95 THEN 2 ELSE 1 END"
+    return details.selectExpr(
+        f"explode(array_repeat({value}, {copies})) AS value", "timestamp AS _at"
     )
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON lines (value) with the second of their event (_at)."""
-    details = _details(_source(spark, sf_dir))
-    raw = _raw_fields(details)
-
-    def line(timestamp: Column) -> Column:
-        data = F.struct(
-            raw["country"].alias("country"),
-            raw["device_os"].alias("device_os"),
-            raw["username"].alias("username"),
-            raw["state"].alias("state"),
-            "map_id",
-            "opponent_id",
-            "outcome",
-        )
-        return F.to_json(
-            F.struct(
-                raw["id"].alias("id"),
-                timestamp.alias("timestamp"),
-                raw["event_type"].alias("event_type"),
-                raw["user_id"].alias("user_id"),
-                data.alias("event_data"),
-            )
-        )
-
-    return _damaged(details, line(raw["timestamp"]), line(F.lit("soon")))
+    return _lines(_details(spark, sf_dir), RAW_DATA, "")
 
 
 def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON lines of the variant that nests the profile under ``user``."""
-    details = _details(_source(spark, sf_dir))
-    raw = _raw_fields(details)
-    user = F.struct(*[raw[name].alias(name) for name in ("country", "device_os", "username")])
-
-    def line(timestamp: Column) -> Column:
-        return F.to_json(
-            F.struct(
-                raw["id"].alias("id"),
-                timestamp.alias("timestamp"),
-                raw["event_type"].alias("event_type"),
-                raw["user_id"].alias("user_id"),
-                user.alias("user"),
-            )
-        )
-
-    regular = F.when(F.col("k") == NOT_AN_OBJECT, "[1, 2]").otherwise(line(raw["timestamp"]))
-    return _damaged(details, regular, line(F.lit("soon")))
+    """The variant that nests the profile under ``user``."""
+    return _lines(
+        _details(spark, sf_dir), f"struct({RAW_PROFILE}) AS user", "WHEN k = 97 THEN '[1, 2]'"
+    )
 
 
 def map_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map dimension as raw lines, each region also in four damaged shapes."""
-    key = F.col("r_regionkey").cast("string")
-    name = F.concat(F.lit(" "), "r_name", F.lit(" "))
-
-    def line(*fields: Column) -> Column:
-        return F.to_json(F.struct(*fields))
-
-    shapes = F.array(
-        line(key.alias("id"), name.alias("name")),
-        line(key.alias("id"), name.alias("name")),
-        F.concat(F.lit('{"id": "'), key),
-        line(name.alias("name")),
-        line(F.concat(F.lit("blank_"), key).alias("id"), F.lit("  ").alias("name")),
-    )
-    return _table(spark, sf_dir, "region").select(F.explode(shapes).alias("value"))
+    key, name = "CAST(r_regionkey AS STRING)", "concat(' ', r_name, ' ') AS name"
+    whole = f"to_json(struct({key} AS id, {name}))"
+    shapes = [
+        whole,
+        whole,
+        f"""concat('{{"id": "', {key})""",
+        f"to_json(struct({name}))",
+        f"to_json(struct(concat('blank_', {key}) AS id, '  ' AS name))",
+    ]
+    return _region(spark, sf_dir).selectExpr(f"explode(array({', '.join(shapes)})) AS value")

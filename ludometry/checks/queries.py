@@ -44,8 +44,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Second of the cut between a first and a second delivery: 2024-01-20.
 CUT = 1_705_708_800
 
-# Low enough that busy players take the sliced plan at every scale.
-CROWDED = 60
+# Low enough that the busiest players take the sliced plan at every scale: rows
+# of all their events, and of those that make up matches.
+CROWDED_EVENTS = 80
+CROWDED_PLAYS = 40
 
 
 @dataclass(frozen=True)
@@ -253,7 +255,7 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_sessions_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same numbers with busy players cut into slices."""
     events = game_events(spark, sf_dir)
-    return sessions.event_sessions(events, hot_rows=CROWDED).drop("event_timestamp")
+    return sessions.event_sessions(events, hot_rows=CROWDED_EVENTS).drop("event_timestamp")
 
 
 def match_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +272,7 @@ def completed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def completed_matches_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same matches with busy players cut into slices."""
-    return matches.matches(game_events(spark, sf_dir), hot_rows=CROWDED)
+    return matches.matches(game_events(spark, sf_dir), hot_rows=CROWDED_PLAYS)
 
 
 def matches_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
