@@ -438,6 +438,20 @@ FROM game WHERE event_type = 'registration' GROUP BY user_id""",
         _statistics("silver"),
         then=_MART + "ORDER BY t.total_playtime DESC NULLS LAST",
     ),
+    "mart_by_sql": _with(
+        _GAME,
+        _BRONZE,
+        _SILVER,
+        _statistics("silver"),
+        then="""
+SELECT r.user_id, f.fav_map, t.total_playtime, t.total_sessions, count(*) AS starts,
+       max(s.session_number) AS last_session
+FROM registered r
+JOIN totals t ON r.user_id = t.user_id
+JOIN favorites f ON r.user_id = f.user_id
+JOIN starts s ON r.user_id = s.user_id
+GROUP BY ALL""",
+    ),
     "freq_event_type": _with(_GAME, then=_FREQ.format(c="event_type")),
     "freq_country": _with(_GAME, then=_FREQ.format(c="country")),
     "freq_device_os": _with(_GAME, then=_FREQ.format(c="device_os")),

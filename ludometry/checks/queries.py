@@ -24,6 +24,7 @@ from ludometry.operators.increment import upsert
 from ludometry.operators.mart import player_stats
 from ludometry.plans import bronze, flat, gold, silver
 from ludometry.plans.lake import Lake
+from ludometry.plans.views import register_views
 from ludometry.schemas import (
     BRONZE_EVENT,
     BRONZE_MAP,
@@ -337,6 +338,25 @@ def lake_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_date(gold.run_gold(spark, delivery.lake), "registration_date")
 
 
+def mart_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's own SQL over the registered views of a finished lake."""
+    delivery = _Delivery.start(spark, sf_dir)
+    bronze.run_bronze(spark, delivery.lake, delivery.deliver(), delivery.deliver_maps())
+    silver.run_silver(spark, delivery.lake)
+    gold.run_gold(spark, delivery.lake)
+    register_views(spark, delivery.lake)
+    return spark.sql(
+        """
+        SELECT m.user_id, m.fav_map, m.total_playtime, t.total_sessions, count(*) AS starts,
+               max(s.session_number) AS last_session
+        FROM mart_player_stats m
+        JOIN int_user_totals t ON m.user_id = t.user_id
+        JOIN int_match_starts s ON m.user_id = s.user_id
+        GROUP BY ALL
+        """
+    )
+
+
 def freq_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.frequency(game_events(spark, sf_dir), "event_type")
 
@@ -442,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "player_rollup": player_rollup,
     "player_stats": mart,
     "lake_player_stats": lake_player_stats,
+    "mart_by_sql": mart_by_sql,
     "freq_event_type": freq_event_type,
     "freq_country": freq_country,
     "freq_device_os": freq_device_os,

@@ -15,7 +15,7 @@ from ludometry.schemas import BRONZE_EVENT, CORRUPT, RAW_EVENT
 from ludometry.session import scratch_path
 from ludometry.sinks.tables import append_partitioned, overwrite
 from ludometry.sources.jsonlines import read_events, read_maps
-from ludometry.sources.tables import read_table
+from ludometry.sources.tables import discard, read_table
 
 PAYLOAD = [name for name in RAW_EVENT.fieldNames() if name != CORRUPT]
 
@@ -52,7 +52,9 @@ def append_new_events(
     if dates is not None:
         stored = in_dates(stored, dates)
     fresh = new_rows(landed, _stored_keys(stored), "_key", arrived).drop("_key")
-    return append_partitioned(fresh, lake.bronze_events, "event_date")
+    added = append_partitioned(fresh, lake.bronze_events, "event_date")
+    discard(spark, landing)
+    return added
 
 
 def refresh_maps(spark: SparkSession, path: str, lake: Lake) -> int:

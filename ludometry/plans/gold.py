@@ -21,7 +21,7 @@ from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
 from ludometry.session import scratch_path
 from ludometry.sinks.tables import append, overwrite
 from ludometry.sinks.versions import current_path, publish, read_current
-from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
+from ludometry.sources.tables import discard, read_or_empty, stage_events, stage_maps
 
 
 def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -72,6 +72,7 @@ def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
         append(landed, current_path(spark, path))  # nothing to replace: no rewrite
     else:
         publish(upsert(stored, landed, MATCH_KEY), path)
+    discard(spark, landing)
 
 
 def run_gold(

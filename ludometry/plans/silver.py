@@ -51,7 +51,9 @@ def refine_maps(bronze: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 def accepted_events(refined: DataFrame) -> DataFrame:
-    return one_per_key(split(refined)[0], "event_id", EVENT_COPIES)
+    # Valid rows have an id; saying so prunes the scan of rows without one.
+    with_id = refined.filter(F.col("event_id").isNotNull())
+    return one_per_key(split(with_id)[0], "event_id", EVENT_COPIES)
 
 
 def accepted_maps(refined: DataFrame) -> DataFrame:
@@ -98,10 +100,11 @@ def new_events(
     ).checkpoint()
     if fresh.count() <= BROADCAST_KEYS:
         sent = F.broadcast(fresh.withColumnRenamed("event_id", "id"))
-        keyless = bronze.filter(F.col("id").isNull())
-        refined = refine_events(bronze.join(sent, "id", "left_semi"), at)
-        rejected = split(refined)[1].unionByName(split(refine_events(keyless, at))[1])
-        return accepted_events(refined), rejected
+        unseen = bronze.join(sent, "id", "left_semi").unionByName(
+            bronze.filter(F.col("id").isNull())
+        )
+        refined = refine_events(unseen, at)
+        return accepted_events(refined), split(refined)[1]
     refined = refine_events(bronze, at)
     return (
         accepted_events(refined).join(done, "event_id", "left_anti"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ludometry.sources.tables import folder_names
+from ludometry.sources.tables import discard, folder_names
 
 PREFIX = "version="
 
@@ -20,12 +20,17 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name[len(PREFIX) :]) for name in names if name.startswith(PREFIX))
 
 
+def _complete(spark: SparkSession, path: str) -> list[int]:
+    return [
+        number
+        for number in _versions(spark, path)
+        if "_SUCCESS" in folder_names(spark, f"{path}/{PREFIX}{number}")
+    ]
+
+
 def current_path(spark: SparkSession, path: str) -> str | None:
-    for number in reversed(_versions(spark, path)):
-        version = f"{path}/{PREFIX}{number}"
-        if "_SUCCESS" in folder_names(spark, version):
-            return version
-    return None
+    complete = _complete(spark, path)
+    return f"{path}/{PREFIX}{complete[-1]}" if complete else None
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
@@ -39,3 +44,16 @@ def publish(rows: DataFrame, path: str) -> str:
     target = f"{path}/{PREFIX}{every[-1] + 1 if every else 0}"
     rows.write.mode("errorifexists").parquet(target)
     return target
+
+
+def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete versions older than the ``keep`` newest complete ones.
+
+    Two by default, since a running reader may still hold the one before.
+    """
+    complete = _complete(spark, path)
+    if len(complete) < keep:
+        return
+    for number in _versions(spark, path):
+        if number < complete[-keep]:
+            discard(spark, f"{path}/{PREFIX}{number}")

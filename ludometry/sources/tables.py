@@ -8,15 +8,26 @@ from pyspark.sql import types as T
 from ludometry.schemas import STAGED_EVENT, STAGED_MAP
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path as it knows it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str] | None:
     """Names in a folder of any file system Hadoop knows, None where it is absent."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folder = _file_system(spark, path)
     if not files.exists(folder):
         return None
     return [status.getPath().getName() for status in files.listStatus(folder)]
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read."""
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The table with its declared schema, or None where it does not exist yet.
 

@@ -23,7 +23,7 @@ from ludometry.schemas import (
 )
 from ludometry.session import scratch_path, shared_folder
 from ludometry.sinks.tables import append, append_partitioned, overwrite
-from ludometry.sinks.versions import current_path, publish, read_current
+from ludometry.sinks.versions import current_path, prune, publish, read_current
 from ludometry.sources.jsonlines import read_events, read_json_lines
 from ludometry.sources.tables import read_or_empty, read_table, stage_events
 from ludometry.streaming.ingest import ingest_new_files
@@ -453,6 +453,10 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert current_path(spark, table).endswith("version=0")
     assert publish(spark.range(2).select(F.col("id").cast("int")), table).endswith("version=2")
     assert current_path(spark, str(tmp_path / "none")) is None
+    prune(spark, table, keep=3)
+    assert len(list((tmp_path / "t").iterdir())) == 3
+    prune(spark, table, keep=1)
+    assert [path.name for path in (tmp_path / "t").iterdir()] == ["version=2"]
 
 
 def flat_line(event_id, timestamp=5, event_type="x", user_id="u", user=None):
