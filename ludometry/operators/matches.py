@@ -41,7 +41,7 @@ def match_starts(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     def number(rows: DataFrame, total: RunningTotal) -> DataFrame:
         return _with_ordinal(_with_session(rows, total).filter(is_start), GROUP, total)
 
-    return per_key(needed, "user_id", number, hot_rows).select(
+    return per_key(needed, ["user_id"], number, hot_rows).select(
         *GROUP, "session_number", F.col("timestamp").alias("start_timestamp"), "match_number"
     )
 
@@ -52,7 +52,7 @@ def match_finishes(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         *GROUP, *EVENT_ORDER, "outcome"
     )
     return per_key(
-        needed, "user_id", lambda rows, total: _with_ordinal(rows, GROUP, total), hot_rows
+        needed, ["user_id"], lambda rows, total: _with_ordinal(rows, GROUP, total), hot_rows
     ).select(*GROUP, "outcome", F.col("timestamp").alias("finish_timestamp"), "match_number")
 
 
@@ -89,7 +89,7 @@ def matches(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     duration = F.col("finish_timestamp") - F.col("start_timestamp")
     return (
-        per_key(needed, "user_id", pair, hot_rows)
+        per_key(needed, ["user_id"], pair, hot_rows)
         .withColumn("duration", duration)
         .filter(F.col("duration") >= 0)
         .withColumn("is_win", F.when(F.col("outcome") == 1, 1).otherwise(0))

@@ -10,7 +10,6 @@ same numbers for every row.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,35 +74,45 @@ def sliced_running_total(
     )
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> list[tuple]:
-    """Keys with more than ``hot_rows`` rows, as (key, number of rows).
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> list[tuple]:
+    """Keys with more than ``hot_rows`` rows, each with its number of rows last.
 
-    One map-side-combined count over a single column. The answer holds at most
+    One map-side-combined count over the key columns. The answer holds at most
     ``rows / hot_rows`` keys, which bounds both the driver and the broadcast.
     """
-    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return [tuple(row) for row in counted.filter(F.col("_n") > hot_rows).collect()]
 
 
 def per_key(
     rows: DataFrame,
-    key: str,
+    keys: Sequence[str],
     apply: Callable[[DataFrame, RunningTotal], DataFrame],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Run ``apply`` with the plain running total, and with the sliced one on hot keys.
+    """Run ``apply`` with the plain running total, and with a safe one on hot keys.
 
-    A slice holds about as many rows as the largest key that is not hot.
+    The safe one slices the hot keys themselves; totals over finer keys, which
+    may be hot or not, are decided by a count of their own. A slice holds about
+    as many rows as the largest key that is not hot.
     """
-    hot = hot_keys(rows, key, hot_rows)
+    hot = hot_keys(rows, keys, hot_rows)
     if not hot:
         return apply(rows, running_total)
-    slices = 1 + sum(count for _, count in hot) // hot_rows
-    names = rows.select(F.col(key).alias("_hot"))
-    listed = rows.sparkSession.createDataFrame([(value,) for value, _ in hot], names.schema)
-    same = F.col(key).eqNullSafe(F.col("_hot"))
-    ordinary = rows.join(F.broadcast(listed), same, "left_anti")
-    heavy = rows.join(F.broadcast(listed), same, "left_semi")
-    return apply(ordinary, running_total).unionByName(
-        apply(heavy, partial(sliced_running_total, slices=slices))
+    slices = 1 + sum(found[-1] for found in hot) // hot_rows
+
+    def safe_total(
+        part: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str
+    ) -> DataFrame:
+        if list(by) == list(keys):
+            return sliced_running_total(part, by, order, value, name, slices)
+        return per_key(part, by, lambda some, total: total(some, by, order, value, name), hot_rows)
+
+    renamed = rows.select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
+    listed = F.broadcast(
+        rows.sparkSession.createDataFrame([found[:-1] for found in hot], renamed.schema)
     )
+    same = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    ordinary = rows.join(listed, same, "left_anti")
+    heavy = rows.join(listed, same, "left_semi")
+    return apply(ordinary, running_total).unionByName(apply(heavy, safe_total))

@@ -32,7 +32,7 @@ def event_sessions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     flagged = events.withColumn("new_session", opens_session())
     return per_key(
         flagged,
-        "user_id",
+        ["user_id"],
         lambda rows, total: total(
             rows, ["user_id"], EVENT_ORDER, F.col("new_session"), "session_number"
         ),

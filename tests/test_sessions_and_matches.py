@@ -103,8 +103,8 @@ def test_all_plans_agree_with_counting_by_hand(spark, seconds, hot_rows):
 def test_hot_keys_are_counted_exactly(spark):
     events = [event(str(i), 1, "other", "a" if i % 3 else "b") for i in range(30)]
     frame = staged(spark, events)
-    assert hot_keys(frame, "user_id", 10) == [("a", 20)]
-    assert hot_keys(frame, "user_id", 20) == []
+    assert hot_keys(frame, ["user_id"], 10) == [("a", 20)]
+    assert hot_keys(frame, ["user_id"], 20) == []
 
 
 def test_null_player_can_be_hot(spark):
