@@ -48,7 +48,7 @@ CUT = 1_705_708_800
 # Low enough that the busiest players take the sliced plan at every scale: rows
 # of all their events, and of those that make up matches.
 CROWDED_EVENTS = 80
-CROWDED_PLAYS = 40
+CROWDED_PLAYS = 44
 
 
 @dataclass(frozen=True)

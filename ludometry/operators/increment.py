@@ -34,14 +34,9 @@ def new_rows(
     return batch.join(known.distinct(), key, "left_anti")
 
 
-def unprocessed_keys(source: DataFrame, done_keys: DataFrame, key: str) -> DataFrame:
-    """Keys of the source that are not done yet; narrow on both sides."""
-    return (
-        source.select(key)
-        .filter(F.col(key).isNotNull())
-        .distinct()
-        .join(done_keys, key, "left_anti")
-    )
+def unprocessed_keys(keys: DataFrame, done_keys: DataFrame, key: str) -> DataFrame:
+    """Distinct rows of ``keys`` whose key is not done yet; rows without a key never are."""
+    return keys.filter(F.col(key).isNotNull()).distinct().join(done_keys, key, "left_anti")
 
 
 def upsert(stored: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:

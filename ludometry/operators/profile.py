@@ -78,12 +78,6 @@ def _json_kind(schema: Column) -> Column:
     return kind.otherwise(F.lower(schema))
 
 
-def _json_objects(lines: DataFrame, column: str) -> DataFrame:
-    return lines.select(F.try_parse_json(column).alias("line")).filter(
-        F.schema_of_variant("line").startswith("OBJECT")
-    )
-
-
 def raw_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     """Fields of raw JSON lines with type, frequency and an example.
 
@@ -94,9 +88,12 @@ def raw_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     row per field and partition.
     """
     explode = lines.sparkSession.tvf
-    top = _json_objects(lines, column).lateralJoin(
-        explode.variant_explode(F.col("line").outer())
-    ).select(F.col("key").alias("path"), F.col("value").alias("field"))
+    top = (
+        lines.select(F.try_parse_json(column).alias("line"))
+        .lateralJoin(explode.variant_explode(F.col("line").outer()))
+        .filter(F.col("key").isNotNull())  # members of objects, not of arrays
+        .select(F.col("key").alias("path"), F.col("value").alias("field"))
+    )
     inner = top.lateralJoin(
         explode.variant_explode_outer(F.col("field").outer()).toDF(
             "inner_pos", "inner_key", "inner_value"
@@ -129,6 +126,7 @@ def raw_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def merged_raw_schema(lines: DataFrame, column: str = "value") -> DataFrame:
     """The one schema that covers the objects of all lines, as DDL text."""
-    return _json_objects(lines, column).agg(
-        F.schema_of_variant_agg("line").alias("merged_schema")
+    is_object = F.schema_of_variant("line").startswith("OBJECT")
+    return lines.select(F.try_parse_json(column).alias("line")).agg(
+        F.schema_of_variant_agg(F.when(is_object, F.col("line"))).alias("merged_schema")
     )

@@ -23,6 +23,9 @@ from ludometry.session import ensure_checkpoints
 from ludometry.sinks.tables import append_partitioned, overwrite, overwrite_partitions
 from ludometry.sources.tables import read_or_empty, read_table
 
+# Most days that are worth listing in a filter; more are read as all days.
+MOST_DAYS = 5_000
+
 # A total order over copies of an event, so that the survivor is always the same.
 EVENT_COPIES = [
     "timestamp",
@@ -93,17 +96,9 @@ def new_events(
         return accepted_events(refined), split(refined)[1]
 
     done = silver.select("event_id")
-    # Both writes use these ids; pinned, they are found once.
-    ensure_checkpoints(spark)
-    fresh = unprocessed_keys(
-        bronze.select(F.col("id").alias("event_id")), done, "event_id"
-    ).checkpoint()
+    fresh = fresh_ids(bronze, done)
     if fresh.count() <= BROADCAST_KEYS:
-        sent = F.broadcast(fresh.withColumnRenamed("event_id", "id"))
-        unseen = bronze.join(sent, "id", "left_semi").unionByName(
-            bronze.filter(F.col("id").isNull())
-        )
-        refined = refine_events(unseen, at)
+        refined = refine_events(rows_of(bronze, fresh), at)
         return accepted_events(refined), split(refined)[1]
     refined = refine_events(bronze, at)
     return (
@@ -112,6 +107,28 @@ def new_events(
     )
 
 
+def fresh_ids(bronze: DataFrame, done: DataFrame) -> DataFrame:
+    """Ids, and the days they lie in, that Silver does not hold; narrow on both sides.
+
+    Both writes use them; pinned, they are found once.
+    """
+    ensure_checkpoints(bronze.sparkSession)
+    keys = bronze.select(F.col("id").alias("event_id"), "event_date")
+    return unprocessed_keys(keys, done, "event_id").checkpoint()
+
+
+def rows_of(bronze: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Bronze rows with one of the fresh ids, or with none.
+
+    Only the days of fresh ids are read. Rows without an id are found by the
+    null counts in the Parquet footers.
+    """
+    days = [row.event_date for row in fresh.select("event_date").distinct().take(MOST_DAYS + 1)]
+    near = in_dates(bronze, days) if len(days) <= MOST_DAYS else bronze
+    sent = F.broadcast(fresh.select(F.col("event_id").alias("id")).distinct())
+    return near.join(sent, "id", "left_semi").unionByName(bronze.filter(F.col("id").isNull()))
+
+
 def run_silver(
     spark: SparkSession, lake: Lake, dates: Sequence | None = None, at: Column | None = None
 ) -> dict[str, int]:

@@ -1,5 +1,7 @@
 """Small frames for tests."""
 
+import contextlib
+import io
 import json
 from pathlib import Path
 
@@ -66,3 +68,11 @@ def as_dicts(frame, *columns):
 
 def as_set(frame, *columns):
     return {tuple(row) for row in frame.select(*columns).collect()}
+
+
+def plan(frame):
+    """The physical plan, as Spark shows it, before adaptive changes."""
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        frame.explain()
+    return shown.getvalue()

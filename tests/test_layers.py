@@ -1,9 +1,10 @@
 import datetime
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
-from rows import as_dicts, as_set, raw_line, write_lines
+from rows import as_dicts, as_set, plan, raw_line, write_lines
 
 from ludometry.operators import quality
 from ludometry.operators.increment import in_dates, new_rows, unprocessed_keys, upsert, watermark
@@ -224,7 +225,7 @@ def test_new_rows_is_the_same_for_every_plan(spark, counted):
     got = as_set(new_rows(batch, stored, "k", counted), "k", "n")
     assert got == {("a", 1), ("a", 2), ("c", 4), (None, 5)}
     assert new_rows(batch, None, "k").count() == 5
-    assert as_set(unprocessed_keys(batch, stored, "k"), "k") == {("a",), ("c",)}
+    assert as_set(unprocessed_keys(batch.select("k"), stored, "k"), "k") == {("a",), ("c",)}
 
 
 def test_streamed_files_are_read_once(spark, lake, tmp_path):
@@ -253,9 +254,10 @@ SILVER_LINES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_keys", [500_000, 0])
-def test_silver_again_adds_nothing(spark, lake, monkeypatch, broadcast_keys):
+@pytest.mark.parametrize("broadcast_keys, most_days", [(500_000, 5_000), (500_000, 0), (0, 0)])
+def test_silver_again_adds_nothing(spark, lake, monkeypatch, broadcast_keys, most_days):
     monkeypatch.setattr(silver, "BROADCAST_KEYS", broadcast_keys)
+    monkeypatch.setattr(silver, "MOST_DAYS", most_days)
     deliver(spark, lake, SILVER_LINES)
     first = silver.run_silver(spark, lake, at=F.lit(datetime.datetime(2024, 1, 1)))
     assert (first["valid_events"], first["quarantined_events"]) == (2, 5)
@@ -272,6 +274,21 @@ def test_silver_again_adds_nothing(spark, lake, monkeypatch, broadcast_keys):
     assert stored_silver(spark, lake).filter("NOT is_valid").count() == 0
 
 
+def test_silver_reads_only_the_days_of_new_ids(spark, lake):
+    later = SECOND + 30 * 86_400
+    deliver(spark, lake, [raw_line("1"), raw_line("2", SECOND + 86_400)])
+    silver.run_silver(spark, lake)
+    deliver(spark, lake, [raw_line("3", later), raw_line("4", None), raw_line(None, 5)], "b.jsonl")
+    bronze_rows, done = stored_bronze(spark, lake), stored_silver(spark, lake).select("event_id")
+    rows = silver.rows_of(bronze_rows, silver.fresh_ids(bronze_rows, done))
+    assert as_set(rows, "id", "timestamp") == {("3", later), ("4", None), (None, 5)}
+    shown = plan(rows)
+    assert re.search(r"PartitionFilters: \[\(+event_date#\d+ = 2023-12-14", shown)
+    assert "PushedFilters: [IsNull(id)]" in shown
+    counts = silver.run_silver(spark, lake)
+    assert (counts["valid_events"], counts["quarantined_events"]) == (1, 2)
+
+
 def test_silver_within_days(spark, lake):
     deliver(spark, lake, [raw_line("1"), raw_line("2", SECOND + 86_400)])
     counts = silver.run_silver(spark, lake, dates=[DAY])

@@ -1,9 +1,7 @@
-import contextlib
-import io
 import re
 
 import pytest
-from rows import as_dicts, as_set, event, maps, staged, write_lines
+from rows import as_dicts, as_set, event, maps, plan, staged, write_lines
 
 import __spark_entry__ as entries
 from ludometry.checks.fixtures import game_events, game_maps
@@ -16,14 +14,6 @@ from ludometry.sources.jsonlines import read_lines
 SF = "/root/testdata/sf0.001"
 
 
-def plan(frame):
-    """The physical plan before adaptive changes."""
-    shown = io.StringIO()
-    with contextlib.redirect_stdout(shown):
-        frame.explain()
-    return shown.getvalue()
-
-
 def test_frequency_counts_null_and_breaks_ties(spark):
     frame = staged(
         spark,
