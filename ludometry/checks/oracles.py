@@ -129,74 +129,59 @@ flat AS (
 """
 
 
-def _sessions(events: str) -> str:
+def _matches(events: str = "game", prefix: str = "") -> str:
+    """Sessions, numbered sides and matches of the events, as CTEs."""
     return f"""
-sessions AS (
-  SELECT *, cast(sum(new_session) OVER (
-              PARTITION BY user_id ORDER BY timestamp, event_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) AS session_number
-  FROM (SELECT *, CASE WHEN event_type = 'session_ping' AND session_state = 'started'
-                       THEN 1 ELSE 0 END AS new_session
-        FROM {events})
-)"""
-
-
-_STARTS = """
-starts AS (
-  SELECT user_id, map_id, opponent_id, session_number, timestamp AS start_timestamp,
-         row_number() OVER (PARTITION BY user_id, map_id, opponent_id
-                            ORDER BY timestamp, event_id) AS match_number
-  FROM sessions WHERE event_type = 'match_start'
-)"""
-
-_FINISHES = """
-finishes AS (
-  SELECT user_id, map_id, opponent_id, outcome, timestamp AS finish_timestamp,
-         row_number() OVER (PARTITION BY user_id, map_id, opponent_id
-                            ORDER BY timestamp, event_id) AS match_number
-  FROM sessions WHERE event_type = 'match_finish'
+{prefix}sessions AS (
+  SELECT *, cast(coalesce(event_type = 'session_ping' AND session_state = 'started', false) AS int)
+              AS new_session,
+         count(*) FILTER (event_type = 'session_ping' AND session_state = 'started')
+           OVER so_far AS session_number
+  FROM {events}
+  WINDOW so_far AS (PARTITION BY user_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING)
+),
+{prefix}sides AS (
+  SELECT *, row_number() OVER same_place AS match_number
+  FROM {prefix}sessions
+  WHERE event_type IN ('match_start', 'match_finish')
+  WINDOW same_place AS (PARTITION BY event_type, user_id, map_id, opponent_id
+                        ORDER BY timestamp, event_id)
+),
+{prefix}matches AS (
+  SELECT user_id, map_id, opponent_id, match_number, a.session_number,
+         a.timestamp AS start_timestamp, b.timestamp AS finish_timestamp,
+         b.timestamp - a.timestamp AS duration, b.outcome,
+         cast(coalesce(b.outcome = 1, false) AS int) AS is_win
+  FROM {prefix}sides a JOIN {prefix}sides b
+    USING (user_id, map_id, opponent_id, match_number)
+  WHERE a.event_type = 'match_start' AND b.event_type = 'match_finish'
+    AND a.timestamp <= b.timestamp
 )"""
 
-_PAIRS = """
-SELECT s.user_id, s.map_id, s.opponent_id, s.session_number, s.match_number,
-       s.start_timestamp, f.finish_timestamp,
-       f.finish_timestamp - s.start_timestamp AS duration, f.outcome,
-       CASE WHEN f.outcome = 1 THEN 1 ELSE 0 END AS is_win
-FROM starts s JOIN finishes f USING (user_id, map_id, opponent_id, match_number)
-WHERE f.finish_timestamp >= s.start_timestamp
-"""
-
-
-def _matches(events: str = "game") -> str:
-    return f"{_sessions(events)}, {_STARTS}, {_FINISHES}, matches AS ({_PAIRS})"
-
 
 _MAP_STATS = """
 map_stats AS (
   SELECT user_id, map_id, count(*) AS map_matches, cast(sum(is_win) AS bigint) AS map_wins,
-         sum(is_win)::double / count(*) AS map_win_ratio
-  FROM matches GROUP BY user_id, map_id
+         avg(is_win) AS map_win_ratio
+  FROM matches GROUP BY ALL
 )"""
 
 _TOTALS = """
 totals AS (
   SELECT user_id, cast(sum(duration) AS bigint) AS total_playtime,
          cast(sum(is_win) AS bigint) AS total_wins, count(*) AS total_matches,
-         count(DISTINCT session_number) AS total_sessions,
-         sum(is_win)::double / count(*) AS total_win_ratio,
-         count(*)::double / nullif(count(DISTINCT session_number), 0) AS avg_matches_per_session
-  FROM matches GROUP BY user_id
+         count(DISTINCT session_number) AS total_sessions, avg(is_win) AS total_win_ratio,
+         count(*) / count(DISTINCT session_number) AS avg_matches_per_session
+  FROM matches GROUP BY ALL
 )"""
 
 _FAVORITES = """
 favorites AS (
-  SELECT user_id, map_name AS fav_map, map_win_ratio AS fav_map_win_ratio
-  FROM (SELECT ms.*, m.map_name,
-               row_number() OVER (PARTITION BY user_id
-                                  ORDER BY map_win_ratio DESC, map_matches DESC,
-                                           m.map_name ASC NULLS LAST, ms.map_id) AS r
-        FROM map_stats ms LEFT JOIN maps m ON ms.map_id = m.map_id)
-  WHERE r = 1
+  SELECT user_id, max(map_win_ratio) AS fav_map_win_ratio,
+         first(map_name ORDER BY map_win_ratio DESC, map_matches DESC,
+                                 map_name NULLS LAST, map_id) AS fav_map
+  FROM map_stats LEFT JOIN maps USING (map_id)
+  GROUP BY user_id
 )"""
 
 
@@ -206,19 +191,18 @@ registered AS (
   SELECT user_id, max(username) AS username, max(country) AS country,
          strftime(to_timestamp(min(timestamp)) AT TIME ZONE 'UTC', '%Y-%m-%d')
            AS registration_date
-  FROM {events} WHERE event_type = 'registration' GROUP BY user_id
+  FROM {events} WHERE event_type = 'registration' GROUP BY ALL
 )"""
 
 
 _MART = """
-SELECT r.user_id, r.username, r.country, f.fav_map,
-       round(f.fav_map_win_ratio, 3) AS fav_map_win_ratio, t.total_playtime,
-       round(t.total_win_ratio, 3) AS total_win_ratio,
-       round(t.avg_matches_per_session, 2) AS avg_matches_per_session, r.registration_date,
-       CASE WHEN r.country IS NULL THEN 'missing_country' ELSE 'valid' END AS data_quality_status
-FROM registered r
-LEFT JOIN totals t ON r.user_id = t.user_id
-LEFT JOIN favorites f ON r.user_id = f.user_id
+SELECT user_id, username, country, fav_map, total_playtime, registration_date,
+       round(fav_map_win_ratio, 3) AS fav_map_win_ratio,
+       round(total_win_ratio, 3) AS total_win_ratio,
+       round(avg_matches_per_session, 2) AS avg_matches_per_session,
+       if(country IS NULL, 'missing_country', 'valid') AS data_quality_status
+FROM registered LEFT JOIN totals USING (user_id) LEFT JOIN favorites USING (user_id)
+ORDER BY total_playtime DESC NULLS LAST
 """
 
 
@@ -232,39 +216,15 @@ def _with(*parts: str, then: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n" + then.strip()
 
 
-# The events and matches of the first delivery, before 2024-01-20.
-_FIRST = """
-early AS (SELECT * FROM game WHERE timestamp < 1705708800),
-early_sessions AS (
-  SELECT *, cast(sum(new_session) OVER (
-              PARTITION BY user_id ORDER BY timestamp, event_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) AS session_number
-  FROM (SELECT *, CASE WHEN event_type = 'session_ping' AND session_state = 'started'
-                       THEN 1 ELSE 0 END AS new_session
-        FROM early)
-),
-stored AS (
-  SELECT s.user_id, s.map_id, s.opponent_id, s.session_number, s.match_number,
-         s.timestamp AS start_timestamp, f.timestamp AS finish_timestamp,
-         f.timestamp - s.timestamp AS duration, f.outcome,
-         CASE WHEN f.outcome = 1 THEN 1 ELSE 0 END AS is_win
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, map_id, opponent_id
-                                     ORDER BY timestamp, event_id) AS match_number
-        FROM early_sessions WHERE event_type = 'match_start') s
-  JOIN (SELECT *, row_number() OVER (PARTITION BY user_id, map_id, opponent_id
-                                     ORDER BY timestamp, event_id) AS match_number
-        FROM early_sessions WHERE event_type = 'match_finish') f
-    USING (user_id, map_id, opponent_id, match_number)
-  WHERE f.timestamp >= s.timestamp
+# The matches of the first delivery, before 2024-01-20, as the stored table.
+_FIRST = (
+    "early AS (SELECT * FROM game WHERE timestamp < 1705708800)",
+    _matches("early", "early_"),
+    "stored AS (SELECT * FROM early_matches)",
 )
-"""
 
 _KEPT = """
-SELECT * FROM stored s
-WHERE NOT EXISTS (
-  SELECT 1 FROM delta d
-  WHERE d.user_id = s.user_id AND d.map_id = s.map_id
-    AND d.opponent_id = s.opponent_id AND d.match_number = s.match_number)
+SELECT * FROM stored ANTI JOIN delta USING (user_id, map_id, opponent_id, match_number)
 UNION ALL
 SELECT * FROM delta
 """
@@ -328,7 +288,7 @@ FROM fields GROUP BY 1, 2
 """
 
 _BRONZE_SQL = _with(_GAME, _BRONZE, then=_BRONZE_ROWS)
-_SESSIONS_SQL = _with(_GAME, _sessions("game"), then="SELECT * FROM sessions")
+_SESSIONS_SQL = _with(_GAME, _matches(), then="SELECT * FROM sessions")
 _MATCHES_SQL = _with(_GAME, _matches(), then="SELECT * FROM matches")
 
 ORACLES: dict[str, str] = {
@@ -387,13 +347,25 @@ WHERE map_id IS NOT NULL AND map_id NOT IN (SELECT map_id FROM maps)""",
     "map_names": _with(_GAME, then="SELECT DISTINCT map_name FROM maps"),
     "event_sessions": _SESSIONS_SQL,
     "event_sessions_crowded": _SESSIONS_SQL,
-    "match_starts": _with(_GAME, _sessions("game"), _STARTS, then="SELECT * FROM starts"),
-    "match_finishes": _with(_GAME, _sessions("game"), _FINISHES, then="SELECT * FROM finishes"),
+    "match_starts": _with(
+        _GAME,
+        _matches(),
+        then="""
+SELECT user_id, map_id, opponent_id, session_number, timestamp AS start_timestamp, match_number
+FROM sides WHERE event_type = 'match_start'""",
+    ),
+    "match_finishes": _with(
+        _GAME,
+        _matches(),
+        then="""
+SELECT user_id, map_id, opponent_id, outcome, timestamp AS finish_timestamp, match_number
+FROM sides WHERE event_type = 'match_finish'""",
+    ),
     "matches": _MATCHES_SQL,
     "matches_crowded": _MATCHES_SQL,
     "matches_incremental": _with(
         _GAME,
-        _FIRST,
+        *_FIRST,
         _matches(),
         """
 delta AS (
@@ -403,7 +375,7 @@ delta AS (
     ),
     "matches_rebuilt": _MATCHES_SQL,
     "matches_upsert": _with(
-        _GAME, _FIRST, _matches(), "delta AS (SELECT * FROM matches)", then=_KEPT
+        _GAME, *_FIRST, _matches(), "delta AS (SELECT * FROM matches)", then=_KEPT
     ),
     "registrations": _with(_GAME, _registrations(), then="SELECT * FROM registered"),
     "registrations_first": _with(
@@ -429,14 +401,14 @@ FROM game WHERE event_type = 'registration' GROUP BY user_id""",
         then="SELECT * FROM totals JOIN favorites USING (user_id)",
     ),
     "player_stats": _with(
-        _GAME, _statistics(), then=_MART + "ORDER BY t.total_playtime DESC NULLS LAST"
+        _GAME, _statistics(), then=_MART
     ),
     "lake_player_stats": _with(
         _GAME,
         _BRONZE,
         _SILVER,
         _statistics("silver"),
-        then=_MART + "ORDER BY t.total_playtime DESC NULLS LAST",
+        then=_MART,
     ),
     "mart_by_sql": _with(
         _GAME,
@@ -449,7 +421,7 @@ SELECT r.user_id, f.fav_map, t.total_playtime, t.total_sessions, count(*) AS sta
 FROM registered r
 JOIN totals t ON r.user_id = t.user_id
 JOIN favorites f ON r.user_id = f.user_id
-JOIN starts s ON r.user_id = s.user_id
+JOIN sides s ON r.user_id = s.user_id AND s.event_type = 'match_start'
 GROUP BY ALL""",
     ),
     "freq_event_type": _with(_GAME, then=_FREQ.format(c="event_type")),

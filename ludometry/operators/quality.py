@@ -20,7 +20,7 @@ def _blank(name: str) -> Column:
 
 
 def event_rules(max_epoch: int | None = None) -> list[Rule]:
-    """Reasons to reject an event, most basic first.
+    """Reasons to reject an event, most basic first; their names are fixed values.
 
     ``max_epoch`` adds an upper bound for the timestamp, off unless asked for.
     """

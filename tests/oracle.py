@@ -22,7 +22,7 @@ def database(sf_dir):
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value  # bit for bit
     return value
 
 
