@@ -118,6 +118,13 @@ def test_favorite_is_trimmed_before_the_shuffle(spark):
     assert shown.count("WindowGroupLimit") == 2
 
 
+def test_copies_of_an_event_are_trimmed_before_the_shuffle(spark):
+    """Many copies of one id leave each partition as one row."""
+    shown = plan(quality.one_per_key(game_events(spark, SF), "event_id", ["timestamp", "user_id"]))
+    assert shown.count("WindowGroupLimit") == 2
+    assert shown.count("Exchange") == 1
+
+
 def test_scan_reads_needed_columns_only(spark):
     frame = spark.read.parquet(f"{SF}/events.parquet")
     shown = plan(profile.frequency(frame, "event_type"))
