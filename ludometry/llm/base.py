@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,7 +73,7 @@ def batches(schema: str | T.StructType) -> pa.Schema:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the strings of a slice hold about ``limit`` bytes, or are one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     start, held = 0, 0
     for row, size in enumerate(sizes):
         if row > start and held + size > limit:
