@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.llm import chat_format, language, simhash
+from ludometry.llm import chat_format, language, simhash, toxicity
 from ludometry.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,15 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(turns.unionByName(spoof))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from four fifths of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = language.held_out("doc_id", 5, 0)
+    model = toxicity.train(docs, labels.filter(~out))
+    predicted = toxicity.predict(docs, model)
+    return predicted.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -42,6 +51,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
+    "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
 }
