@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.llm import chat_format, language, simhash, toxicity
+from ludometry.llm import chat_format, language, pieces, simhash, toxicity
 from ludometry.llm.base import table
 
+# The public vocabulary that the queries encode with.
+PIECES = os.environ.get("LUDOMETRY_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # A conversation whose texts look like control strings.
@@ -49,11 +53,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with merge-dropout and decoded again."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(PIECES), pieces.Dropout())
+
+
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
+    "op9_pieces": op9_pieces,
 }
 
 ORACLES: dict[str, str] = {}

@@ -10,18 +10,26 @@ import numpy as np
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Numbering(dict):
+    """Numbers for strings in order of appearance: a look-up adds what is missing."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
+
+
 class WordTable:
     """The different words of some texts, numbered in order of appearance."""
 
     def __init__(self, pattern: re.Pattern = LETTERS) -> None:
         self.pattern = pattern
-        self.index: dict[str, int] = {}
+        self.index = Numbering()
 
     def ids(self, text: str) -> np.ndarray:
-        index = self.index
-        words = self.pattern.findall(text)
-        number = index.setdefault
-        return np.fromiter((number(word, len(index)) for word in words), dtype=np.int32, count=len(words))
+        return self.index.of(self.pattern.findall(text))
 
     @property
     def words(self) -> list[str]:
