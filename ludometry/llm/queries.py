@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.llm import chat_format, language, pieces, simhash, toxicity
+from ludometry.llm import chat_format, language, pieces, simhash, toxicity, vectors
 from ludometry.llm.base import table
 
 # The public vocabulary that the queries encode with.
@@ -58,12 +58,18 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(PIECES), pieces.Dropout())
 
 
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), every=100, most=10)
+
+
 QUERIES: dict[str, Query] = {
     "op3_chat_format": op3_chat_format,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
     "op9_pieces": op9_pieces,
+    "op10_vectors": op10_vectors,
 }
 
 ORACLES: dict[str, str] = {}
