@@ -284,6 +284,8 @@ def search(index: DataFrame, queries: DataFrame, most: int = 10, settings: Setti
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     keys = ("dims", "shard", "block")
+    # Both sides come from one index; fresh names keep their columns apart.
+    held, asked = (x.select(*(F.col(c).alias(c) for c in x.columns)) for x in (held, asked))
     met = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, FOUND)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
