@@ -38,10 +38,14 @@ class Settings:
     query_rows: int = 2048
 
 
-def _distances(vectors: np.ndarray, norms: np.ndarray, nodes: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Squared distances of each target to its row of nodes, in single precision."""
-    dots = np.einsum("bkd,bd->bk", vectors[nodes], targets, optimize=False)
-    return norms[nodes] - 2 * dots + np.einsum("bd,bd->b", targets, targets)[:, None]
+def _distances(vectors: np.ndarray, nodes: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Squared distances of each target to its row of nodes, in single precision.
+
+    By differences and not by norms, which cancel where vectors are close.
+    """
+    apart = vectors[nodes]
+    apart -= targets[:, None, :]
+    return np.einsum("bkd,bkd->bk", apart, apart)
 
 
 def beam_search(
@@ -53,13 +57,12 @@ def beam_search(
     its neighbours; the best of old and new remain. ``neighbours`` ends with -1.
     """
     count, rows = len(vectors), len(targets)
-    norms = np.einsum("nd,nd->n", vectors, vectors)
     nodes = np.full((rows, beam), -1, dtype=np.int32)
     far = np.full((rows, beam), np.inf, dtype=np.float32)
     done = np.zeros((rows, beam), dtype=bool)
     seen = np.zeros((rows, count), dtype=bool)
     nodes[:, 0] = entry
-    far[:, 0] = _distances(vectors, norms, nodes[:, :1], targets)[:, 0]
+    far[:, 0] = _distances(vectors, nodes[:, :1], targets)[:, 0]
     seen[:, entry] = True
     live = np.arange(rows)
     while True:
@@ -75,7 +78,7 @@ def beam_search(
         safe = np.where(valid, near, 0)
         valid &= ~seen[live[:, None], safe]
         seen[live[:, None], safe] |= valid
-        distance = np.where(valid, _distances(vectors, norms, safe, targets[live]), np.inf).astype(np.float32)
+        distance = np.where(valid, _distances(vectors, safe, targets[live]), np.inf).astype(np.float32)
         all_nodes = np.concatenate((nodes[live], np.where(valid, near, -1)), axis=1)
         all_far = np.concatenate((far[live], distance), axis=1)
         all_done = np.concatenate((done[live], np.zeros_like(valid)), axis=1)
@@ -93,14 +96,11 @@ def robust_prune(
     The nearest candidate is kept, and those that are alpha times as near to it
     as to the point go, until none is left. Candidates of -1 are none.
     """
-    norms = np.einsum("nd,nd->n", vectors, vectors)
     candidates = np.where(candidates == points[:, None], -1, candidates)
     candidates = np.sort(candidates, axis=1)
     candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
     safe = np.maximum(candidates, 0)
-    own = vectors[safe]
-    distance = norms[safe] - 2 * np.einsum("bkd,bd->bk", own, vectors[points]) + norms[points][:, None]
-    distance = np.where(candidates < 0, np.inf, np.maximum(distance, 0))
+    distance = np.where(candidates < 0, np.inf, _distances(vectors, safe, vectors[points]))
     out = np.full((len(points), degree), -1, dtype=np.int32)
     left = distance.copy()
     rows = np.arange(len(points))
@@ -112,7 +112,7 @@ def robust_prune(
         chosen = np.where(some, candidates[rows, at], -1)
         out[:, k] = chosen
         pick = np.maximum(chosen, 0)
-        between = norms[safe] - 2 * np.einsum("bkd,bd->bk", own, vectors[pick]) + norms[pick][:, None]
+        between = _distances(vectors, safe, vectors[pick])
         left[some[:, None] & (alpha * alpha * between <= distance)] = np.inf
         left[rows, at] = np.inf
     return out
@@ -140,7 +140,54 @@ def build_graph(vectors: np.ndarray, settings: Settings, block: int = 512, seed:
                 vectors, points, np.concatenate((met, neighbours[points]), axis=1), degree, alpha
             )
             _give_back(vectors, neighbours, points, alpha)
-    return neighbours, entry
+    return _within_reach(neighbours, entry), entry
+
+
+def _reached(neighbours: np.ndarray, entry: int) -> np.ndarray:
+    found = np.zeros(len(neighbours), dtype=bool)
+    front = np.array([entry])
+    while len(front):
+        found[front] = True
+        front = np.unique(neighbours[front])
+        front = front[front >= 0]
+        front = front[~found[front]]
+    return found
+
+
+def _within_reach(neighbours: np.ndarray, entry: int, least: int = 3, ways: int = 4) -> np.ndarray:
+    """The graph with further edges, so that every node can be met from the entry.
+
+    Pruning may leave a node with hardly an edge towards it. Such nodes get one
+    from each of their own ``ways`` nearest neighbours, and what is still out of
+    reach from its nearest neighbour within reach, or from the entry.
+    """
+    count = len(neighbours)
+    incoming = np.bincount(neighbours[neighbours >= 0], minlength=count)
+    poor = np.flatnonzero(incoming < least)
+    sources, targets = neighbours[poor, :ways].ravel(), np.repeat(poor, neighbours[poor, :ways].shape[1])
+    neighbours = _with_edges(neighbours, sources[sources >= 0], targets[sources >= 0])
+    while not (found := _reached(neighbours, entry)).all():
+        lost = np.flatnonzero(~found)
+        own = neighbours[lost]
+        usable_ = (own >= 0) & found[np.maximum(own, 0)]
+        first = own[np.arange(len(lost)), usable_.argmax(axis=1)]
+        some = usable_.any(axis=1)
+        if not some.any():
+            first, some = np.full(1, entry), np.ones(1, dtype=bool)
+            lost = lost[:1]
+        neighbours = _with_edges(neighbours, first[some], lost[some])
+    return neighbours
+
+
+def _with_edges(neighbours: np.ndarray, sources: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    if not len(sources):
+        return neighbours
+    order = np.argsort(sources, kind="stable")
+    sources, targets = sources[order], targets[order]
+    nodes, begun, sizes = np.unique(sources, return_index=True, return_counts=True)
+    wide = np.full((len(neighbours), int(sizes.max())), -1, dtype=np.int32)
+    wide[sources, np.arange(len(sources)) - np.repeat(begun, sizes)] = targets
+    return np.concatenate((neighbours, wide), axis=1)
 
 
 def _give_back(vectors: np.ndarray, neighbours: np.ndarray, points: np.ndarray, alpha: float) -> None:
