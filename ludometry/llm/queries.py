@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.llm import chat_format, language, pieces, simhash, suffixes, toxicity, vectors
+from ludometry.llm import (
+    chat_format,
+    chunks,
+    contamination,
+    language,
+    oracles,
+    pieces,
+    simhash,
+    suffixes,
+    toxicity,
+    vectors,
+)
 from ludometry.llm.base import table
 
 # The public vocabulary that the queries encode with.
@@ -35,6 +46,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(turns.unionByName(spoof))
 
 
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and the benchmark items it contains."""
+    return contamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from four fifths of the labels."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -58,6 +74,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op8_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the chunks that stand earlier."""
+    return chunks.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-dropout and decoded again."""
     return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(PIECES), pieces.Dropout())
@@ -71,11 +92,13 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op3_chat_format": op3_chat_format,
+    "op4_contamination": op4_contamination,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
+    "op8_chunks": op8_chunks,
     "op9_pieces": op9_pieces,
     "op10_vectors": op10_vectors,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_contamination": oracles.CONTAMINATION}

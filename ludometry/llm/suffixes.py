@@ -420,8 +420,13 @@ def _sorting(length: int):
     return run
 
 
-def cut(values: list[bytes], row: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """Of each text the bytes removed, the number of spans, and what is left."""
+def cut(
+    values: list[bytes], row: np.ndarray, starts: np.ndarray, stops: np.ndarray, least: int = 1
+) -> list[tuple[int, int, bytes]]:
+    """Of each text the bytes removed, the number of spans, and what is left.
+
+    Ranges that touch are one span; spans of under ``least`` bytes stay.
+    """
     order = np.lexsort((stops, starts, row))
     row, starts, stops = row[order], starts[order], stops[order]
     bounds = np.searchsorted(row, np.arange(len(values) + 1))
@@ -433,7 +438,9 @@ def cut(values: list[bytes], row: np.ndarray, starts: np.ndarray, stops: np.ndar
             continue
         reach = np.maximum.accumulate(stops[a:b])
         fresh = np.flatnonzero(np.concatenate(([True], starts[a + 1 : b] > reach[:-1])))
-        begins, ends = starts[a:b][fresh].tolist(), reach[np.append(fresh[1:], b - a) - 1].tolist()
+        begins, ends = starts[a:b][fresh], reach[np.append(fresh[1:], b - a) - 1]
+        long = ends - begins >= least
+        begins, ends = begins[long].tolist(), ends[long].tolist()
         kept = [data[x:y] for x, y in zip([0, *ends], [*begins, len(data)], strict=True)]
         left = b"".join(kept)
         out.append((len(data) - len(left), len(begins), left))
@@ -473,7 +480,7 @@ def _ranges(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return out
 
 
-def _cut_documents(docs: DataFrame, removed: DataFrame, schema: str, row_of) -> DataFrame:
+def _cut_documents(docs: DataFrame, removed: DataFrame, least: int, schema: str, row_of) -> DataFrame:
     arrow = batches(schema)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,7 +488,7 @@ def _cut_documents(docs: DataFrame, removed: DataFrame, schema: str, row_of) ->
             for part in slices(batch, "text", SLICE):
                 row, own = _found(part)
                 values = [value or b"" for value in part["text"].cast(pa.binary()).to_pylist()]
-                made = [row_of(data, *found) for data, found in zip(values, cut(values, row, own["start"], own["stop"]), strict=True)]
+                made = [row_of(data, *found) for data, found in zip(values, cut(values, row, own["start"], own["stop"], least), strict=True)]
                 columns = list(zip(*made, strict=True)) or [[] for _ in list(arrow)[1:]]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], schema=arrow)
 
@@ -491,17 +498,17 @@ def _cut_documents(docs: DataFrame, removed: DataFrame, schema: str, row_of) ->
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def digests(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """DIGEST of documents less removed byte ranges."""
+def digests(docs: DataFrame, removed: DataFrame, least: int = 1) -> DataFrame:
+    """DIGEST of documents less removed byte ranges, touching ones joined, of ``least`` bytes."""
 
     def row(data: bytes, gone: int, spans: int, left: bytes) -> tuple:
         return len(data), gone, spans, hashlib.sha256(left).hexdigest()
 
-    return _cut_documents(docs, removed, DIGEST, row)
+    return _cut_documents(docs, removed, least, DIGEST, row)
 
 
-def kept_texts(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """(doc_id, text, n_removed) of documents less removed byte ranges.
+def kept_texts(docs: DataFrame, removed: DataFrame, least: int = 1) -> DataFrame:
+    """(doc_id, text, n_removed) of documents less the same ranges.
 
     A range may begin or end inside a character; what is left of it becomes U+FFFD.
     """
@@ -509,7 +516,7 @@ def kept_texts(docs: DataFrame, removed: DataFrame) -> DataFrame:
     def row(data: bytes, gone: int, spans: int, left: bytes) -> tuple:
         return left.decode("utf-8", "replace"), gone
 
-    return _cut_documents(docs, removed, "doc_id long, text string, n_removed long", row)
+    return _cut_documents(docs, removed, least, "doc_id long, text string, n_removed long", row)
 
 
 def with_own_ids(docs: DataFrame, operate) -> DataFrame:
