@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ludometry.session import scratch_path
 
+# Rows up to which a written table of a few numbers a row is broadcast: 16 MB or so.
+BROADCAST = 1_000_000
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -27,6 +29,14 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def few(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
+    """A written table of narrow rows whose number was checked, to be broadcast if small.
+
+    Beyond ``most`` rows Spark chooses the join.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key, as a long, and the text; every other column is left behind.
 

@@ -17,13 +17,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludometry.llm.base import written
+from ludometry.llm.base import few, written
 
 WORDS, LEAST = 5, 0.8
 # Chance to miss an item of a large partition at the threshold.
 MISS = 1e-9
-# Rows of sketches or items up to which they are broadcast: about 100 MB.
-BROADCAST = 1_000_000
+# Items up to which they are broadcast with their shingles.
+ITEMS = 10_000
 
 
 def words(text: Column) -> Column:
@@ -76,11 +76,6 @@ def sketches(items: DataFrame, size: int = WORDS, least: float = LEAST, miss: fl
     return hashed.select("item_id", F.xxhash64(*(F.col("words")[k] for k in range(size))).alias("hash")).distinct()
 
 
-def _small(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
-    """A table whose rows were counted, to be broadcast if they are few."""
-    return F.broadcast(rows) if rows.count() <= most else rows
-
-
 def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) wherever it is ``least`` or more.
 
@@ -93,14 +88,14 @@ def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: f
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = written(_items(benchmark, size), "items")
-    sketch = _small(written(sketches(items, size, least), "sketches"))
+    sketch = few(written(sketches(items, size, least), "sketches"))
     met = _shingle_hashes(rows, size).join(sketch, "hash").groupBy("doc_id", "item_id").agg(F.lit(1).alias("met"))
     pairs = written(met.select(F.col("doc_id").alias("found_id"), "item_id"), "pairs")
     lists = pairs.groupBy("found_id").agg(F.collect_set("item_id").alias("item_ids"))
     own = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("found_id"))).select(
         "doc_id", shingles(words(F.col("text")), size).alias("own"), F.explode("item_ids").alias("item_id")
     )
-    both = own.join(_small(items), "item_id").select(
+    both = own.join(few(items, ITEMS), "item_id").select(
         "doc_id", "item_id", F.size(F.array_intersect("shingles", "own")).alias("shared"), "n"
     )
     share = F.max("shared") / F.max("n")
@@ -113,4 +108,5 @@ def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: f
 def without_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
     """The documents, all columns, that contain no item."""
     found = contained(docs, benchmark, size, least).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
+    found = written(found, "contaminated")
+    return docs.join(few(found), docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")

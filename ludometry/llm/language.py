@@ -233,6 +233,24 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return _per_part(docs, model, "doc_id long, lang_pred string, score double", _predicted)
 
 
+def confident(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents, all columns, with a language that has ``least`` of their letters.
+
+    Null texts, texts without a letter and even mixtures of many languages go.
+    """
+    schema = docs.schema
+    share = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for part in slices(batch, "text", SLICE):
+                names, scores = _predicted(share.value, part["text"].to_pylist())
+                keep = [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, schema)
+
+
 def _spans(model: Model, values: list[str | None]) -> tuple[list[list[dict]]]:
     ids, _, labels = _labelled(model, values)
     out, at = [], 0

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ludometry.llm.base import batches, slices, texts
 from ludometry.llm.words import Numbering
@@ -385,6 +386,26 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout()
     return _per_part(texts(docs), "text", "doc_id long, pieces array<int>", column)
 
 
+def encoded(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout()) -> DataFrame:
+    """The documents with ``pieces`` (array<int>) in place of ``text``, other columns as they are.
+
+    A column named pieces, if there is one, gives way.
+    """
+    share = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rest = [f for f in docs.schema.fields if f.name not in ("text", "pieces")]
+    schema = T.StructType([*rest, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
+    arrow = batches(schema)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for part in slices(batch, "text", SLICE):
+                values = part["text"].to_pylist()
+                made = _as_lists(*_encoder(share.value, dropout).encode(part["doc_id"].to_pylist(), values), values)
+                yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), made.cast(arrow.field("pieces").type)], schema=arrow)
+
+    return docs.select(*(f.name for f in rest), "text").mapInArrow(run, schema)
+
+
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id and text of every row of (doc_id, pieces); null pieces give a null text."""
     share = rows.sparkSession.sparkContext.broadcast(vocabulary)

@@ -13,6 +13,7 @@ from ludometry.llm import (
     chunks,
     contamination,
     language,
+    lines,
     oracles,
     pieces,
     simhash,
@@ -36,6 +37,11 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents"), length=100)
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the lines that earlier ones stand for."""
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -91,6 +97,7 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
+    "op2_lines": op2_lines,
     "op3_chat_format": op3_chat_format,
     "op4_contamination": op4_contamination,
     "op5_toxicity": op5_toxicity,

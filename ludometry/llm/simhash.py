@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludometry.llm.base import batches, numbered, texts, written
+from ludometry.llm.base import batches, few, numbered, texts, written
 from ludometry.llm.components import Forest, components
 
 BYTES = 8
@@ -268,5 +268,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """
     rows, key = numbered(docs, "doc_id", "text")
     groups = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), shingle, distance)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
-    return rows.join(kept, rows[key] == kept["_kept"], "left_semi").select(*docs.columns)
+    gone = written(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+    return rows.join(few(gone), rows[key] == gone["_gone"], "left_anti").select(*docs.columns)
