@@ -22,8 +22,6 @@ from ludometry.llm.base import few, written
 WORDS, LEAST = 5, 0.8
 # Chance to miss an item of a large partition at the threshold.
 MISS = 1e-9
-# Items up to which they are broadcast with their shingles.
-ITEMS = 10_000
 
 
 def words(text: Column) -> Column:
@@ -31,49 +29,41 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
 
 
-def shingles(words_: Column, size: int = WORDS) -> Column:
-    """Distinct shingles as texts; none where there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words_) - F.lit(size - 1))
-    made = F.transform(starts, lambda start: F.array_join(F.slice(words_, start, size), " "))
-    return F.when(F.size(words_) >= size, F.array_distinct(made)).otherwise(F.array().cast("array<string>"))
+def _names(size: int) -> list[str]:
+    return [f"w{k}" for k in range(size)]
 
 
-def _shingle_hashes(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, hash) of every shingle of every document."""
-    hashed = docs.select("doc_id", F.transform(words(F.col("text")), lambda word: F.xxhash64(word)).alias("words"))
-    shifted = [F.slice("words", k + 1, F.greatest(F.size("words") - F.lit(size - 1), F.lit(0))) for k in range(size)]
-    rows = hashed.select("doc_id", F.inline(F.arrays_zip(*(own.alias(f"w{k}") for k, own in enumerate(shifted)))))
-    return rows.toDF("doc_id", *(f"w{k}" for k in range(size))).select(
-        "doc_id", F.xxhash64(*(f"w{k}" for k in range(size))).alias("hash")
-    )
-
+def shingles(rows: DataFrame, key: str, size: int = WORDS) -> DataFrame:
+    """(key, w0, w1, ...): every ``size`` consecutive words of every text, repeats included.
 
-def _items(benchmark: DataFrame, size: int) -> DataFrame:
-    """(item_id, shingles, n): items of at least one shingle; equal ids are one item."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), shingles(words(F.col("text")), size).alias("own"))
-    rows = rows.groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("own"))).alias("shingles"))
-    return rows.withColumn("n", F.size("shingles")).filter("n > 0")
+    The words are a column of their own before they are shifted against each
+    other, so that a text is split once; the rest is one pass of generated code.
+    """
+    split = rows.select(F.col(key).alias("key"), words(F.col("text")).alias("words"))
+    count = F.greatest(F.size("words") - F.lit(size - 1), F.lit(0))
+    shifted = [F.slice("words", k + 1, count).alias(name) for k, name in enumerate(_names(size))]
+    return split.select("key", F.inline(F.arrays_zip(*shifted))).toDF(key, *_names(size))
 
 
 def sketches(items: DataFrame, size: int = WORDS, least: float = LEAST, miss: float = MISS) -> DataFrame:
-    """(item_id, hash): the hashes of each item's minima.
+    """(item_id, hash): the hashes of the minima of items (item_id, w0, w1, ..., n).
 
     A partition holds the items of [2^k, 2^(k+1)) shingles. ``draws`` minima miss
     a document at the threshold with probability (1 - least)^draws.
     """
+    names = _names(size)
     draws = math.ceil(math.log(miss) / math.log(1 - least))
-    shingle = items.select("item_id", F.floor(F.log2("n")).alias("part"), F.explode("shingles").alias("shingle"))
-    small = F.pow(F.lit(2), F.col("part")) <= draws
-    orders = F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(draws - 1)))
-    drawn = shingle.withColumn("small", small).withColumn("draw", F.explode(orders))
-    # Small partitions group each shingle by itself, so that all of them are taken.
-    own = F.when(F.col("small"), F.col("shingle")).otherwise(F.lit(""))
+    part = F.floor(F.log2("n"))
+    # Small partitions take every shingle; their one order has a row of each.
+    small = F.pow(F.lit(2), part) <= draws
+    hashed = items.select("item_id", small.alias("small"), F.xxhash64(*names).alias("hash"))
+    orders = F.when(F.col("small"), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(draws - 1)))
+    drawn = hashed.withColumn("draw", F.explode(orders))
+    own = F.when(F.col("small"), F.col("hash")).otherwise(F.lit(0))
     minima = drawn.groupBy("item_id", "draw", own.alias("own")).agg(
-        F.min_by("shingle", F.xxhash64("draw", "shingle")).alias("shingle")
+        F.min_by("hash", F.xxhash64("draw", "hash")).alias("hash")
     )
-    word_hashes = F.transform(F.split("shingle", " "), lambda word: F.xxhash64(word))
-    hashed = minima.select("item_id", word_hashes.alias("words"))
-    return hashed.select("item_id", F.xxhash64(*(F.col("words")[k] for k in range(size))).alias("hash")).distinct()
+    return minima.select("item_id", "hash").distinct()
 
 
 def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
@@ -81,27 +71,28 @@ def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: f
 
     Documents are (doc_id, text), items (item_id, text), texts of any length.
     Null and empty texts, and items of fewer than ``size`` words, contain nothing
-    and are found nowhere. Items that share an id are one item of all their
-    shingles; a doc_id that repeats, or is null, is found if one of its rows
-    contains an item, with the largest share. Other columns are ignored; an empty
-    table on either side gives an empty result.
+    and are found nowhere. Rows that share an item_id are one item, rows that
+    share a doc_id, null among them, one document of all their shingles. Other
+    columns are ignored; an empty table on either side gives an empty result.
     """
+    names = _names(size)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = written(_items(benchmark, size), "items")
+    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    distinct = shingles(own, "item_id", size).distinct()
+    sizes = distinct.groupBy(F.col("item_id").alias("sized")).agg(F.count(F.lit(1)).alias("n"))
+    items = written(distinct.join(sizes, F.col("item_id").eqNullSafe(F.col("sized"))).drop("sized"), "items")
     sketch = few(written(sketches(items, size, least), "sketches"))
-    met = _shingle_hashes(rows, size).join(sketch, "hash").groupBy("doc_id", "item_id").agg(F.lit(1).alias("met"))
-    pairs = written(met.select(F.col("doc_id").alias("found_id"), "item_id"), "pairs")
-    lists = pairs.groupBy("found_id").agg(F.collect_set("item_id").alias("item_ids"))
-    own = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("found_id"))).select(
-        "doc_id", shingles(words(F.col("text")), size).alias("own"), F.explode("item_ids").alias("item_id")
-    )
-    both = own.join(few(items, ITEMS), "item_id").select(
-        "doc_id", "item_id", F.size(F.array_intersect("shingles", "own")).alias("shared"), "n"
-    )
-    share = F.max("shared") / F.max("n")
-    found = both.groupBy("doc_id", "item_id").agg(
-        F.max("shared").cast("long").alias("n_shared"), F.max("n").cast("long").alias("n_item"), share.alias("containment")
+    probes = shingles(rows, "doc_id", size).select("doc_id", F.xxhash64(*names).alias("hash"))
+    met = probes.join(sketch, "hash").select("doc_id", "item_id").distinct()
+    pairs = written(met.select(F.col("doc_id").alias("met_doc"), F.col("item_id").alias("met_item")), "pairs")
+    met_docs = few(written(pairs.select("met_doc").distinct(), "met"))
+    candidates = rows.join(met_docs, F.col("doc_id").eqNullSafe(F.col("met_doc")), "left_semi")
+    shared = shingles(candidates, "doc_id", size).join(few(items), names).select("doc_id", "item_id", "n", *names).distinct()
+    counted = shared.groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_shared"), F.first("n").alias("n_item")
     )
+    same = F.col("doc_id").eqNullSafe(F.col("met_doc")) & F.col("item_id").eqNullSafe(F.col("met_item"))
+    found = counted.join(pairs, same, "left_semi").withColumn("containment", F.col("n_shared") / F.col("n_item"))
     return found.filter(F.col("containment") >= least)
 
 
