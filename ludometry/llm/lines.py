@@ -294,6 +294,7 @@ def repeated_lines(docs: DataFrame, least: float = LEAST) -> DataFrame:
         own = own.join(clash, "line_id", "left_anti")
     classes = own.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
     twice = classes.filter("n > 1").select("class", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line"))
+    twice = few(written(twice, "first"))
     return own.join(twice, "class").filter("doc_id <> first_doc OR line <> first_line").select("doc_id", "line", "first_doc", "first_line")
 
 
