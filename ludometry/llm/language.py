@@ -186,6 +186,8 @@ def _labelled(model: Model, values: list[str | None]) -> tuple[list[np.ndarray],
     """Word numbers of each text, the words, and the label of each word of all texts."""
     words = WordTable()
     ids = [words.ids(text or "") for text in values]
+    if not model.languages:
+        return ids, words.words, np.zeros(sum(map(len, ids)), np.int8)
     scores = model.word_scores(words.words)
     joined = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     return ids, words.words, viterbi(scores[joined], np.array([len(x) for x in ids]), model.penalty)

@@ -345,12 +345,14 @@ def cleaned(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rows, key = numbered(docs, "doc_id", "text")
     own = rows.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"))
     repeated = repeated_lines(own, least).groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
-    gone = repeated.select(F.col("doc_id").alias("_own"), F.col("gone").alias("_gone"))
-    joined = rows.join(gone, rows[key] == gone["_own"], "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains("_gone", k))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    # The row is one column, so that no name of its own can clash.
+    whole = rows.select(F.col(key).alias("doc_id"), F.struct(*docs.columns).alias("row"))
+    joined = whole.join(repeated, "doc_id", "left")
+    before = F.col("row.text")
+    kept = F.filter(F.split(before, "\n", -1), lambda line, k: ~F.array_contains("gone", k))
+    text = F.when(F.col("gone").isNull(), before).otherwise(F.array_join(kept, "\n"))
     fields = {"text": text, "n_chars": F.length(text).cast("long")}
-    return joined.select(*(fields.get(c, F.col(c)).alias(c) for c in docs.columns))
+    return joined.select(*(fields.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def digests(docs: DataFrame, least: float = LEAST) -> DataFrame:
