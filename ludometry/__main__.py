@@ -20,6 +20,10 @@ from ludometry.sources.tables import read_or_empty
 JOBS = ["bronze", "silver", "enrich", "gold", "checks"]
 
 
+def _day(text: str) -> datetime.date | None:
+    return None if text == "undated" else datetime.date.fromisoformat(text)
+
+
 def parse(arguments: Sequence[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ludometry")
     parser.add_argument("root", help="folder of the lake, on any Hadoop file system")
@@ -30,8 +34,9 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
         "--date",
         dest="dates",
         action="append",
-        type=datetime.date.fromisoformat,
-        help="limit Bronze, Silver and enrichment to this day; may be repeated",
+        type=_day,
+        help="limit Bronze, Silver and enrichment to this day, or to rows without "
+        "one ('undated'); may be repeated",
     )
     parser.add_argument("--matches", choices=["full", "watermark"], default="full")
     parsed = parser.parse_args(arguments)

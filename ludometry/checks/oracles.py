@@ -196,11 +196,13 @@ registered AS (
 
 
 _MART = """
-SELECT user_id, username, country, fav_map, total_playtime, registration_date,
+SELECT user_id, username, country, fav_map,
        round(fav_map_win_ratio, 3) AS fav_map_win_ratio,
+       total_playtime,
        round(total_win_ratio, 3) AS total_win_ratio,
        round(avg_matches_per_session, 2) AS avg_matches_per_session,
-       if(country IS NULL, 'missing_country', 'valid') AS data_quality_status
+       registration_date,
+       CASE WHEN country IS NULL THEN 'missing_country' ELSE 'valid' END AS data_quality_status
 FROM registered LEFT JOIN totals USING (user_id) LEFT JOIN favorites USING (user_id)
 ORDER BY total_playtime DESC NULLS LAST
 """
@@ -229,6 +231,16 @@ UNION ALL
 SELECT * FROM delta
 """
 
+_SCHEMA_SQL = " UNION ALL ".join(
+    f"""
+SELECT '{table}' AS table_name, row_number() OVER () - 1 AS position, column_name,
+       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type,
+       1 AS nullable
+FROM (DESCRIBE {table})"""
+    for table in ("events", "customer", "orders", "lineitem")
+)
+
 _FREQ = """
 SELECT {c}, count(*) AS count FROM game GROUP BY {c} ORDER BY count DESC
 """
@@ -294,6 +306,8 @@ _MATCHES_SQL = _with(_GAME, _matches(), then="SELECT * FROM matches")
 ORACLES: dict[str, str] = {
     "bronze_ingest": _BRONZE_SQL,
     "bronze_incremental": _BRONZE_SQL,
+    "bronze_incremental_by_date": _BRONZE_SQL,
+    "table_schemas": _SCHEMA_SQL,
     "bronze_new_files": _BRONZE_SQL,
     "flat_load": _with(_GAME, _FLAT, then="SELECT * FROM flat"),
     "flat_clean": _with(

@@ -22,6 +22,7 @@ from ludometry.checks.fixtures import (
 from ludometry.operators import enrich, matches, profile, quality, sessions, stats
 from ludometry.operators.increment import upsert
 from ludometry.operators.mart import player_stats
+from ludometry.operators.normalize import with_event_time
 from ludometry.plans import bronze, flat, gold, silver
 from ludometry.plans.lake import Lake
 from ludometry.plans.views import register_views
@@ -142,6 +143,18 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_bronze(delivery.bronze())
 
 
+def bronze_incremental_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first delivery, then everything day by day, each day and the undated rows twice."""
+    delivery = _Delivery.start(spark, sf_dir)
+    delivery.ingest(delivery.deliver("first", before=CUT))
+    batch = read_events(spark, delivery.deliver())
+    days = [row.day for row in with_event_time(batch).select(F.col("event_date").alias("day")).distinct().collect()]
+    first, rest = days[: len(days) // 2], days[len(days) // 2 :]  # a calendar, not data
+    for chosen in (first, first, rest, [None], days[:1]):
+        bronze.append_new_events(spark, batch, delivery.lake, chosen)
+    return _show_bronze(delivery.bronze())
+
+
 def bronze_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files picked up as they arrive; the second call sees only new ones."""
     delivery = _Delivery.start(spark, sf_dir)
@@ -429,10 +442,27 @@ def raw_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.merged_raw_schema(read_lines(spark, raw))
 
 
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schemas of some tables as rows."""
+    described = [
+        profile.schema_profile(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        .withColumn("table_name", F.lit(name))
+        .withColumn("nullable", F.col("nullable").cast("int"))
+        .withColumn("position", F.col("position").cast("long"))
+        for name in ("events", "customer", "orders", "lineitem")
+    ]
+    out = described[0]
+    for rows in described[1:]:
+        out = out.unionByName(rows)
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "bronze_incremental": bronze_incremental,
+    "bronze_incremental_by_date": bronze_incremental_by_date,
     "bronze_new_files": bronze_new_files,
+    "table_schemas": table_schemas,
     "flat_load": flat_load,
     "flat_clean": flat_clean,
     "profile_scan": profile_scan,

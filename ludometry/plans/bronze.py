@@ -38,23 +38,28 @@ def append_new_events(
 ) -> int:
     """Append the rows of a raw batch that Bronze does not hold yet.
 
-    ``dates`` limits the look into Bronze to those days. It is exact as long as
-    an event never comes again with another timestamp.
+    ``dates`` limits the batch and the look into Bronze alike to those days; None
+    among them stands for rows without a day. What the batch holds of other days
+    is left for another call. An event that comes again with another timestamp
+    is found only if both days are given.
     """
     batch = with_event_time(batch)
+    if dates is not None:
+        batch = in_dates(batch, dates)
     stored = read_table(spark, lake.bronze_events, BRONZE_EVENT)
     if stored is None:
         return append_partitioned(batch, lake.bronze_events, "event_date")
     # Parsed once and with all fields; the corrupt flags depend on it.
     landing = scratch_path(spark, "bronze-landing")
-    arrived = overwrite(batch.withColumn("_key", content_key("id", PAYLOAD)), landing)
-    landed = spark.read.parquet(landing)
-    if dates is not None:
-        stored = in_dates(stored, dates)
-    fresh = new_rows(landed, _stored_keys(stored), "_key", arrived).drop("_key")
-    added = append_partitioned(fresh, lake.bronze_events, "event_date")
-    discard(spark, landing)
-    return added
+    try:
+        arrived = overwrite(batch.withColumn("_key", content_key("id", PAYLOAD)), landing)
+        landed = spark.read.parquet(landing)
+        if dates is not None:
+            stored = in_dates(stored, dates)
+        fresh = new_rows(landed, _stored_keys(stored), "_key", arrived).drop("_key")
+        return append_partitioned(fresh, lake.bronze_events, "event_date")
+    finally:
+        discard(spark, landing)
 
 
 def refresh_maps(spark: SparkSession, path: str, lake: Lake) -> int:

@@ -19,8 +19,8 @@ from ludometry.operators.stats import (
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
 from ludometry.session import scratch_path
-from ludometry.sinks.tables import append, overwrite
-from ludometry.sinks.versions import current_path, publish, read_current
+from ludometry.sinks.tables import overwrite
+from ludometry.sinks.versions import prune, publish, read_current
 from ludometry.sources.tables import discard, read_or_empty, stage_events, stage_maps
 
 
@@ -66,13 +66,16 @@ def update_matches(
 def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
     spark = delta.sparkSession
     landing = scratch_path(spark, "match-delta")
-    delta.write.parquet(landing)
-    landed = spark.read.schema(MATCH).parquet(landing)
-    if stored.join(landed.select(*MATCH_KEY), MATCH_KEY, "left_semi").isEmpty():
-        append(landed, current_path(spark, path))  # nothing to replace: no rewrite
-    else:
+    try:
+        delta.write.parquet(landing)
+        landed = spark.read.schema(MATCH).parquet(landing)
+        # Always a new version: files added to the current one become visible one
+        # by one, and a job that dies between them would move the watermark past
+        # matches that were never added.
         publish(upsert(stored, landed, MATCH_KEY), path)
-    discard(spark, landing)
+        prune(spark, path)
+    finally:
+        discard(spark, landing)
 
 
 def run_gold(
@@ -87,4 +90,5 @@ def run_gold(
     favorites = favorite_maps(spark.read.parquet(lake.user_map_stats), maps)
     totals = spark.read.parquet(lake.user_totals)
     overwrite(mart_player_stats(registrations(events), totals, favorites), lake.player_stats)
+    # The mart is written in its order; a read has to ask for it again.
     return spark.read.parquet(lake.player_stats).orderBy(F.desc_nulls_last("total_playtime"))

@@ -205,7 +205,17 @@ def test_bronze_within_days(spark, lake):
     batch = read_events(spark, path)
     assert bronze.append_new_events(spark, batch, lake) == 2
     assert bronze.append_new_events(spark, batch, lake, dates=[DAY, None]) == 0
-    assert bronze.append_new_events(spark, batch, lake, dates=[DAY]) == 1  # the undated one again
+    assert bronze.append_new_events(spark, batch, lake, dates=[DAY]) == 0
+    assert bronze.append_new_events(spark, batch, lake, dates=[None]) == 0
+
+
+def test_a_day_limits_the_batch_too(spark, lake):
+    path = write_lines(f"{lake.root}/raw/a.jsonl", [raw_line("1"), raw_line("2", None)])
+    batch = read_events(spark, path)
+    assert bronze.append_new_events(spark, batch, lake, dates=[DAY]) == 1
+    assert bronze.append_new_events(spark, batch, lake, dates=[DAY]) == 0
+    assert bronze.append_new_events(spark, batch, lake, dates=[None]) == 1
+    assert bronze.append_new_events(spark, batch, lake) == 0
 
 
 def test_empty_delivery_adds_no_data(spark, lake, tmp_path):
