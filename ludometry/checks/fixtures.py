@@ -137,6 +137,11 @@ def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def top_level_map_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variant with the map beside the profile, which lies under ``event_data``."""
+    return _lines(_details(spark, sf_dir), f"map_id, struct({RAW_PROFILE}) AS event_data", "")
+
+
 def map_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map dimension as raw lines, each region also in four damaged shapes."""
     key, name = "CAST(r_regionkey AS STRING)", "concat(' ', r_name, ' ') AS name"

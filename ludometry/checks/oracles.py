@@ -218,9 +218,11 @@ def _with(*parts: str, then: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n" + then.strip()
 
 
-# The matches of the first delivery, before 2024-01-20, as the stored table.
+# The matches of the first delivery, before 2024-01-20 and without the week
+# before 2024-01-15, as the stored table.
 _FIRST = (
-    "early AS (SELECT * FROM game WHERE timestamp < 1705708800)",
+    """early AS (SELECT * FROM game WHERE timestamp < 1705708800
+              AND (timestamp < 1704672000 OR timestamp >= 1705276800))""",
     _matches("early", "early_"),
     "stored AS (SELECT * FROM early_matches)",
 )
@@ -264,6 +266,20 @@ UNION ALL
 SELECT 'total_playtime_not_negative', count(*) FILTER (total_playtime < 0) FROM mart
 """
 
+_DAMAGED = """
+mart AS (
+  SELECT CASE WHEN total_playtime IS NOT NULL OR country IS NULL THEN user_id END AS user_id,
+         CASE WHEN total_playtime IS NOT NULL OR country > 'NATION_2' THEN username END AS username,
+         CASE WHEN registration_date >= '2024-01-05' THEN registration_date END
+           AS registration_date,
+         fav_map_win_ratio * 1.5 AS fav_map_win_ratio,
+         total_win_ratio - 0.25 AS total_win_ratio,
+         CASE WHEN country IS NULL THEN total_playtime - 1000000 ELSE total_playtime END
+           AS total_playtime
+  FROM (SELECT * FROM whole UNION ALL SELECT * FROM whole WHERE country IS NULL)
+)
+"""
+
 # The raw lines rebuilt as JSON; json_merge_patch leaves out null members, as
 # the raw lines do.
 _LINES = """
@@ -299,6 +315,31 @@ SELECT path,
 FROM fields GROUP BY 1, 2
 """
 
+# A field of several kinds is a variant; the only numbers with a point are outcomes.
+_MERGED_SCHEMA = """
+, kinds AS (
+  SELECT path,
+         CASE WHEN count(DISTINCT kind) > 1 THEN 'VARIANT'
+              WHEN min(kind) = 'VARCHAR' THEN 'STRING'
+              WHEN min(kind) = 'DOUBLE' THEN 'DECIMAL('
+                || max(length(cast(try_cast(field AS double)::bigint AS varchar)))
+                  FILTER (kind = 'DOUBLE') || ',0)'
+              WHEN min(kind) IN ('BIGINT', 'UBIGINT') THEN 'BIGINT' END AS type
+  FROM fields WHERE kind <> 'OBJECT' GROUP BY path
+),
+nested AS (
+  SELECT 'OBJECT<' || string_agg(substr(path, 12) || ': ' || type, ', ' ORDER BY path) || '>'
+           AS type
+  FROM kinds WHERE starts_with(path, 'event_data.')
+),
+outer_kinds AS (
+  SELECT path, type FROM kinds WHERE NOT contains(path, '.')
+  UNION ALL SELECT 'event_data', type FROM nested
+)
+SELECT 'OBJECT<' || string_agg(path || ': ' || type, ', ' ORDER BY path) || '>' AS merged_schema
+FROM outer_kinds
+"""
+
 _BRONZE_SQL = _with(_GAME, _BRONZE, then=_BRONZE_ROWS)
 _SESSIONS_SQL = _with(_GAME, _matches(), then="SELECT * FROM sessions")
 _MATCHES_SQL = _with(_GAME, _matches(), then="SELECT * FROM matches")
@@ -325,6 +366,15 @@ FROM flat WHERE id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NUL
         then="""
 SELECT id AS event_id, timestamp, event_type, user_id, country, device_os, username
 FROM flat WHERE id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL""",
+    ),
+    "top_level_map_validate": _with(
+        _GAME,
+        _BRONZE,
+        _SILVER,
+        then="""
+SELECT event_id, timestamp, event_type, user_id, map_id, country, device_os, username,
+       validation_error, is_valid, event_second
+FROM checked""",
     ),
     "silver_validate": _with(_GAME, _BRONZE, _SILVER, then="SELECT * FROM silver"),
     "silver_quarantine": _with(_GAME, _BRONZE, _SILVER, then="SELECT * FROM quarantine"),
@@ -389,7 +439,7 @@ delta AS (
     ),
     "matches_rebuilt": _MATCHES_SQL,
     "matches_upsert": _with(
-        _GAME, *_FIRST, _matches(), "delta AS (SELECT * FROM matches)", then=_KEPT
+        _GAME, *_FIRST, _matches(), "delta AS (SELECT * FROM matches WHERE map_id = '3')", then=_KEPT
     ),
     "registrations": _with(_GAME, _registrations(), then="SELECT * FROM registered"),
     "registrations_first": _with(
@@ -473,7 +523,18 @@ UNION ALL SELECT 'quarantined_maps', count(*) FROM map_checked WHERE is_valid =
         f"counted AS ({_CHECK_ROWS})",
         then="""
 SELECT check_name, violations, CASE WHEN violations = 0 THEN 1 ELSE 0 END AS passed
+FROM counted""",
+    ),
+    "quality_checks_damaged": _with(
+        _GAME,
+        _statistics(),
+        f"whole AS ({_MART})",
+        _DAMAGED,
+        f"counted AS ({_CHECK_ROWS})",
+        then="""
+SELECT check_name, violations, CASE WHEN violations = 0 THEN 1 ELSE 0 END AS passed
 FROM counted""",
     ),
     "raw_field_profile": _with(_GAME, _BRONZE, _LINES, then=_FIELD_PROFILE),
+    "raw_schema": _with(_GAME, _BRONZE, _LINES, then=_MERGED_SCHEMA),
 }

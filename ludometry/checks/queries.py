@@ -18,6 +18,7 @@ from ludometry.checks.fixtures import (
     game_maps,
     map_lines,
     profile_lines,
+    top_level_map_lines,
 )
 from ludometry.operators import enrich, matches, profile, quality, sessions, stats
 from ludometry.operators.increment import upsert
@@ -46,6 +47,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Second of the cut between a first and a second delivery: 2024-01-20.
 CUT = 1_705_708_800
 
+# The week before 2024-01-15, whose events come with the second delivery.
+LATE_FROM, LATE_TO = 1_704_672_000, 1_705_276_800
+
 # Low enough that the busiest players take the sliced plan at every scale: rows
 # of all their events, and of those that make up matches.
 CROWDED_EVENTS = 80
@@ -231,6 +235,27 @@ def profile_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.scan_profiles(spark, raw)
 
 
+def top_level_map_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the early shape, cleaned and validated, good and bad."""
+    folder = scratch_path(spark, "early")
+    raw = f"{folder}/raw"
+    top_level_map_lines(spark, sf_dir).select("value").write.text(raw)
+    stored = flat.load_top_level_maps(spark, raw, f"{folder}/bronze")
+    return flat.refine_top_level_maps(stored).select(
+        "event_id",
+        "timestamp",
+        "event_type",
+        "user_id",
+        "map_id",
+        "country",
+        "device_os",
+        "username",
+        "validation_error",
+        F.col("is_valid").cast("int").alias("is_valid"),
+        F.unix_seconds("event_timestamp").alias("event_second"),
+    )
+
+
 def events_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = game_events(spark, sf_dir).drop("event_timestamp")
     return enrich.with_map_names(events, game_maps(spark, sf_dir))
@@ -289,11 +314,20 @@ def completed_matches_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.matches(game_events(spark, sf_dir), hot_rows=CROWDED_PLAYS)
 
 
+def _first_delivery(events: DataFrame) -> DataFrame:
+    """Events before the cut, less those of the week that is delivered late."""
+    late = F.col("timestamp").between(LATE_FROM, LATE_TO - 1)
+    return events.filter((F.col("timestamp") < CUT) & ~late)
+
+
 def matches_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The match table after a first delivery and a watermark update."""
+    """The match table after a first delivery and a watermark update.
+
+    Finishes of the late week lie before the watermark and are not added.
+    """
     events = game_events(spark, sf_dir)
     table = scratch_path(spark, "matches")
-    gold.update_matches(events.filter(F.col("timestamp") < CUT), table)
+    gold.update_matches(_first_delivery(events), table)
     return gold.update_matches(events, table, mode="watermark")
 
 
@@ -301,17 +335,20 @@ def matches_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The match table after a first delivery and a full rebuild."""
     events = game_events(spark, sf_dir)
     table = scratch_path(spark, "matches")
-    gold.update_matches(events.filter(F.col("timestamp") < CUT), table)
+    gold.update_matches(_first_delivery(events), table)
     return gold.update_matches(events, table, mode="full")
 
 
 def matches_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key-wise replacement: matches of all events replace those of the first days."""
+    """Key-wise replacement: matches of the first delivery, one map's played anew.
+
+    Matches of the other maps stay as they were stored.
+    """
     events = game_events(spark, sf_dir)
     stored = scratch_path(spark, "stored")
-    append(matches.matches(events.filter(F.col("timestamp") < CUT)), stored)
-    everything = matches.matches(events)
-    return upsert(spark.read.schema(MATCH).parquet(stored), everything, MATCH_KEY)
+    append(matches.matches(_first_delivery(events)), stored)
+    one_map = matches.matches(events).filter(F.col("map_id") == "3")
+    return upsert(spark.read.schema(MATCH).parquet(stored), one_map, MATCH_KEY)
 
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +394,9 @@ def mart_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze.run_bronze(spark, delivery.lake, delivery.deliver(), delivery.deliver_maps())
     silver.run_silver(spark, delivery.lake)
     gold.run_gold(spark, delivery.lake)
-    register_views(spark, delivery.lake)
+    register_views(
+        spark, delivery.lake, names=["mart_player_stats", "int_user_totals", "int_match_starts"]
+    )
     return spark.sql(
         """
         SELECT m.user_id, m.fav_map, m.total_playtime, t.total_sessions, count(*) AS starts,
@@ -419,6 +458,28 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_checks_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks on a mart with null, repeated, out-of-range and negative rows."""
+    mart = player_stats(game_events(spark, sf_dir), game_maps(spark, sf_dir))
+    idle = F.col("total_playtime").isNull()
+    countryless = F.col("country").isNull()
+    damaged = mart.unionByName(mart.filter(countryless)).withColumns(
+        {
+            "user_id": F.when(~idle | countryless, F.col("user_id")),
+            "username": F.when(~idle | (F.col("country") > "NATION_2"), F.col("username")),
+            "registration_date": F.when(
+                F.col("registration_date") >= "2024-01-05", F.col("registration_date")
+            ),
+            "fav_map_win_ratio": F.col("fav_map_win_ratio") * 1.5,
+            "total_win_ratio": F.col("total_win_ratio") - 0.25,
+            "total_playtime": F.when(
+                countryless, F.col("total_playtime") - 1_000_000
+            ).otherwise(F.col("total_playtime")),
+        }
+    )
+    return quality.mart_checks(damaged).withColumn("passed", F.col("passed").cast("int"))
+
+
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged events with the staged name of their map, read from Silver."""
     delivery = _Delivery.start(spark, sf_dir)
@@ -436,7 +497,7 @@ def raw_field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The schema that covers all lines; its text has no counterpart in SQL."""
+    """The schema that covers all lines, as text."""
     raw = scratch_path(spark, "lines")
     event_lines(spark, sf_dir).select("value").write.text(raw)
     return profile.merged_raw_schema(read_lines(spark, raw))
@@ -466,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "flat_load": flat_load,
     "flat_clean": flat_clean,
     "profile_scan": profile_scan,
+    "top_level_map_validate": top_level_map_validate,
     "silver_validate": silver_validate,
     "silver_quarantine": silver_quarantine,
     "silver_incremental": silver_incremental,
@@ -500,6 +562,7 @@ QUERIES: dict[str, Query] = {
     "first_events": first_events,
     "layer_counts": layer_counts,
     "quality_checks": quality_checks,
+    "quality_checks_damaged": quality_checks_damaged,
     "raw_field_profile": raw_field_profile,
     "raw_schema": raw_schema,
 }

@@ -6,6 +6,7 @@ from ludometry.functions.columns import (
     epoch_timestamp,
     lower_trim,
     ratio,
+    record_digest,
     round_half,
     upper_trim,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "epoch_timestamp",
     "lower_trim",
     "ratio",
+    "record_digest",
     "round_half",
     "upper_trim",
 ]

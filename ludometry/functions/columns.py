@@ -53,6 +53,11 @@ def round_half(value: Column, digits: int) -> Column:
     return F.round(value * scale) / scale
 
 
+def record_digest(payload: Sequence[str], corrupt: str = "invalid_record") -> Column:
+    """Digest of a raw line that did not parse, or of the fields of one that did."""
+    return F.sha2(F.coalesce(F.col(corrupt), F.to_json(F.struct(*payload))), 256)
+
+
 def content_key(key: str, payload: Sequence[str], corrupt: str = "invalid_record") -> Column:
     """Identity of a record that may lack its key.
 
@@ -60,8 +65,6 @@ def content_key(key: str, payload: Sequence[str], corrupt: str = "invalid_record
     digest of its raw line, or of its fields where the line was well-formed.
     The one-letter tag keeps both kinds from meeting in one join.
     """
-    fields = F.to_json(F.struct(*payload))
-    digest = F.sha2(F.coalesce(F.col(corrupt), fields), 256)
     return F.when(F.col(key).isNotNull(), F.concat(F.lit("k"), F.col(key))).otherwise(
-        F.concat(F.lit("d"), digest)
+        F.concat(F.lit("d"), record_digest(payload, corrupt))
     )

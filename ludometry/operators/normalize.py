@@ -28,8 +28,11 @@ def with_event_time(events: DataFrame) -> DataFrame:
     )
 
 
-def flatten_events(bronze: DataFrame) -> DataFrame:
-    """One flat row per event; a null ``event_data`` gives null fields."""
+def flatten_events(bronze: DataFrame, *kept: str) -> DataFrame:
+    """One flat row per event; a null ``event_data`` gives null fields.
+
+    ``kept`` names further columns that pass as they are.
+    """
     renamed = {"session_state": "state"}
     nested = [
         F.col(f"event_data.{renamed.get(name, name)}").alias(name)
@@ -44,7 +47,7 @@ def flatten_events(bronze: DataFrame) -> DataFrame:
         )
     ]
     return bronze.select(
-        F.col("id").alias("event_id"), "timestamp", "event_type", "user_id", *nested, CORRUPT
+        F.col("id").alias("event_id"), "timestamp", "event_type", "user_id", *nested, CORRUPT, *kept
     )
 
 

@@ -11,14 +11,12 @@ from ludometry.functions import content_key
 from ludometry.operators.increment import in_dates, new_rows
 from ludometry.operators.normalize import with_event_time
 from ludometry.plans.lake import Lake
-from ludometry.schemas import BRONZE_EVENT, CORRUPT, RAW_EVENT
+from ludometry.schemas import BRONZE_EVENT, RAW_PAYLOAD
 from ludometry.session import scratch_path
 from ludometry.sinks.tables import append_partitioned, overwrite
 from ludometry.sources.jsonlines import read_events, read_maps
 from ludometry.sources.tables import discard, read_table
 
-PAYLOAD = [name for name in RAW_EVENT.fieldNames() if name != CORRUPT]
-
 
 def _stored_keys(stored: DataFrame) -> DataFrame:
     """Record keys of Bronze.
@@ -26,7 +24,7 @@ def _stored_keys(stored: DataFrame) -> DataFrame:
     Rows with an id need that one column only. Rows without are found by the
     null counts in the Parquet footers, and just those are read whole.
     """
-    key = content_key("id", PAYLOAD).alias("_key")
+    key = content_key("id", RAW_PAYLOAD).alias("_key")
     with_id = stored.filter(F.col("id").isNotNull()).select(
         F.concat(F.lit("k"), "id").alias("_key")
     )
@@ -52,7 +50,7 @@ def append_new_events(
     # Parsed once and with all fields; the corrupt flags depend on it.
     landing = scratch_path(spark, "bronze-landing")
     try:
-        arrived = overwrite(batch.withColumn("_key", content_key("id", PAYLOAD)), landing)
+        arrived = overwrite(batch.withColumn("_key", content_key("id", RAW_PAYLOAD)), landing)
         landed = spark.read.parquet(landing)
         if dates is not None:
             stored = in_dates(stored, dates)

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.operators.normalize import clean_events, flatten_profiles
-from ludometry.schemas import FLAT_EVENT, RAW_PROFILE_EVENT
+from ludometry.operators.normalize import (
+    clean_events,
+    flatten_profiles,
+    flatten_top_level_map,
+    stamped,
+    with_event_time,
+)
+from ludometry.operators.quality import event_rules, validate
+from ludometry.schemas import FLAT_EVENT, RAW_PROFILE_EVENT, RAW_TOP_LEVEL_MAP_EVENT
 from ludometry.sinks.tables import append, overwrite
 from ludometry.sources.jsonlines import read_flat_events, read_json_lines
 
@@ -32,6 +39,19 @@ def rebuild_clean_flat(flat: DataFrame, table: str) -> DataFrame:
     return flat.sparkSession.read.schema(cleaned.schema).parquet(table)
 
 
+def load_top_level_maps(spark: SparkSession, raw_path: str, table: str) -> DataFrame:
+    """Append events of the early shape, bad lines with them, as they are."""
+    append(read_json_lines(spark, raw_path, RAW_TOP_LEVEL_MAP_EVENT), table)
+    return spark.read.schema(RAW_TOP_LEVEL_MAP_EVENT).parquet(table)
+
+
+def refine_top_level_maps(stored: DataFrame, at: Column | None = None) -> DataFrame:
+    """Flat, clean and validated events of the early shape, good and bad together."""
+    cleaned = clean_events(flatten_top_level_map(stored))
+    timed = with_event_time(cleaned).drop("event_date")
+    return stamped(validate(timed, event_rules()), at)
+
+
 def scan_profiles(spark: SparkSession, raw_path: str) -> DataFrame:
     """Profile events as they are, without those that lack a required field.
 

@@ -20,7 +20,7 @@ from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
 from ludometry.session import scratch_path
 from ludometry.sinks.tables import overwrite
-from ludometry.sinks.versions import prune, publish, read_current
+from ludometry.sinks.versions import extend, prune, publish, read_current
 from ludometry.sources.tables import discard, read_or_empty, stage_events, stage_maps
 
 
@@ -69,11 +69,11 @@ def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
     try:
         delta.write.parquet(landing)
         landed = spark.read.schema(MATCH).parquet(landing)
-        # Always a new version: files added to the current one become visible one
-        # by one, and a job that dies between them would move the watermark past
-        # matches that were never added.
-        publish(upsert(stored, landed, MATCH_KEY), path)
-        prune(spark, path)
+        if stored.join(landed, MATCH_KEY, "left_semi").isEmpty():
+            extend(landed, path)
+        else:
+            publish(upsert(stored, landed, MATCH_KEY), path)
+            prune(spark, path)
     finally:
         discard(spark, landing)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ludometry.functions import record_digest
 from ludometry.operators.enrich import with_map_names
 from ludometry.operators.increment import BROADCAST_KEYS, in_dates, unprocessed_keys
 from ludometry.operators.normalize import (
@@ -18,7 +19,15 @@ from ludometry.operators.normalize import (
 )
 from ludometry.operators.quality import event_rules, map_rules, one_per_key, split, validate
 from ludometry.plans.lake import Lake
-from ludometry.schemas import BRONZE_EVENT, BRONZE_MAP, CORRUPT, SILVER_EVENT, SILVER_MAP
+from ludometry.schemas import (
+    BRONZE_EVENT,
+    BRONZE_MAP,
+    QUARANTINED_EVENT,
+    RAW_PAYLOAD,
+    RECORD_KEY,
+    SILVER_EVENT,
+    SILVER_MAP,
+)
 from ludometry.session import ensure_checkpoints
 from ludometry.sinks.tables import append_partitioned, overwrite, overwrite_partitions
 from ludometry.sources.tables import read_or_empty, read_table
@@ -43,9 +52,15 @@ EVENT_COPIES = [
 
 def refine_events(bronze: DataFrame, at: Column | None = None) -> DataFrame:
     """Flat, clean and validated events, good and bad together."""
-    timed = with_event_time(clean_events(flatten_events(bronze)))
+    return refine_records(bronze, at).drop(RECORD_KEY)
+
+
+def refine_records(bronze: DataFrame, at: Column | None = None) -> DataFrame:
+    """The same, each event with the digest of its raw record, which bad ones keep."""
+    named = bronze.withColumn(RECORD_KEY, record_digest(RAW_PAYLOAD))
+    timed = with_event_time(clean_events(flatten_events(named, RECORD_KEY)))
     checked = stamped(validate(timed, event_rules()), at)
-    return checked.select(*SILVER_EVENT.fieldNames())
+    return checked.select(*QUARANTINED_EVENT.fieldNames())
 
 
 def refine_maps(bronze: DataFrame, at: Column | None = None) -> DataFrame:
@@ -55,7 +70,7 @@ def refine_maps(bronze: DataFrame, at: Column | None = None) -> DataFrame:
 
 def accepted_events(refined: DataFrame) -> DataFrame:
     # Valid rows have an id; saying so prunes the scan of rows without one.
-    with_id = refined.filter(F.col("event_id").isNotNull())
+    with_id = refined.filter(F.col("event_id").isNotNull()).drop(RECORD_KEY)
     return one_per_key(split(with_id)[0], "event_id", EVENT_COPIES)
 
 
@@ -63,58 +78,82 @@ def accepted_maps(refined: DataFrame) -> DataFrame:
     return one_per_key(split(refined)[0], "map_id", ["map_name"])
 
 
-def _quarantine_key() -> Column:
-    """Digest of the whole record: two different bad rows may share an id."""
-    return F.sha2(F.to_json(F.struct("event_id", *EVENT_COPIES, CORRUPT)), 256).alias("_digest")
-
-
 def not_yet_quarantined(rejected: DataFrame, quarantined: DataFrame | None) -> DataFrame:
+    """Bad rows whose raw record is not quarantined.
+
+    Bronze takes all copies of a record from one delivery, so a record is
+    quarantined with all its copies or not at all. Records that are spelled
+    differently and clean to the same row are two records.
+    """
     if quarantined is None:
         return rejected
-    known = quarantined.select(_quarantine_key()).distinct()
-    keyed = rejected.withColumn("_digest", _quarantine_key())
-    return keyed.join(known, "_digest", "left_anti").drop("_digest")
+    return rejected.join(quarantined.select(RECORD_KEY).distinct(), RECORD_KEY, "left_anti")
 
 
 def new_events(
     spark: SparkSession, lake: Lake, dates: Sequence | None = None, at: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected events of Bronze whose id Silver does not hold.
+    """Accepted and rejected events of Bronze that Silver and quarantine do not hold.
 
-    Rows without an id are always among the rejected. Usually Silver holds
+    Rows without an id are found by their records. Usually the two hold
     nearly all of Bronze: then only the ids are compared, and the few new ones
     are sent to the wide rows. When there are too many to send, the rows are
     joined with Silver's ids, the accepted ones after their copies are gone.
     """
     bronze = read_or_empty(spark, lake.bronze_events, BRONZE_EVENT)
     silver = read_table(spark, lake.silver_events, SILVER_EVENT)
+    quarantined = read_table(spark, lake.quarantined_events, QUARANTINED_EVENT)
     if dates is not None:
         bronze = in_dates(bronze, dates)
         silver = None if silver is None else in_dates(silver, dates)
+        quarantined = None if quarantined is None else in_dates(quarantined, dates)
     if silver is None:
-        refined = refine_events(bronze, at)
-        return accepted_events(refined), split(refined)[1]
+        refined = refine_records(bronze, at)
+        return accepted_events(refined), not_yet_quarantined(split(refined)[1], quarantined)
 
     done = silver.select("event_id")
-    fresh = fresh_ids(bronze, done)
+    fresh = fresh_ids(bronze, done, quarantined)
     if fresh.count() <= BROADCAST_KEYS:
-        refined = refine_events(rows_of(bronze, fresh), at)
-        return accepted_events(refined), split(refined)[1]
-    refined = refine_events(bronze, at)
+        refined = refine_records(rows_of(bronze, fresh), at)
+        return accepted_events(refined), not_yet_quarantined(split(refined)[1], quarantined)
+    refined = refine_records(bronze, at)
     return (
         accepted_events(refined).join(done, "event_id", "left_anti"),
-        split(refined)[1].join(done, "event_id", "left_anti"),
+        not_yet_quarantined(split(refined)[1], quarantined),
     )
 
 
-def fresh_ids(bronze: DataFrame, done: DataFrame) -> DataFrame:
-    """Ids, and the days they lie in, that Silver does not hold; narrow on both sides.
+def fresh_ids(
+    bronze: DataFrame, done: DataFrame, quarantined: DataFrame | None = None
+) -> DataFrame:
+    """Ids, and the days they lie in, that are still to be looked at; narrow everywhere.
+
+    An id that Silver does not hold is done with on a day when quarantine holds
+    all its rows of that day. Some of them do not settle it: quarantine is
+    written first, and a job that dies then leaves good rows of the id behind.
 
-    Both writes use them; pinned, they are found once.
+    Rows are counted before the lookup, so a crowded id is one row per input
+    partition. Both writes use the result; pinned, it is found once.
     """
     ensure_checkpoints(bronze.sparkSession)
-    keys = bronze.select(F.col("id").alias("event_id"), "event_date")
-    return unprocessed_keys(keys, done, "event_id").checkpoint()
+    every = _rows_per_id(bronze.withColumnRenamed("id", "event_id"), "_rows")
+    fresh = unprocessed_keys(every, done, "event_id")
+    if quarantined is not None:
+        held = _rows_per_id(quarantined, "_held").withColumnsRenamed(
+            {"event_id": "_id", "event_date": "_day"}
+        )
+        settled = (
+            (F.col("event_id") == F.col("_id"))
+            & F.col("event_date").eqNullSafe(F.col("_day"))
+            & (F.col("_rows") <= F.col("_held"))
+        )
+        fresh = fresh.join(held, settled, "left_anti")
+    return fresh.select("event_id", "event_date").checkpoint()
+
+
+def _rows_per_id(events: DataFrame, name: str) -> DataFrame:
+    with_id = events.filter(F.col("event_id").isNotNull())
+    return with_id.groupBy("event_id", "event_date").agg(F.count(F.lit(1)).alias(name))
 
 
 def rows_of(bronze: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -138,8 +177,6 @@ def run_silver(
     still finds the good ones, whose ids Silver does not hold yet.
     """
     accepted, rejected = new_events(spark, lake, dates, at)
-    quarantined = read_table(spark, lake.quarantined_events, SILVER_EVENT)
-    rejected = not_yet_quarantined(rejected, quarantined)
     maps = refine_maps(read_or_empty(spark, lake.bronze_maps, BRONZE_MAP), at)
     return {
         "quarantined_events": append_partitioned(rejected, lake.quarantined_events, "event_date"),

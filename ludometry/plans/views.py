@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ludometry.operators.matches import match_finishes, match_starts
@@ -16,45 +19,56 @@ from ludometry.sources.tables import folder_names, read_or_empty, stage_events,
 
 def lake_tables(
     spark: SparkSession, lake: Lake, hot_rows: int = HOT_ROWS
-) -> dict[str, DataFrame]:
-    """Everything in the lake by name: stored tables, and views computed when read.
+) -> dict[str, Callable[[], DataFrame]]:
+    """Everything in the lake by name, each made when it is called for.
 
-    Statistics tables are listed once Gold has written them.
+    Making a stored table reads no row. Making one of the numbered views counts
+    the events of each player once, to choose its plan. Statistics tables are
+    listed once Gold has written them.
     """
     silver_events = read_or_empty(spark, lake.silver_events, SILVER_EVENT)
     silver_maps = read_or_empty(spark, lake.silver_maps, SILVER_MAP)
     events = stage_events(silver_events)
-    tables = {
-        "bronze_events": read_or_empty(spark, lake.bronze_events, BRONZE_EVENT),
-        "bronze_maps": read_or_empty(spark, lake.bronze_maps, BRONZE_MAP),
-        "silver_events": silver_events,
-        "silver_maps": silver_maps,
-        "quarantine_events": read_or_empty(spark, lake.quarantined_events, SILVER_EVENT),
-        "quarantine_maps": read_or_empty(spark, lake.quarantined_maps, SILVER_MAP),
-        "stg_events": events,
-        "stg_maps": stage_maps(silver_maps),
-        "int_events_sessions": event_sessions(events, hot_rows),
-        "int_match_starts": match_starts(events, hot_rows),
-        "int_match_finishes": match_finishes(events, hot_rows),
+    tables: dict[str, Callable[[], DataFrame]] = {
+        "bronze_events": lambda: read_or_empty(spark, lake.bronze_events, BRONZE_EVENT),
+        "bronze_maps": lambda: read_or_empty(spark, lake.bronze_maps, BRONZE_MAP),
+        "silver_events": lambda: silver_events,
+        "silver_maps": lambda: silver_maps,
+        "quarantine_events": lambda: read_or_empty(spark, lake.quarantined_events, SILVER_EVENT),
+        "quarantine_maps": lambda: read_or_empty(spark, lake.quarantined_maps, SILVER_MAP),
+        "stg_events": lambda: events,
+        "stg_maps": lambda: stage_maps(silver_maps),
+        "int_events_sessions": lambda: event_sessions(events, hot_rows),
+        "int_match_starts": lambda: match_starts(events, hot_rows),
+        "int_match_finishes": lambda: match_finishes(events, hot_rows),
     }
     matches = read_current(spark, lake.matches, MATCH)
     if matches is not None:
-        tables["int_matches"] = matches
+        tables["int_matches"] = lambda: matches
     if folder_names(spark, lake.enriched_events) is not None:
-        tables["events_enriched"] = read_enriched(spark, lake)
+        tables["events_enriched"] = lambda: read_enriched(spark, lake)
     for name, path in {
         "int_user_map_stats": lake.user_map_stats,
         "int_user_totals": lake.user_totals,
         "mart_player_stats": lake.player_stats,
     }.items():
         if folder_names(spark, path) is not None:
-            tables[name] = spark.read.parquet(path)
+            tables[name] = partial(spark.read.parquet, path)
     return tables
 
 
-def register_views(spark: SparkSession, lake: Lake, hot_rows: int = HOT_ROWS) -> list[str]:
-    """Make the lake's tables temporary views for ``spark.sql``; returns their names."""
+def register_views(
+    spark: SparkSession,
+    lake: Lake,
+    hot_rows: int = HOT_ROWS,
+    names: Sequence[str] | None = None,
+) -> list[str]:
+    """Make the lake's tables temporary views for ``spark.sql``; returns their names.
+
+    ``names`` chooses some, and only the numbered views among them run a job.
+    """
     tables = lake_tables(spark, lake, hot_rows)
-    for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
-    return list(tables)
+    chosen = list(tables) if names is None else list(names)
+    for name in chosen:
+        tables[name]().createOrReplaceTempView(name)
+    return chosen

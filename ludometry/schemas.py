@@ -36,6 +36,8 @@ RAW_EVENT = _schema(
     ),
     _BAD_LINE,
 )
+# What tells one raw event from another.
+RAW_PAYLOAD = [name for name in RAW_EVENT.fieldNames() if name != CORRUPT]
 # Older producers nest the profile under "user" and send no match fields.
 RAW_PROFILE_EVENT = _schema(_RAW_HEAD, _fields(_schema(_PROFILE), "user"), _BAD_LINE)
 # Another early shape: the map at the top level, the profile under "event_data".
@@ -75,6 +77,9 @@ SILVER_EVENT = _schema(
     _VERDICT,
     _fields(DAY, "event_date"),
 )
+# Quarantine also keeps which raw record a row came from.
+RECORD_KEY = "record_key"
+QUARANTINED_EVENT = _schema(SILVER_EVENT.fields, _fields(STRING, RECORD_KEY))
 SILVER_MAP = _schema(STAGED_MAP.fields, _BAD_LINE, _VERDICT)
 
 MATCH = _schema(

@@ -2,7 +2,9 @@
 
 A Parquet path cannot be replaced by a plan that reads it. Each rewrite goes
 to a new ``version=N`` folder; readers take the highest one that Spark marked
-complete, so a job that dies half-way leaves the table as it was.
+complete, so a job that dies half-way leaves the table as it was. Rows that are
+only added go to a ``delta=N-K`` folder of their own, read under the same rule:
+files put into the version itself would become visible one by one.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 from ludometry.sources.tables import discard, folder_names
 
 PREFIX = "version="
+DELTA = "delta="
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -20,11 +23,21 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name[len(PREFIX) :]) for name in names if name.startswith(PREFIX))
 
 
+def _deltas(spark: SparkSession, path: str, version: int) -> list[str]:
+    """Folders of rows added to a version, unfinished ones among them."""
+    names = folder_names(spark, path) or []
+    return sorted(name for name in names if name.startswith(f"{DELTA}{version}-"))
+
+
+def _is_complete(spark: SparkSession, folder: str) -> bool:
+    return "_SUCCESS" in folder_names(spark, folder)
+
+
 def _complete(spark: SparkSession, path: str) -> list[int]:
     return [
         number
         for number in _versions(spark, path)
-        if "_SUCCESS" in folder_names(spark, f"{path}/{PREFIX}{number}")
+        if _is_complete(spark, f"{path}/{PREFIX}{number}")
     ]
 
 
@@ -34,8 +47,13 @@ def current_path(spark: SparkSession, path: str) -> str | None:
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    current = current_path(spark, path)
-    return None if current is None else spark.read.schema(schema).parquet(current)
+    complete = _complete(spark, path)
+    if not complete:
+        return None
+    added = [f"{path}/{name}" for name in _deltas(spark, path, complete[-1])]
+    return spark.read.schema(schema).parquet(
+        f"{path}/{PREFIX}{complete[-1]}", *[folder for folder in added if _is_complete(spark, folder)]
+    )
 
 
 def publish(rows: DataFrame, path: str) -> str:
@@ -46,6 +64,16 @@ def publish(rows: DataFrame, path: str) -> str:
     return target
 
 
+def extend(rows: DataFrame, path: str) -> str:
+    """Add ``rows`` to the current version, all of them at one moment."""
+    spark = rows.sparkSession
+    version = _complete(spark, path)[-1]
+    taken = [int(name.rpartition("-")[2]) for name in _deltas(spark, path, version)]
+    target = f"{path}/{DELTA}{version}-{max(taken, default=-1) + 1}"
+    rows.write.mode("errorifexists").parquet(target)
+    return target
+
+
 def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete versions older than the ``keep`` newest complete ones.
 
@@ -56,4 +84,6 @@ def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
         return
     for number in _versions(spark, path):
         if number < complete[-keep]:
+            for name in _deltas(spark, path, number):
+                discard(spark, f"{path}/{name}")
             discard(spark, f"{path}/{PREFIX}{number}")

@@ -36,14 +36,12 @@ def read_maps(spark: SparkSession, path: str) -> DataFrame:
 def read_flat_events(spark: SparkSession, path: str) -> DataFrame:
     """Profile events as flat rows; lines that hold no object are skipped.
 
-    An object with one mistyped field stays, with that field null.
+    The kind of the line decides, not its fields: an object whose only field is
+    mistyped stays, with that field null, and an array of objects is no object.
     """
-    raw = read_json_lines(spark, path, RAW_PROFILE_EVENT)
-    fields = [F.col(name) for name in raw.columns if name != CORRUPT]
-    unreadable = F.col(CORRUPT).isNotNull() & F.coalesce(
-        *[field.cast("string") for field in fields]
-    ).isNull()
-    return flatten_profiles(raw.filter(~unreadable))
+    fields = T.StructType([field for field in RAW_PROFILE_EVENT if field.name != CORRUPT])
+    objects = read_lines(spark, path).filter(F.json_object_keys("value").isNotNull())
+    return flatten_profiles(objects.select(F.from_json("value", fields).alias("_")).select("_.*"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -50,6 +50,19 @@ def test_all_jobs_and_their_views(spark, tmp_path, capsys):
     assert "username_not_null FAILED: 1 rows" in capsys.readouterr().out
 
 
+def test_stored_tables_are_registered_without_a_job(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_lines(lake.raw_events, [raw_line("1")])
+    write_lines(lake.raw_maps, ['{"id": "m", "name": "Lake"}'])
+    run(spark, parse([lake.root]))
+    spark.sparkContext.setJobGroup("views", "registration of stored tables")
+    try:
+        register_views(spark, lake, names=["stg_events", "int_matches", "bronze_events"])
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("views") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_views_before_any_job(spark, tmp_path):
     names = register_views(spark, Lake(str(tmp_path / "none")))
     assert len(names) == 11

@@ -17,6 +17,7 @@ from ludometry.schemas import (
     CORRUPT,
     MATCH,
     MATCH_KEY,
+    QUARANTINED_EVENT,
     RAW_EVENT,
     RAW_TOP_LEVEL_MAP_EVENT,
     SILVER_EVENT,
@@ -299,6 +300,43 @@ def test_silver_reads_only_the_days_of_new_ids(spark, lake):
     assert (counts["valid_events"], counts["quarantined_events"]) == (1, 2)
 
 
+def test_quarantine_does_not_depend_on_how_deliveries_are_cut(spark, tmp_path):
+    lines = [
+        raw_line(None, 5, " X "), raw_line(None, 5, "x"), raw_line(None, 5, "x"), raw_line("1", 0),
+    ]
+    whole, cut = Lake(str(tmp_path / "whole")), Lake(str(tmp_path / "cut"))
+    deliver(spark, whole, lines)
+    silver.run_silver(spark, whole)
+    for step, part in enumerate((lines[:1], lines[1:], lines)):
+        deliver(spark, cut, part, f"{step}.jsonl")
+        silver.run_silver(spark, cut)
+    for lake in (whole, cut):
+        assert stored_bronze(spark, lake).count() == 4
+        assert stored_quarantine(spark, lake).count() == 4
+
+
+def test_quarantined_ids_are_not_looked_at_again(spark, lake):
+    deliver(spark, lake, [raw_line("1"), raw_line("2", None), raw_line("3", user_id=None)])
+    silver.run_silver(spark, lake)
+    rows, done = stored_bronze(spark, lake), stored_silver(spark, lake)
+    held = read_table(spark, lake.quarantined_events, QUARANTINED_EVENT)
+    assert silver.fresh_ids(rows, done, held).count() == 0
+    assert as_set(silver.fresh_ids(rows, done), "event_id") == {("2",), ("3",)}
+    # Nothing but the rows without an id is read whole.
+    assert "PushedFilters: [IsNull(id)]" in plan(silver.rows_of(rows, silver.fresh_ids(rows, done, held)))
+
+
+def test_good_rows_behind_quarantined_ones_are_found(spark, lake):
+    """A run that died after it wrote the quarantine."""
+    deliver(spark, lake, [raw_line("0")])
+    silver.run_silver(spark, lake)
+    deliver(spark, lake, [raw_line("1"), raw_line("1", user_id=None), raw_line("2", 0)], "b.jsonl")
+    _, rejected = silver.new_events(spark, lake)
+    append_partitioned(rejected, lake.quarantined_events, "event_date")
+    counts = silver.run_silver(spark, lake)
+    assert (counts["valid_events"], counts["quarantined_events"]) == (1, 0)
+
+
 def test_silver_within_days(spark, lake):
     deliver(spark, lake, [raw_line("1"), raw_line("2", SECOND + 86_400)])
     counts = silver.run_silver(spark, lake, dates=[DAY])
@@ -473,6 +511,33 @@ def test_upsert_replaces_equal_keys(spark, tmp_path):
     assert watermark(merged.filter("false"), "finish_timestamp").first().watermark == 0
 
 
+def test_unfinished_delta_is_not_read(spark, tmp_path):
+    """A watermark update that died leaves the next one all it had to add."""
+    events = spark.createDataFrame(
+        [
+            (str(i), at, kind, "u", None, "m", "o", 1.0 if kind == "match_finish" else None)
+            for i, (at, kind) in enumerate(
+                [(1, "match_start"), (2, "match_finish"), (3, "match_start"), (4, "match_finish"),
+                 (5, "match_start"), (6, "match_finish")]
+            )
+        ],
+        "event_id string, timestamp long, event_type string, user_id string, "
+        "session_state string, map_id string, opponent_id string, outcome double",
+    )
+    table = str(tmp_path / "matches")
+    gold.update_matches(events.filter("timestamp <= 2"), table)
+    half = gold.matches(events).filter("finish_timestamp = 6")
+    half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table}/delta=0-0")
+    assert gold.update_matches(events, table, mode="watermark").count() == 3
+    assert current_path(spark, table).endswith("version=0")
+    assert (tmp_path / "matches/delta=0-1/_SUCCESS").exists()
+    assert gold.update_matches(events, table, mode="watermark").count() == 3
+    gold.update_matches(events, table)
+    gold.update_matches(events, table)
+    prune(spark, table)
+    assert not list((tmp_path / "matches").glob("delta=*"))
+
+
 def test_unfinished_version_is_not_read(spark, tmp_path):
     table = str(tmp_path / "t")
     publish(spark.range(1).select(F.col("id").cast("int")), table)
@@ -523,6 +588,15 @@ def test_flat_load_skips_what_is_no_object_and_appends(spark, tmp_path):
     assert scanned.count() == 4
 
 
+def test_flat_load_goes_by_the_kind_of_line(spark, tmp_path):
+    lines = ['{"timestamp": "soon"}', '[{"id": "1"}, {"id": "2"}]', '{"id": "3", "id": "4"}', "{}", '{"id": ']
+    loaded = flat.load_flat(
+        spark, write_lines(tmp_path / "e.jsonl", lines), str(tmp_path / "bronze")
+    )
+    assert loaded.count() == 3
+    assert loaded.filter("id IS NOT NULL").count() == 1
+
+
 def test_top_level_map_variant(spark, tmp_path):
     line = '{"id": "1", "timestamp": 5, "event_type": " X ", "user_id": "u", "map_id": "m", "event_data": {"country": "de"}}'
     raw = read_json_lines(
