@@ -3,10 +3,16 @@
 Spaces become the meta symbol, one is put in front, characters outside the
 vocabulary become byte pieces, and nothing else is normalised, so every text
 decodes to itself. Merges are taken from an agenda, best score first, leftmost
-first among equals. A candidate that comes up is skipped for good if a keyed hash
-of the seed, the variant and both symbols falls below the dropout.
-A word's variant is a hash of its document and place, modulo ``variants``, so a
-word has a few segmentations and equal (word, variant) pairs are computed once.
+first among equals. A candidate that comes up is skipped for good if a hash falls
+below the dropout; it is keyed by the seed, the document, the place of the word in
+it, and the place and both symbols of the candidate in the word. So every
+candidate of every word of every document is drawn on its own.
+
+What a word becomes depends only on which of its steps are skipped. A class is a
+word with the steps skipped so far, and knows the candidates that come up if no
+more are; classes are made once and remembered, while the skips are drawn for each
+occurrence by walking from class to class. Occurrences with many skips and long
+words are merged one by one.
 
 Many words advance side by side in arrays; words of over 48 characters go through
 a heap. Both follow the same agenda and give the same pieces.
@@ -27,20 +33,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ludometry.llm.base import batches, slices, texts
+from ludometry.llm.rolling import ranges
 from ludometry.llm.words import Numbering
 
 META = "▁"
 SEGMENTS = re.compile(r" *[^ ]+| +")
 LONGEST = 48
 SLICE = 2 << 20
+# Characters of a word that has classes, so that its steps (at most three for each
+# character but the first) fit into the bits of a mask; skips that a class may have.
+CLASSED, SKIPS = 20, 2
+# Occurrences whose skips are drawn at a time.
+BLOCK = 1 << 16
 _MASK = (1 << 64) - 1
 # Odd constants that spread a key over 64 bits.
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
-def _hash(seed: int, variant: int, left: int, right: int) -> int:
-    """64 bits of the key."""
-    x = (seed * _C[0] ^ (variant + 1) * _C[1] ^ (left + 1) * _C[2] ^ (right + 1) * _C[3]) & _MASK
+def _spread(x: int) -> int:
     x ^= x >> 32
     x = x * _C[0] & _MASK
     x ^= x >> 29
@@ -48,26 +58,41 @@ def _hash(seed: int, variant: int, left: int, right: int) -> int:
     return x ^ (x >> 32)
 
 
-def _hash_arrays(seed: int, variant: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The same of arrays."""
+def _hash(seed: int, place: int, left: int, right: int) -> int:
+    """64 bits of the key."""
+    return _spread((seed * _C[0] ^ (place + 1) * _C[1] ^ (left + 1) * _C[2] ^ (right + 1) * _C[3]) & _MASK)
+
+
+def _skipped(seed: int, key: int, place: int, left: int, right: int) -> int:
+    """What decides whether the word of a key skips the candidate at a place in it."""
+    return _spread(_hash(seed, place, left, right) ^ key & _MASK)
+
+
+def _spread_arrays(x: np.ndarray) -> np.ndarray:
+    """The same of arrays, in place."""
     u = np.uint64
-    c = [u(x) for x in _C]
-    variant, left, right = (x.astype(u) for x in (variant, left, right))
-    x = (variant + u(1)) * c[1] ^ (left + u(1)) * c[2] ^ (right + u(1)) * c[3] ^ u(seed * _C[0] & _MASK)
     x ^= x >> u(32)
-    x *= c[0]
+    x *= u(_C[0])
     x ^= x >> u(29)
-    x *= c[1]
-    return x ^ (x >> u(32))
+    x *= u(_C[1])
+    x ^= x >> u(32)
+    return x
+
+
+def _hash_arrays(seed: int, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The same of arrays."""
+    u = np.uint64
+    c = [u(x) for x in _C]
+    place, left, right = (x.astype(u) for x in (place, left, right))
+    return _spread_arrays((place + u(1)) * c[1] ^ (left + u(1)) * c[2] ^ (right + u(1)) * c[3] ^ u(seed * _C[0] & _MASK))
 
 
 @dataclass(frozen=True)
 class Dropout:
-    """Which merges are skipped: a share, a seed, and how many variants a word has."""
+    """Which merges are skipped: a share and a seed."""
 
     share: float = 0.1
     seed: int = 1
-    variants: int = 4
 
     @property
     def limit(self) -> int:
@@ -134,8 +159,8 @@ class Vocabulary:
         return [self.first_byte + b for b in chr(-2 - symbol).encode("utf-8", "surrogatepass")]
 
 
-def merge_by_heap(vocabulary: Vocabulary, codes: np.ndarray, variant: int, dropout: Dropout) -> list[int]:
-    """The symbols of one word after all merges."""
+def merge_by_heap(vocabulary: Vocabulary, codes: np.ndarray, key: int, dropout: Dropout) -> list[int]:
+    """The symbols of one word after all merges; ``key`` is that of its document and place."""
     symbols = vocabulary.symbols(codes).tolist()
     after = [*range(1, len(symbols)), -1]
     before = list(range(-1, len(symbols) - 1))
@@ -155,7 +180,7 @@ def merge_by_heap(vocabulary: Vocabulary, codes: np.ndarray, variant: int, dropo
         follower = after[at]
         if symbols[at] != left or follower < 0 or symbols[follower] != right:
             continue  # one side has been merged away meanwhile
-        if dropout.limit and _hash(dropout.seed, variant, left, right) < dropout.limit:
+        if dropout.limit and _skipped(dropout.seed, key, at, left, right) < dropout.limit:
             continue
         symbols[at] = int(vocabulary.merged[number])
         symbols[follower] = None
@@ -169,9 +194,18 @@ def merge_by_heap(vocabulary: Vocabulary, codes: np.ndarray, variant: int, dropo
 
 
 def merge_side_by_side(
-    vocabulary: Vocabulary, symbols: np.ndarray, sizes: np.ndarray, variants: np.ndarray, dropout: Dropout
-) -> tuple[np.ndarray, np.ndarray]:
-    """The same for many words: rows of ``symbols``, of which ``sizes`` count. In place."""
+    vocabulary: Vocabulary,
+    symbols: np.ndarray,
+    sizes: np.ndarray,
+    keys: np.ndarray,
+    dropout: Dropout,
+    masks: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The same for many words: rows of ``symbols``, of which ``sizes`` count. In place.
+
+    With ``masks`` their bits, not keys, say which steps are skipped; then the third
+    result has, for each step, the rows that come to it and the hashes of their candidates.
+    """
     rows, width = symbols.shape
     none = len(vocabulary.keys) - 1
     columns = np.arange(width)
@@ -179,6 +213,11 @@ def merge_side_by_side(
     if width > 1:
         number[:, :-1] = vocabulary.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(rows, -1)
     number[columns >= sizes[:, None] - 1] = none
+    grids = [symbols, number]
+    if dropout.limit:
+        place = np.tile(columns.astype(np.int32), (rows, 1))  # where each symbol begins
+        grids.append(place)
+    trace: list[tuple[np.ndarray, np.ndarray]] = []
     live = np.arange(rows)
     while len(live):
         value = vocabulary.scores[number[live]]
@@ -189,8 +228,12 @@ def merge_side_by_side(
             break
         chosen = number[live, at]
         if dropout.limit:
-            key = _hash_arrays(dropout.seed, variants[live], symbols[live, at], symbols[live, at + 1])
-            skip = key < np.uint64(dropout.limit)
+            drawn = _hash_arrays(dropout.seed, place[live, at], symbols[live, at], symbols[live, at + 1])
+            if masks is None:
+                skip = _spread_arrays(drawn ^ keys[live]) < np.uint64(dropout.limit)
+            else:
+                skip = (masks[live] >> np.uint64(len(trace)) & np.uint64(1)).astype(bool)
+                trace.append((live, drawn))
             number[live[skip], at[skip]] = none
         else:
             skip = np.zeros(len(live), dtype=bool)
@@ -198,7 +241,7 @@ def merge_side_by_side(
         if len(own):
             # The merged symbol stands at ``at``; what follows moves one to the left.
             source = np.minimum(columns + (columns > at[:, None]), width - 1)
-            for grid in (symbols, number):
+            for grid in grids:
                 grid[own] = np.take_along_axis(grid[own], source, axis=1)
             symbols[own, at] = vocabulary.merged[chosen]
             sizes[own] -= 1
@@ -207,7 +250,7 @@ def merge_side_by_side(
                 fits = (left >= 0) & (left + 1 < sizes[own])
                 r, c = own[fits], left[fits]
                 number[r, c] = vocabulary.find(symbols[r, c], symbols[r, c + 1])
-    return symbols, sizes
+    return symbols, sizes, trace
 
 
 def _expanded(flat: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -231,8 +274,15 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
-def encode_words(vocabulary: Vocabulary, words: list[str], variants: np.ndarray, dropout: Dropout) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of all words one after another, and how many each has."""
+def encode_words(vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: Dropout) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of all words one after another, and how many each has; ``keys`` name their documents and places."""
+    return _merged(vocabulary, words, keys.astype(np.uint64), dropout)[:2]
+
+
+def _merged(
+    vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: Dropout, masks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same, by ``masks`` of short words if given, and the hashes of all steps and how many each word has."""
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     starts = np.cumsum(lengths) - lengths
@@ -240,6 +290,7 @@ def encode_words(vocabulary: Vocabulary, words: list[str], variants: np.ndarray,
     sizes = np.zeros(len(words), dtype=np.int64)
     parts: list[np.ndarray] = []
     owners: list[np.ndarray] = []
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
     order = np.argsort(lengths, kind="stable")
     bounds = np.searchsorted(lengths[order], [0, 3, 5, 7, 9, 12, 16, 24, 32, LONGEST + 1])
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -249,12 +300,15 @@ def encode_words(vocabulary: Vocabulary, words: list[str], variants: np.ndarray,
             columns = np.arange(width)
             inside = columns < lengths[own][:, None]
             grid = np.where(inside, symbols[np.where(inside, starts[own][:, None] + columns, 0)], -1) if len(symbols) else np.full((len(own), width), -1)
-            grid, sizes[own] = merge_side_by_side(vocabulary, grid, lengths[own].copy(), variants[own], dropout)
+            grid, sizes[own], trace = merge_side_by_side(
+                vocabulary, grid, lengths[own].copy(), keys[own], dropout, None if masks is None else masks[own]
+            )
+            steps.extend((own[live], drawn) for live, drawn in trace)
             parts.append(grid[columns < sizes[own][:, None]])
             owners.append(own)
     for word in order[bounds[-1] :].tolist():
         own_codes = codes[starts[word] : starts[word] + lengths[word]]
-        made = merge_by_heap(vocabulary, own_codes, int(variants[word]), dropout)
+        made = merge_by_heap(vocabulary, own_codes, int(keys[word]), dropout)
         sizes[word] = len(made)
         parts.append(np.array(made, dtype=np.int32))
         owners.append(np.array([word]))
@@ -262,7 +316,12 @@ def encode_words(vocabulary: Vocabulary, words: list[str], variants: np.ndarray,
     done = np.concatenate(owners) if owners else np.zeros(0, np.int64)
     begun = np.zeros(len(words), dtype=np.int64)
     begun[done] = np.cumsum(sizes[done]) - sizes[done]
-    return _expanded(_gathered(flat, begun, sizes).astype(np.int64), sizes, vocabulary)
+    # Steps of a word come in order; a stable sort puts those of a word together.
+    stepped = np.concatenate([own for own, _ in steps]) if steps else np.zeros(0, np.int64)
+    hashes = np.concatenate([drawn for _, drawn in steps]) if steps else np.zeros(0, np.uint64)
+    counts = np.bincount(stepped, minlength=len(words))
+    flat, sizes = _expanded(_gathered(flat, begun, sizes).astype(np.int64), sizes, vocabulary)
+    return flat, sizes, hashes[np.argsort(stepped, kind="stable")], counts
 
 
 def _segments(text: str) -> list[str]:
@@ -276,55 +335,133 @@ def _segments(text: str) -> list[str]:
     return words
 
 
+class _Growing:
+    """An array with room to grow."""
+
+    def __init__(self, kind: type) -> None:
+        self.held, self.size = np.empty(1 << 10, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.held):
+            held = np.empty(max(size, len(self.held) * 3 // 2), self.held.dtype)
+            held[: self.size] = self.all
+            self.held = held
+        self.held[self.size : size] = values
+        self.size = size
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[: self.size]
+
+
 class Encoder:
-    """Encodes texts and remembers the words it has met, up to a bounded number."""
+    """Encodes texts and remembers the classes of words it has met, up to a bounded number."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: Dropout, most: int = 200_000) -> None:
         self.vocabulary, self.dropout, self.most = vocabulary, dropout, most
-        self.many = dropout.variants if dropout.limit else 1
         self.forget()
 
     def forget(self) -> None:
         self.index = Numbering()
-        self.flat = np.zeros(0, np.int32)
-        self.starts = np.zeros(0, np.int64)  # of every word and variant; -1: not met
-        self.sizes = np.zeros(0, np.int64)
-
-    def _learn(self, pairs: np.ndarray) -> None:
-        fresh = len(self.index) * self.many - len(self.starts)
-        self.starts = np.concatenate((self.starts, np.full(fresh, -1)))
-        self.sizes = np.concatenate((self.sizes, np.zeros(fresh, np.int64)))
-        wanted = np.zeros(len(self.starts), dtype=bool)
-        wanted[pairs] = True
-        wanted = np.flatnonzero(wanted & (self.starts < 0))
-        words = list(self.index)
-        chosen = [f" {words[k]}" for k in (wanted // self.many).tolist()]
-        flat, sizes = encode_words(self.vocabulary, chosen, wanted % self.many, self.dropout)
-        self.starts[wanted] = len(self.flat) + np.cumsum(sizes) - sizes
-        self.sizes[wanted] = sizes
-        self.flat = np.concatenate((self.flat, flat.astype(np.int32)))
+        self.roots = _Growing(np.int64)  # of every word: its class without skips, or -1 if it has none
+        self.flat = _Growing(np.int32)  # the pieces of all classes
+        # Of every class: its word, its mask, and its ranges of pieces and of steps.
+        self.word, self.mask = _Growing(np.int64), _Growing(np.uint64)
+        self.starts, self.sizes = _Growing(np.int64), _Growing(np.int64)
+        self.begins, self.counts = _Growing(np.int64), _Growing(np.int64)
+        # Of every step of a class: the hash of its candidate, and the class that also skips it, or -1: not met.
+        self.drawn, self.next = _Growing(np.uint64), _Growing(np.int64)
+
+    def _make(self, words: list[str], word: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """New classes of words (by number) and masks."""
+        chosen = [f" {words[k]}" for k in word.tolist()]
+        none = np.zeros(len(word), np.uint64)
+        flat, sizes, drawn, counts = _merged(self.vocabulary, chosen, none, self.dropout, mask)
+        made = self.word.size + np.arange(len(word))
+        self.starts.add(self.flat.size + np.cumsum(sizes) - sizes)
+        self.begins.add(self.drawn.size + np.cumsum(counts) - counts)
+        for held, values in (
+            (self.word, word), (self.mask, mask), (self.sizes, sizes), (self.counts, counts),
+            (self.flat, flat), (self.drawn, drawn), (self.next, np.full(len(drawn), -1)),
+        ):
+            held.add(values)
+        return made
+
+    def _skips(self, keys: np.ndarray, classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences that skip a step of their class, from the ``first`` on, and the first that they skip."""
+        who, where = [], []
+        for at in range(0, len(keys), BLOCK):
+            own = classes[at : at + BLOCK]
+            counts = self.begins.all[own] + self.counts.all[own] - first[at : at + BLOCK]
+            step = ranges(first[at : at + BLOCK], counts)
+            values = self.drawn.all[step] ^ np.repeat(keys[at : at + BLOCK], counts)
+            hit = np.flatnonzero(_spread_arrays(values) < np.uint64(self.dropout.limit))
+            owner = np.searchsorted(np.cumsum(counts), hit, side="right")
+            fresh = np.flatnonzero(np.diff(owner, prepend=-1))
+            who.append(at + owner[fresh])
+            where.append(step[hit[fresh]])
+        return (np.concatenate(who), np.concatenate(where)) if who else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _walk(self, words: list[str], keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The classes that occurrences come to from those without skips, or -1 if they skip too often."""
+        classes = classes.copy()
+        live = np.flatnonzero(classes >= 0)
+        first = self.begins.all[classes[live]]
+        for skips in range(SKIPS + 1):
+            who, step = self._skips(keys[live], classes[live], first)
+            live = live[who]
+            if skips == SKIPS:
+                classes[live] = -1
+                break
+            fresh = np.unique(step[self.next.all[step] < 0])
+            if len(fresh):
+                before = np.searchsorted(self.begins.all, fresh, side="right") - 1
+                bit = np.uint64(1) << (fresh - self.begins.all[before]).astype(np.uint64)
+                self.next.all[fresh] = self._make(words, self.word.all[before], self.mask.all[before] | bit)
+            following = self.next.all[step]
+            before = classes[live]
+            first = self.begins.all[following] + (step - self.begins.all[before]) + 1
+            classes[live] = following
+        return classes
 
     def encode(self, keys: list[int | None], values: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all texts one after another, and how many each has.
 
-        ``keys`` name the texts for the choice of variants; null texts have no pieces.
+        ``keys`` name the texts for the choice of skips; null texts have no pieces.
         """
-        if len(self.index) > self.most:
+        if max(len(self.index), self.word.size // 2) > self.most:
             self.forget()
-        ids, counts, variants = [], [], []
+        ids, counts, places = [np.zeros(0, np.int64)], [], [np.zeros(0, np.uint64)]
         for key, value in zip(keys, values, strict=True):
             found = _segments(value) if value else []
             ids.append(self.index.of(found))
             counts.append(len(found))
             place = np.arange(len(found))
             base = np.full(1, 0 if key is None else key)
-            variants.append(_hash_arrays(self.dropout.seed, base, place, place) % np.uint64(self.many))
-        joined = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-        pairs = joined * self.many + (np.concatenate(variants).astype(np.int64) if variants else 0)
-        self._learn(pairs)
-        sizes = self.sizes[pairs]
+            places.append(_hash_arrays(self.dropout.seed, base, place, place))
+        ids, places = np.concatenate(ids).astype(np.int64), np.concatenate(places)
+        words = list(self.index)
+        fresh = np.arange(self.roots.size, len(words))
+        if self.dropout.limit:
+            lengths = np.fromiter((len(word) + 1 for word in words[self.roots.size :]), np.int64, len(fresh))
+            short = lengths <= CLASSED
+        else:
+            short = np.ones(len(fresh), dtype=bool)
+        roots = np.full(len(fresh), -1)
+        roots[short] = self._make(words, fresh[short], np.zeros(int(short.sum()), np.uint64))
+        self.roots.add(roots)
+        classes = self.roots.all[ids]
+        if self.dropout.limit:
+            classes = self._walk(words, places, classes)
+        alone, known = np.flatnonzero(classes < 0), np.flatnonzero(classes >= 0)
+        flat, own = encode_words(self.vocabulary, [f" {words[k]}" for k in ids[alone].tolist()], places[alone], self.dropout)
+        starts, sizes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        starts[known], sizes[known] = self.starts.all[classes[known]], self.sizes.all[classes[known]]
+        starts[alone], sizes[alone] = self.flat.size + np.cumsum(own) - own, own
         text = np.repeat(np.arange(len(values)), np.array(counts, dtype=np.int64))
-        return _gathered(self.flat, self.starts[pairs], sizes), np.bincount(text, sizes, len(values)).astype(np.int64)
+        pieces = _gathered(np.concatenate((self.flat.all, flat.astype(np.int32))), starts, sizes)
+        return pieces, np.bincount(text, sizes, len(values)).astype(np.int64)
 
 
 def encode_texts(vocabulary: Vocabulary, keys: list[int | None], values: list[str | None], dropout: Dropout) -> tuple[np.ndarray, np.ndarray]:

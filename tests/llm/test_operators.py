@@ -424,3 +424,36 @@ def test_vectors_edge_cases(spark):
 def test_held_out_folds(spark):
     rows = spark.range(200).select("id", language.held_out("id", 5, 0).alias("out")).collect()
     assert all(row.out == (zlib.crc32(str(row.id).encode()) % 5 == 0) for row in rows)
+
+
+def test_pieces_skip_each_candidate_on_its_own(vocabulary):
+    words = ["international", "representations", "x" * 60, "日本", "of"]
+    texts = [" ".join(words * 30)] * 20 + ["international" * 9]
+    keys = [*range(20), None]
+    for share in (0.1, 0.6):
+        dropout = pieces.Dropout(share)
+        flat, counts = pieces.encode_texts(vocabulary, keys, texts, dropout)
+        again, _ = pieces.encode_texts(vocabulary, keys[::-1], texts[::-1], dropout)
+        assert Counter(flat.tolist()) == Counter(again.tolist())
+        expected, ways = [], set()
+        for key, text in zip(keys, texts, strict=True):
+            own = []
+            for k, word in enumerate(text.split(" ")):
+                place = np.array([k])
+                hashed = int(pieces._hash_arrays(dropout.seed, np.full(1, key or 0), place, place)[0])
+                made = pieces.merge_by_heap(vocabulary, np.array([ord(c) for c in f" {word}"]), hashed, dropout)
+                own += [p for s in made for p in (vocabulary.as_bytes(s) if s < 0 else [s])]
+                if word == "international":
+                    ways.add(tuple(made))
+            expected.append(own)
+        ends = np.cumsum(counts)
+        assert [flat[b - n : b].tolist() for b, n in zip(ends, counts, strict=True)] == expected
+        assert len(ways) > 4  # a word is not held to a few segmentations
+    # Equal candidates at several places of one word are drawn apart, and each is skipped at the share.
+    pair = np.array([ord("a"), ord("b")] * 12)
+    of_pair = vocabulary.table[int(vocabulary.of_char[ord("a")]) << 32 | int(vocabulary.of_char[ord("b")])]
+    one, drawn = pieces.Dropout(0.5), Counter()
+    for key in range(200):
+        made = pieces.merge_by_heap(vocabulary, pair, key << 40, one)
+        drawn[made.count(int(vocabulary.merged[of_pair]))] += 1
+    assert len(drawn) > 3
