@@ -4,7 +4,7 @@ A gear hash rolls over the bytes; a chunk ends where its top bits are zero and n
 such place lies just before. Both depend on the bytes nearby only, so chunks fall
 in step again soon after an insertion. Chunks are compared by a 128-bit digest;
 the first of equal chunks stays, and runs of the others are removed if they are
-long enough not to be chance.
+long enough not to be chance, or the whole of a text.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from ludometry.llm.suffixes import (
 )
 
 # Chance of a cut 1 in 2^BITS; bytes that a cut keeps from the cut before it;
-# bytes a run of repeated chunks must have to be removed.
+# bytes a run of repeated chunks must have to be removed, if it is not a whole text.
 BITS, APART, LEAST = 5, 8, 100
 WINDOW = 32
 BUFFER = 1 << 21
@@ -112,7 +112,8 @@ def dedup(docs: DataFrame, bits: int = BITS, apart: int = APART, least: int = LE
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Removed are runs of at least ``least`` bytes of chunks that stand earlier in
-    the table (smaller doc_id) or in the text. Null texts count as empty; short
+    the table (smaller doc_id) or in the text, and texts of such chunks alone, so
+    that of exact copies one stays however short they are. Null texts count as empty; short
     texts are one chunk; texts of any length are read whole, a buffer at a time.
     Rows that share a doc_id, or have none, each give a row and stand by text,
     null ids first. Other columns are ignored; an empty table gives an empty result.

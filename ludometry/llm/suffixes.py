@@ -425,7 +425,8 @@ def cut(
 ) -> list[tuple[int, int, bytes]]:
     """Of each text the bytes removed, the number of spans, and what is left.
 
-    Ranges that touch are one span; spans of under ``least`` bytes stay.
+    Ranges that touch are one span; spans of under ``least`` bytes stay, unless
+    they are the whole text.
     """
     order = np.lexsort((stops, starts, row))
     row, starts, stops = row[order], starts[order], stops[order]
@@ -439,7 +440,8 @@ def cut(
         reach = np.maximum.accumulate(stops[a:b])
         fresh = np.flatnonzero(np.concatenate(([True], starts[a + 1 : b] > reach[:-1])))
         begins, ends = starts[a:b][fresh], reach[np.append(fresh[1:], b - a) - 1]
-        long = ends - begins >= least
+        size = ends - begins
+        long = (size >= least) | (size == len(data))
         begins, ends = begins[long].tolist(), ends[long].tolist()
         kept = [data[x:y] for x, y in zip([0, *ends], [*begins, len(data)], strict=True)]
         left = b"".join(kept)
@@ -499,7 +501,7 @@ DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def digests(docs: DataFrame, removed: DataFrame, least: int = 1) -> DataFrame:
-    """DIGEST of documents less removed byte ranges, touching ones joined, of ``least`` bytes."""
+    """DIGEST of documents less removed byte ranges, touching ones joined, of ``least`` bytes or a whole text."""
 
     def row(data: bytes, gone: int, spans: int, left: bytes) -> tuple:
         return len(data), gone, spans, hashlib.sha256(left).hexdigest()

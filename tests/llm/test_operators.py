@@ -457,3 +457,13 @@ def test_pieces_skip_each_candidate_on_its_own(vocabulary):
         made = pieces.merge_by_heap(vocabulary, pair, key << 40, one)
         drawn[made.count(int(vocabulary.merged[of_pair]))] += 1
     assert len(drawn) > 3
+
+
+def test_chunks_remove_exact_copies_of_short_documents(spark):
+    short = ["a", "A line of text.", "Two sentences stand here. They have under a hundred bytes, all in all."]
+    own = [(k, text) for k, text in enumerate(short)] + [(20, "Another line of text.")]
+    frame = spark.createDataFrame(own + [(10 + k, text) for k, text in enumerate(short)], "doc_id long, text string")
+    found = {row.doc_id: row for row in chunks.dedup(frame).collect()}
+    for k, text in enumerate(short):
+        assert (found[k].n_removed, found[10 + k].n_removed, found[10 + k].n_spans) == (0, len(text), 1)
+    assert found[20].n_removed == 0
