@@ -34,8 +34,8 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark."""
-    return contamination.without_items(docs, table(spark, sf_dir, "benchmark"))
+    """Documents whose own text contains no item of the benchmark."""
+    return contamination.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,20 @@ def numbered(docs: DataFrame, key: str, *order: str) -> tuple[DataFrame, str]:
     return written(rows, "numbered"), name
 
 
+def row_keys(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """Rows with a long that tells them apart, in native functions only.
+
+    Where the key is unique it is that column itself. Otherwise the rows are
+    written with numbers, in no order, which a lost executor cannot give anew.
+    """
+    if has_unique_keys(docs.select(F.col(key).cast("long").alias(key)), key):
+        return docs, key
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def batches(schema: str | T.StructType) -> pa.Schema:
     """The Arrow schema of a mapInArrow result."""
     from pyspark.sql.pandas.types import to_arrow_schema

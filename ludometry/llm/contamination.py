@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludometry.llm.base import few, written
+from ludometry.llm.base import few, row_keys, written
 
 WORDS, LEAST = 5, 0.8
 # Chance to miss an item of a large partition at the threshold.
@@ -97,7 +97,19 @@ def contained(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: f
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
-    """The documents, all columns, that contain no item."""
+    """The documents, all columns, that contain no item; rows that share a doc_id go together."""
     found = contained(docs, benchmark, size, least).select(F.col("doc_id").alias("_found")).distinct()
     found = written(found, "contaminated")
     return docs.join(few(found), docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
+    """The rows, all columns, whose own text contains no item.
+
+    Rows that share a doc_id, or have none, are judged each on its own.
+    """
+    rows, key = row_keys(docs, "doc_id")
+    own = rows.select(F.col(key).alias("doc_id"), "text")
+    found = contained(own, benchmark, size, least).select(F.col("doc_id").alias("_found")).distinct()
+    found = written(found, "contaminated")
+    return rows.join(few(found), rows[key].cast("long") == found["_found"], "left_anti").select(*docs.columns)

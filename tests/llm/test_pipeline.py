@@ -36,3 +36,17 @@ def test_run_is_registered(spark):
 
     assert entries.queries()["pipeline"] is corpus_pipeline.run
     assert len([name for name in entries.queries() if name.startswith("op")]) == 10
+
+
+def test_benchmark_stage_judges_each_row_on_its_own_text(spark, tmp_path):
+    passage = [f"word{k} stands" for k in range(40)]
+    spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    dirty = [(None, " ".join(passage), 1), (9, "before " + " ".join(passage), 2)]
+    clean = [
+        (None, None, 3), (None, "a clean text without any item of it", 4), (9, "", 5), (9, "another clean text of seven words", 6),
+        (8, " ".join(passage[:20]), 7), (8, " ".join(passage[20:]), 8),  # parts of an item, not the item
+    ]
+    docs = spark.createDataFrame(dirty + clean, "doc_id long, text string, _row int")
+    left = dict(corpus_pipeline.STAGES)["benchmark"](spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted(row["_row"] for row in left.collect()) == [3, 4, 5, 6, 7, 8]
