@@ -21,6 +21,7 @@ from ludometry.llm.words import LETTERS, WordTable, gram_buckets
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 SEGMENT = 256
+PLACES = 1 << 30
 SLICE = 4 << 20
 
 # First code points of blocks of scripts, and the script's number
@@ -96,21 +97,25 @@ def _counted(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, bound: int = 4_000, penalty: float = 8.0, share: float = 1e-3) -> Model:
     """A model from rows of text and lang.
 
-    Of each language about ``bound`` rows are read, chosen by a hash of the text,
-    so that the work and the driver's share (one number per bucket and language)
-    do not grow with the corpus. Rows with a null text or lang teach nothing. A
+    Of each language about ``bound`` different texts are read, at least one, chosen
+    by a hash of the text, so that the driver's share (one number per bucket and
+    language) and what is learned from do not grow with the corpus, and a text
+    counts once however many copies it has. Rows with a null text or lang teach nothing. A
     language may be given to a word if ``share`` of its words are in the script.
     """
     rows = docs.select(F.col("text"), F.col("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = tuple(sorted(sizes))
+    # Texts are told apart by their hashes to be counted, and by themselves to be read.
+    hashes = rows.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    place = F.pmod("hash", F.lit(PLACES))
+    found = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).collect()
+    # A text is drawn if its place is under that of its language.
+    places = {row["lang"]: max(int(PLACES * min(1.0, bound / row["n"])), row["first"] + 1) for row in found}
+    languages = tuple(sorted(places))
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((13, 0), bool), penalty)
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    part = F.lit(0.0)
-    for lang, size in sizes.items():
-        part = F.when(F.col("lang") == lang, min(1.0, bound / size)).otherwise(part)
-    counted = _counted(rows.filter(place < part)).groupBy("lang", "kind", "place").agg(F.sum("n").alias("n"))
+    limits = F.create_map(*(F.lit(x) for pair in places.items() for x in pair))
+    drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(PLACES)) < limits[F.col("lang")]).distinct()
+    counted = _counted(drawn).groupBy("lang", "kind", "place").agg(F.sum("n").alias("n"))
     grams = np.zeros((BUCKETS, len(languages)))
     scripts = np.zeros((13, len(languages)))
     for lang, kind, place_, n in counted.toPandas().itertuples(index=False):
@@ -132,7 +137,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, segment: in
     """
     total, labels = len(scores), scores.shape[1]
     if not total:
-        return np.zeros(0, np.int8)
+        return np.zeros(0, np.int16)
     counts = -(-lengths // segment)
     text = np.repeat(np.arange(len(lengths)), counts)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -165,7 +170,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, segment: in
         last[own] = ending[text[own]]
         ending[text[own]] = (entered[own] + transfer[own, :, last[own]]).argmax(axis=1)
 
-    came = np.empty((int(sizes[0]), len(starts), labels), dtype=np.int8)
+    came = np.empty((int(sizes[0]), len(starts), labels), dtype=np.int16)
     state = entered
     for t in range(int(sizes[0])):
         live = active[t]
@@ -173,7 +178,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, segment: in
         top = np.take_along_axis(state[:live], best[:, None], axis=1) - penalty
         came[t, :live] = np.where(state[:live] >= top, np.arange(labels), best[:, None])
         state[:live] = step(state, t, live)
-    out = np.zeros(total, dtype=np.int8)
+    out = np.zeros(total, dtype=np.int16)
     label = last
     for t in range(int(sizes[0]) - 1, -1, -1):
         live = active[t]
@@ -187,7 +192,7 @@ def _labelled(model: Model, values: list[str | None]) -> tuple[list[np.ndarray],
     words = WordTable()
     ids = [words.ids(text or "") for text in values]
     if not model.languages:
-        return ids, words.words, np.zeros(sum(map(len, ids)), np.int8)
+        return ids, words.words, np.zeros(sum(map(len, ids)), np.int16)
     scores = model.word_scores(words.words)
     joined = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     return ids, words.words, viterbi(scores[joined], np.array([len(x) for x in ids]), model.penalty)

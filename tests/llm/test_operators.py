@@ -467,3 +467,21 @@ def test_chunks_remove_exact_copies_of_short_documents(spark):
     for k, text in enumerate(short):
         assert (found[k].n_removed, found[10 + k].n_removed, found[10 + k].n_spans) == (0, len(text), 1)
     assert found[20].n_removed == 0
+
+
+def test_language_learns_from_different_texts(spark):
+    rows = [("en", f"the thing number {'abcdefghijklmnopqrstuvwxyz'[k]} of that") for k in range(20)] + [("de", "die einung der keit")]
+    copies = [("en", "zzz qqq xxx")] * 400
+    schema = "lang string, text string"
+    once = language.train(spark.createDataFrame(rows + copies[:1], schema), bound=10)
+    often = language.train(spark.createDataFrame(rows + copies, schema).repartition(5), bound=10)
+    assert np.array_equal(once.gram_scores, often.gram_scores) and np.array_equal(once.candidates, often.candidates)
+    few = [(f"l{k}", f"text {'abcdefghijklmnopqrstuvwxyz'[j]} of language {chr(97 + k)}") for k in range(20) for j in range(3)]
+    model = language.train(spark.createDataFrame(few, schema), bound=1)
+    assert all(len(np.unique(model.gram_scores[:, k])) > 1 for k in range(20))
+
+
+def test_language_labels_of_many_languages():
+    scores = np.full((3, 300), -5.0, np.float32)
+    scores[:, 299] = 0
+    assert language.viterbi(scores, np.array([1, 2]), 8.0).tolist() == [299, 299, 299]
