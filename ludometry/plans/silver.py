@@ -98,7 +98,8 @@ def new_events(
     Rows without an id are found by their records. Usually the two hold
     nearly all of Bronze: then only the ids are compared, and the few new ones
     are sent to the wide rows. When there are too many to send, the rows are
-    joined with Silver's ids, the accepted ones after their copies are gone.
+    joined with Silver's ids, the accepted ones after their copies are gone. Either
+    way bad rows of an id that Silver holds are not looked at.
     """
     bronze = read_or_empty(spark, lake.bronze_events, BRONZE_EVENT)
     silver = read_table(spark, lake.silver_events, SILVER_EVENT)
@@ -119,7 +120,7 @@ def new_events(
     refined = refine_records(bronze, at)
     return (
         accepted_events(refined).join(done, "event_id", "left_anti"),
-        not_yet_quarantined(split(refined)[1], quarantined),
+        not_yet_quarantined(split(refined)[1].join(done, "event_id", "left_anti"), quarantined),
     )
 
 

@@ -285,6 +285,19 @@ def test_silver_again_adds_nothing(spark, lake, monkeypatch, broadcast_keys, mos
     assert stored_silver(spark, lake).filter("NOT is_valid").count() == 0
 
 
+@pytest.mark.parametrize("broadcast_keys", [500_000, 0])
+def test_silver_leaves_bad_rows_of_accepted_ids(spark, lake, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(silver, "BROADCAST_KEYS", broadcast_keys)
+    deliver(spark, lake, [raw_line("1")])
+    silver.run_silver(spark, lake)
+    path = write_lines(f"{lake.root}/raw/late.jsonl", [raw_line("1", 0), raw_line("9", 0), raw_line(None, 0)])
+    bronze.append_new_events(spark, read_events(spark, path), lake, [datetime.date(1970, 1, 1)])
+    assert stored_bronze(spark, lake).count() == 4
+    counts = silver.run_silver(spark, lake)
+    assert (counts["valid_events"], counts["quarantined_events"]) == (0, 2)
+    assert as_set(stored_quarantine(spark, lake), "event_id") == {("9",), (None,)}
+
+
 def test_silver_reads_only_the_days_of_new_ids(spark, lake):
     later = SECOND + 30 * 86_400
     deliver(spark, lake, [raw_line("1"), raw_line("2", SECOND + 86_400)])
