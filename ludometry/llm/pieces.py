@@ -39,12 +39,12 @@ from ludometry.llm.words import Numbering
 META = "▁"
 SEGMENTS = re.compile(r" *[^ ]+| +")
 LONGEST = 48
-SLICE = 2 << 20
+SLICE = 1 << 20
 # Characters of a word that has classes, so that its steps (at most three for each
 # character but the first) fit into the bits of a mask; skips that a class may have.
 CLASSED, SKIPS = 20, 2
 # Occurrences whose skips are drawn at a time.
-BLOCK = 1 << 16
+BLOCK = 1 << 14
 _MASK = (1 << 64) - 1
 # Odd constants that spread a key over 64 bits.
 _C = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -294,8 +294,8 @@ def _merged(
     order = np.argsort(lengths, kind="stable")
     bounds = np.searchsorted(lengths[order], [0, 3, 5, 7, 9, 12, 16, 24, 32, LONGEST + 1])
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        for at in range(a, b, 20_000):
-            own = order[at : min(at + 20_000, b)]
+        for at in range(a, b, 8_000):
+            own = order[at : min(at + 8_000, b)]
             width = max(int(lengths[own].max()), 1)
             columns = np.arange(width)
             inside = columns < lengths[own][:, None]
@@ -358,7 +358,7 @@ class _Growing:
 class Encoder:
     """Encodes texts and remembers the classes of words it has met, up to a bounded number."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: Dropout, most: int = 200_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: Dropout, most: int = 60_000) -> None:
         self.vocabulary, self.dropout, self.most = vocabulary, dropout, most
         self.forget()
 
