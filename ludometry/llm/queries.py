@@ -19,6 +19,8 @@ from ludometry.llm import (
     simhash,
     suffixes,
     toxicity,
+    trie,
+    variants,
     vectors,
 )
 from ludometry.llm.base import table
@@ -95,6 +97,22 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(table(spark, sf_dir, "embeddings"), every=100, most=10)
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations, the first turns of which are those of every twentieth."""
+    conv = F.col("conv_id")
+    turns = trie.turns_of(table(spark, sf_dir, "conversations"))
+    rebuilt = trie.with_heads(turns, conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, most=3)
+    return trie.trie(rebuilt).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, of which one in 31 lacks a character, and their more frequent forms."""
+    words = variants.counts(table(spark, sf_dir, "documents"), least=7, often=2, every=31)
+    return variants.variants(words, times=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op2_lines": op2_lines,
@@ -106,6 +124,12 @@ QUERIES: dict[str, Query] = {
     "op8_chunks": op8_chunks,
     "op9_pieces": op9_pieces,
     "op10_vectors": op10_vectors,
+    "op11_trie": op11_trie,
+    "op13_variants": op13_variants,
 }
 
-ORACLES: dict[str, str] = {"op4_contamination": oracles.CONTAMINATION}
+ORACLES: dict[str, str] = {
+    "op4_contamination": oracles.CONTAMINATION,
+    "op11_trie": oracles.TRIE,
+    "op13_variants": oracles.VARIANTS,
+}
