@@ -12,6 +12,7 @@ from ludometry.llm import (
     chat_format,
     chunks,
     contamination,
+    jaccard,
     language,
     lines,
     oracles,
@@ -107,6 +108,11 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set and the smallest doc_id that similar sets reach."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), percent=90, shingle=3)
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the documents, of which one in 31 lacks a character, and their more frequent forms."""
     words = variants.counts(table(spark, sf_dir, "documents"), least=7, often=2, every=31)
@@ -125,11 +131,13 @@ QUERIES: dict[str, Query] = {
     "op9_pieces": op9_pieces,
     "op10_vectors": op10_vectors,
     "op11_trie": op11_trie,
+    "op12_jaccard": op12_jaccard,
     "op13_variants": op13_variants,
 }
 
 ORACLES: dict[str, str] = {
     "op4_contamination": oracles.CONTAMINATION,
     "op11_trie": oracles.TRIE,
+    "op12_jaccard": oracles.JACCARD,
     "op13_variants": oracles.VARIANTS,
 }
