@@ -35,7 +35,7 @@ def test_run_is_registered(spark):
     import __spark_entry__ as entries
 
     assert entries.queries()["pipeline"] is corpus_pipeline.run
-    assert len([name for name in entries.queries() if name.startswith("op")]) == 10
+    assert len([name for name in entries.queries() if name.startswith("op")]) == 13
 
 
 def test_benchmark_stage_judges_each_row_on_its_own_text(spark, tmp_path):
