@@ -16,6 +16,8 @@ from ludometry.plans.lake import Lake
 from ludometry.schemas import SILVER_EVENT, SILVER_MAP
 from ludometry.session import build_session
 from ludometry.sources.tables import read_or_empty
+from ludometry.streaming.ingest import ingest_new_files
+from ludometry.streaming.refine import run_silver_of_new_files
 
 JOBS = ["bronze", "silver", "enrich", "gold", "checks"]
 
@@ -29,6 +31,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("root", help="folder of the lake, on any Hadoop file system")
     parser.add_argument("jobs", nargs="*", help=f"some of {' '.join(JOBS)}; all by default")
     parser.add_argument("--events", help="raw event files, if not ROOT/raw/events.jsonl")
+    parser.add_argument("--inbox", help="folder of raw event files, of which only new ones are read")
     parser.add_argument("--maps", help="raw map file, if not ROOT/raw/maps.jsonl")
     parser.add_argument(
         "--date",
@@ -41,6 +44,8 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--matches", choices=["full", "watermark"], default="full")
     parsed = parser.parse_args(arguments)
     parsed.jobs = parsed.jobs or JOBS
+    if parsed.inbox and (parsed.events or parsed.dates):
+        parser.error("--inbox takes all days of its new files and no --events")
     unknown = set(parsed.jobs) - set(JOBS)
     if unknown:
         parser.error(f"unknown jobs {sorted(unknown)}")
@@ -52,9 +57,16 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     lake = Lake(options.root)
     passed = True
     if "bronze" in options.jobs:
-        print("bronze", bronze.run_bronze(spark, lake, options.events, options.maps, options.dates))
+        if options.inbox:
+            ingest_new_files(spark, options.inbox, lake, lake.bronze_progress)
+            print("bronze maps", bronze.refresh_maps(spark, options.maps or lake.raw_maps, lake))
+        else:
+            print("bronze", bronze.run_bronze(spark, lake, options.events, options.maps, options.dates))
     if "silver" in options.jobs:
-        print("silver", silver.run_silver(spark, lake, options.dates))
+        if options.dates is None:
+            print("silver", run_silver_of_new_files(spark, lake))
+        else:
+            print("silver", silver.run_silver(spark, lake, options.dates))
         events = read_or_empty(spark, lake.silver_events, SILVER_EVENT)
         unknown_maps(events, read_or_empty(spark, lake.silver_maps, SILVER_MAP)).show(truncate=False)
     if "enrich" in options.jobs:

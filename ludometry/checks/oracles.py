@@ -538,3 +538,5 @@ FROM counted""",
     "raw_field_profile": _with(_GAME, _BRONZE, _LINES, then=_FIELD_PROFILE),
     "raw_schema": _with(_GAME, _BRONZE, _LINES, then=_MERGED_SCHEMA),
 }
+# Other plans for the same rows.
+ORACLES["silver_incremental_by_id"] = ORACLES["silver_incremental"]

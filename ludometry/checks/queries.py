@@ -41,6 +41,7 @@ from ludometry.sinks.tables import append
 from ludometry.sources.jsonlines import read_events, read_lines
 from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
 from ludometry.streaming.ingest import ingest_new_files
+from ludometry.streaming.refine import run_silver_of_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,12 +188,23 @@ def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two Bronze deliveries with Silver after each, and once more at the end."""
+    return _silver_twice(spark, sf_dir, run_silver_of_new_files)
+
+
+def silver_incremental_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by comparing all ids of Bronze with those that are done."""
+    return _silver_twice(spark, sf_dir, silver.run_silver)
+
+
+def _silver_twice(
+    spark: SparkSession, sf_dir: str, refine: Callable[[SparkSession, Lake], dict[str, int]]
+) -> DataFrame:
     delivery = _Delivery.start(spark, sf_dir)
     delivery.ingest(delivery.deliver("first", before=CUT))
-    silver.run_silver(spark, delivery.lake)
+    refine(spark, delivery.lake)
     delivery.ingest(delivery.deliver())
-    silver.run_silver(spark, delivery.lake)
-    silver.run_silver(spark, delivery.lake)
+    refine(spark, delivery.lake)
+    refine(spark, delivery.lake)
     good = read_or_empty(spark, delivery.lake.silver_events, SILVER_EVENT)
     bad = read_or_empty(spark, delivery.lake.quarantined_events, SILVER_EVENT)
     return _show_silver(good.unionByName(bad))
@@ -531,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "silver_validate": silver_validate,
     "silver_quarantine": silver_quarantine,
     "silver_incremental": silver_incremental,
+    "silver_incremental_by_id": silver_incremental_by_id,
     "maps_validate": maps_validate,
     "staged_tables": staged_tables,
     "events_enriched": events_enriched,

@@ -8,8 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Most keys that are sent to every executor; some 50 MB of text keys.
-BROADCAST_KEYS = 500_000
+# Most keys, and characters of them, that are sent to every executor.
+BROADCAST_KEYS, BROADCAST_CHARS = 500_000, 64_000_000
+
+
+def fits(keys: DataFrame, column: str, most: int | None = None) -> bool:
+    """Whether keys may be sent to every executor: by their counted number and length.
+
+    Keys come from unvalidated text, so a few of them may be long.
+    """
+    found = keys.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(column)), F.lit(0)).alias("chars")).first()
+    return found.n <= (BROADCAST_KEYS if most is None else most) and found.chars <= BROADCAST_CHARS
+
+
+def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` is none of some stored, distinct ``key``; null ones stay.
+
+    The keys are sent to the rows if they fit; otherwise Spark chooses the join.
+    """
+    gone = keys.select(F.col("key").alias(column))
+    return rows.join(F.broadcast(gone) if fits(gone, column) else gone, column, "left_anti")
 
 
 def new_rows(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludometry.operators.increment import BROADCAST_KEYS, upsert, watermark
+from ludometry.operators.increment import BROADCAST_KEYS, fits, upsert, watermark
 from ludometry.operators.mart import mart_player_stats
 from ludometry.operators.matches import matches
 from ludometry.operators.running import HOT_ROWS
@@ -38,7 +38,7 @@ def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS)
         .distinct()
     )
     history = events
-    if active.count() <= BROADCAST_KEYS:
+    if fits(active, "user_id", BROADCAST_KEYS):
         history = events.join(F.broadcast(active), "user_id", "left_semi")
     return matches(history, hot_rows).filter(F.col("finish_timestamp") > last)
 

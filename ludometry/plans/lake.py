@@ -24,6 +24,14 @@ class Lake:
     def bronze_events(self) -> str:
         return self._table("bronze/events")
 
+    @property
+    def bronze_keys(self) -> str:
+        return self._table("bronze/event_keys")
+
+    @property
+    def bronze_progress(self) -> str:
+        return self._table("bronze/progress")
+
     @property
     def bronze_maps(self) -> str:
         return self._table("bronze/maps")
@@ -32,6 +40,14 @@ class Lake:
     def silver_events(self) -> str:
         return self._table("silver/events")
 
+    @property
+    def silver_keys(self) -> str:
+        return self._table("silver/event_keys")
+
+    @property
+    def silver_progress(self) -> str:
+        return self._table("silver/progress")
+
     @property
     def silver_maps(self) -> str:
         return self._table("silver/maps")
@@ -44,6 +60,10 @@ class Lake:
     def quarantined_events(self) -> str:
         return self._table("quarantine/events")
 
+    @property
+    def quarantine_keys(self) -> str:
+        return self._table("quarantine/record_keys")
+
     @property
     def quarantined_maps(self) -> str:
         return self._table("quarantine/maps")

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludometry.functions import record_digest
 from ludometry.operators.enrich import with_map_names
-from ludometry.operators.increment import BROADCAST_KEYS, in_dates, unprocessed_keys
+from ludometry.operators.increment import (
+    BROADCAST_KEYS,
+    fits,
+    in_dates,
+    unprocessed_keys,
+    without,
+)
 from ludometry.operators.normalize import (
     clean_events,
     flatten_events,
@@ -29,7 +36,8 @@ from ludometry.schemas import (
     SILVER_MAP,
 )
 from ludometry.session import ensure_checkpoints
-from ludometry.sinks.tables import append_partitioned, overwrite, overwrite_partitions
+from ludometry.sinks.keys import add_keys, changing, known_among, outdate, stored_keys
+from ludometry.sinks.tables import append_partitioned, landed, overwrite, overwrite_partitions
 from ludometry.sources.tables import read_or_empty, read_table
 
 # Most days that are worth listing in a filter; more are read as all days.
@@ -114,7 +122,7 @@ def new_events(
 
     done = silver.select("event_id")
     fresh = fresh_ids(bronze, done, quarantined)
-    if fresh.count() <= BROADCAST_KEYS:
+    if fits(fresh, "event_id", BROADCAST_KEYS):
         refined = refine_records(rows_of(bronze, fresh), at)
         return accepted_events(refined), not_yet_quarantined(split(refined)[1], quarantined)
     refined = refine_records(bronze, at)
@@ -169,21 +177,83 @@ def rows_of(bronze: DataFrame, fresh: DataFrame) -> DataFrame:
     return near.join(sent, "id", "left_semi").unionByName(bronze.filter(F.col("id").isNull()))
 
 
+def append_refined(
+    spark: SparkSession, rows: DataFrame, lake: Lake, at: Column | None = None
+) -> dict[str, int]:
+    """Refine some rows of Bronze and append what Silver and quarantine do not hold.
+
+    Their ids and records are looked up in the key tables of Silver and
+    quarantine, which are not shuffled; nothing else that is stored is read. As
+    in ``new_events``, bad rows of an id that Silver holds are not looked at,
+    and bad events are written first. All copies of an event come with one call.
+    """
+    silver = read_table(spark, lake.silver_events, SILVER_EVENT)
+    quarantined = read_table(spark, lake.quarantined_events, QUARANTINED_EVENT)
+    with ExitStack() as scratch:
+        # Refined once; the look-ups and both writes read what they need of it.
+        refined = scratch.enter_context(landed(refine_records(rows, at), "refined"))
+        if silver is not None:
+            history = stored_keys(spark, lake.silver_keys, lambda: _keys(silver, "event_id"))
+            done = scratch.enter_context(landed(known_among(_keys(refined, "event_id"), history), "done"))
+            refined = without(refined, done, "event_id")
+        rejected = split(refined)[1]
+        if quarantined is not None:
+            history = stored_keys(spark, lake.quarantine_keys, lambda: _keys(quarantined, RECORD_KEY))
+            held = scratch.enter_context(landed(known_among(_keys(rejected, RECORD_KEY), history), "held"))
+            rejected = without(rejected, held, RECORD_KEY)
+        valid = split(refined)[0]
+        return {
+            "quarantined_events": _append_keyed(
+                rejected, _keys(rejected, RECORD_KEY), lake.quarantined_events, lake.quarantine_keys, quarantined is None
+            ),
+            "valid_events": _append_keyed(
+                accepted_events(refined), _keys(valid, "event_id"), lake.silver_events, lake.silver_keys, silver is None
+            ),
+        }
+
+
+def _keys(rows: DataFrame, column: str) -> DataFrame:
+    return rows.filter(F.col(column).isNotNull()).select(F.col(column).alias("key"))
+
+
+def _append_keyed(rows: DataFrame, keys: DataFrame, path: str, keys_path: str, first: bool) -> int:
+    """Append to a table and its keys; those of a first write are made when they are asked for."""
+    spark = rows.sparkSession
+    if first:
+        outdate(spark, keys_path)
+        return append_partitioned(rows, path, "event_date")
+    with changing(spark, keys_path):
+        added = append_partitioned(rows, path, "event_date")
+        if added:
+            add_keys(keys.distinct(), keys_path)
+    return added
+
+
+def refresh_maps(spark: SparkSession, lake: Lake, at: Column | None = None) -> dict[str, int]:
+    """Silver and quarantined maps anew from Bronze."""
+    maps = refine_maps(read_or_empty(spark, lake.bronze_maps, BRONZE_MAP), at)
+    return {
+        "valid_maps": overwrite(accepted_maps(maps), lake.silver_maps),
+        "quarantined_maps": overwrite(split(maps)[1], lake.quarantined_maps),
+    }
+
+
 def run_silver(
     spark: SparkSession, lake: Lake, dates: Sequence | None = None, at: Column | None = None
 ) -> dict[str, int]:
-    """One incremental pass; returns the rows written to each table.
+    """One incremental pass over all of Bronze, or some days of it; returns the rows written.
 
-    Bad events are written first. Should the job die in between, the next run
-    still finds the good ones, whose ids Silver does not hold yet.
+    ``streaming.refine.refine_new_files`` does the same from the new files of
+    Bronze alone. Bad events are written first. Should the job die in between,
+    the next run still finds the good ones, whose ids Silver does not hold yet.
     """
     accepted, rejected = new_events(spark, lake, dates, at)
-    maps = refine_maps(read_or_empty(spark, lake.bronze_maps, BRONZE_MAP), at)
+    outdate(spark, lake.quarantine_keys)
+    outdate(spark, lake.silver_keys)
     return {
         "quarantined_events": append_partitioned(rejected, lake.quarantined_events, "event_date"),
         "valid_events": append_partitioned(accepted, lake.silver_events, "event_date"),
-        "valid_maps": overwrite(accepted_maps(maps), lake.silver_maps),
-        "quarantined_maps": overwrite(split(maps)[1], lake.quarantined_maps),
+        **refresh_maps(spark, lake, at),
     }
 
 

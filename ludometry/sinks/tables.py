@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ludometry.session import scratch_path
+from ludometry.sources.tables import discard
+
 
 def append_partitioned(rows: DataFrame, path: str, by: str) -> int:
     """Append in partitions of ``by``; returns the number of rows written.
@@ -47,3 +53,15 @@ def overwrite_partitions(rows: DataFrame, path: str, by: str, only_present: bool
         .partitionBy(by)
         .parquet(path)
     )
+
+
+@contextmanager
+def landed(rows: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows as a table of the shared folder, which is deleted after the block."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        discard(spark, path)

@@ -28,6 +28,18 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, and the folders above it."""
+    files, file = _file_system(spark, path)
+    files.create(file, True).close()
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Files in a folder and those below it."""
+    files, folder = _file_system(spark, path)
+    return files.getContentSummary(folder).getFileCount()
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The table with its declared schema, or None where it does not exist yet.
 
