@@ -482,24 +482,52 @@ def similar_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, percen
     tasks = written(_tasks(placed.filter("id <> hub").select("hub", "id"), sizes, most), "tasks")
     links = _links(tasks, sets, percent)
     joined = components(links)
-    # Lists that hold several components yet, compared pair by pair.
+    # Lists that hold several components yet.
     part = tasks.filter("id <> hub").select("id", F.col("block").alias("part"))
     labelled = placed.join(joined, placed["id"] == joined["node"], "left").join(part, "id", "left")
     labelled = written(labelled.select("id", "n", "s1", "hub", F.coalesce("component", "id").alias("label"), F.coalesce("part", F.lit(-1).cast("long")).alias("part")), "labelled")
     named = written(members.select("key", "s1").join(labelled, "s1").drop("s1"), "named")
-    lists = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-    open_ = lists.filter("low < high").select("key", F.ceil(F.col("size") / block).alias("blocks"))
-    rows = named.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    lists = named.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("first"), F.count(F.lit(1)).alias("size")
+    )
+    open_ = written(lists.filter("low < high").select("key", "first", "size"), "open")
+    if open_.isEmpty():
+        return joined
+    again = _again(named, open_, sizes, percent, most, block)
+    return components(links.unionByName(_links(again, sets, percent)))
+
+
+def _again(named: DataFrame, open_: DataFrame, sizes: DataFrame, percent: int, most: int, block: int) -> DataFrame:
+    """Tasks (hub, block, id) that compare what shares a list with members of several components.
+
+    Sets that such lists connect are a family. Where its lists hold fewer pairs
+    than a family has members, times its blocks of ``most`` elements, the pairs
+    are listed; a crowded family is compared block by block instead, inside the tasks.
+    """
+    rows = named.join(open_, "key")
+    families = components(rows.select(F.col("id").alias("a"), F.col("first").alias("b")))
+    families = written(families.join(sizes, families["node"] == sizes["id"]).select("id", "n", F.col("component").alias("family")), "families")
+    held = families.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / most).alias("blocks"))
+    pairs = open_.join(families, open_["first"] == families["id"]).groupBy("family").agg(
+        F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("pairs")
+    )
+    crowded = written(held.join(pairs, "family").filter("pairs > members * blocks").select("family", "blocks"), "crowded")
+    whole = families.join(crowded, "family").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    by_block = whole.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        (-1 - F.col("family")).alias("hub"),
+        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("block"),
+        "id",
+    )
+    sparse = open_.join(families, open_["first"] == families["id"]).join(crowded, "family", "left_anti")
+    cut = named.join(sparse.select("key", F.ceil(F.col("size") / block).alias("blocks")), "key")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     others = F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.col("block")))
-    met_again = rows.withColumn("other", F.explode(others)).select(
+    met = cut.withColumn("other", F.explode(others)).select(
         "key", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("task"), "block", "id", "n", "label", "hub", "part"
     )
-    dealt = met_again.repartition("key", "task").sortWithinPartitions("key", "task")
-    pairs = written(dealt.mapInArrow(_open_pairs(percent), "hub long, id long").distinct(), "pairs")
-    if pairs.isEmpty():
-        return joined
-    more = _links(_tasks(pairs, sizes, most), sets, percent)
-    return components(links.unionByName(more))
+    dealt = met.repartition("key", "task").sortWithinPartitions("key", "task")
+    listed = written(dealt.mapInArrow(_open_pairs(percent), "hub long, id long").distinct(), "pairs")
+    return written(_tasks(listed, sizes, most).unionByName(by_block), "again")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
