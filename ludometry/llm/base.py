@@ -14,16 +14,28 @@ from ludometry.session import scratch_path
 
 # Rows up to which a written table of a few numbers a row is broadcast: 16 MB or so.
 BROADCAST = 1_000_000
+# Bytes of rows that Spark hands to Python at a time; texts are long, so its default
+# of rows would be many megabytes in every worker.
+BATCH, _BATCH = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def bounded(spark: SparkSession) -> None:
+    """Lower the session's bytes of an Arrow batch to ``BATCH``, if they are more."""
+    held = str(spark.conf.get(_BATCH)).rstrip("bB")
+    if not held.isdigit() or int(held) > BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(rows: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there."""
     spark = rows.sparkSession
+    bounded(spark)
     path = scratch_path(spark, label)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -42,6 +54,7 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     Columns are taken by name, so extra columns of any name do no harm.
     """
+    bounded(docs.sparkSession)
     return docs.select(
         F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )

@@ -124,6 +124,7 @@ class Vocabulary:
         self.merged = np.array([k for _, _, k, _ in merges] + [-1], dtype=np.int32)
         self.scores = np.array([score for *_, score in merges] + [-np.inf], dtype=np.float32)
         self.table = {key: n for n, key in enumerate(self.keys[:-1].tolist())}
+        self._place_merges()
         raw = [
             bytes([int(piece[3:5], 16)]) if kinds[k] == 1 else b"" if kinds[k] == 2 else piece.replace(META, " ").encode()
             for k, piece in enumerate(pieces)
@@ -143,12 +144,35 @@ class Vocabulary:
         kinds = [1 if model.is_byte(k) else 2 if model.is_control(k) or model.is_unknown(k) else 0 for k in numbers]
         return cls([model.id_to_piece(k) for k in numbers], [model.get_score(k) for k in numbers], kinds)
 
+    def _place_merges(self) -> None:
+        """A slot for every merge: the one its key hashes to, or the next that is free."""
+        none = len(self.keys) - 1
+        bits = max(4, none.bit_length() + 2)
+        self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, none, dtype=np.int32)
+        left = np.arange(none)
+        slot = self._slot(self.keys[:-1])
+        while len(left):
+            free = self.slots[slot] == none
+            self.slots[slot[free]] = left[free]  # of several, the last stays
+            left, slot = left[self.slots[slot] != left], slot[self.slots[slot] != left]
+            slot = (slot + 1) & (len(self.slots) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(_C[0]) >> self.shift).astype(np.int64)
+
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The number of the merge of each pair, or the last number where there is none."""
+        none = len(self.keys) - 1
         key = left.astype(np.int64) << 32 | right.astype(np.int64)
-        at = np.searchsorted(self.keys, key)
-        at[(left < 0) | (right < 0) | (self.keys[np.minimum(at, len(self.keys) - 1)] != key)] = len(self.keys) - 1
-        return at
+        key[(left < 0) | (right < 0)] = -1
+        slot = self._slot(key)
+        found = self.slots[slot]
+        open_ = np.flatnonzero((found != none) & (self.keys[found] != key))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.slots) - 1)
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[(found[open_] != none) & (self.keys[found[open_]] != key[open_])]
+        return found
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """Piece of each code point, or minus the code point less 2 where there is none."""
@@ -356,15 +380,26 @@ class _Growing:
 
 
 class Encoder:
-    """Encodes texts and remembers the classes of words it has met, up to a bounded number."""
+    """Encodes texts and remembers the classes of words that come again, up to a bounded number.
+
+    A word met once is merged as it comes. When there are too many, all are let go but
+    the names of the most frequent, which have classes again when they are met next.
+    """
 
     def __init__(self, vocabulary: Vocabulary, dropout: Dropout, most: int = 60_000) -> None:
         self.vocabulary, self.dropout, self.most = vocabulary, dropout, most
+        self.seen: set[str] = set()  # words met once
+        self.uses = _Growing(np.int64)
         self.forget()
 
     def forget(self) -> None:
-        self.index = Numbering()
-        self.roots = _Growing(np.int64)  # of every word: its class without skips, or -1 if it has none
+        if self.uses.size:
+            order = np.argsort(-self.uses.all)[: self.most // 3].tolist()
+            self.seen = {self.words[k] for k in order}
+        self.index: dict[str, int] = {}
+        self.words: list[str] = []
+        self.uses = _Growing(np.int64)  # occurrences of every word
+        self.roots = _Growing(np.int64)  # of every word: its class without skips
         self.flat = _Growing(np.int32)  # the pieces of all classes
         # Of every class: its word, its mask, and its ranges of pieces and of steps.
         self.word, self.mask = _Growing(np.int64), _Growing(np.uint64)
@@ -373,6 +408,30 @@ class Encoder:
         # Of every step of a class: the hash of its candidate, and the class that also skips it, or -1: not met.
         self.drawn, self.next = _Growing(np.uint64), _Growing(np.int64)
 
+    def _numbers(self, words: list[str], uses: np.ndarray) -> np.ndarray:
+        """The numbers of words that have classes, -1 for the others; new ones are made."""
+        get, seen = self.index.get, self.seen
+        own = np.fromiter([get(word, -1) for word in words], np.int64, len(words))
+        fresh = own < 0
+        if self.dropout.limit:
+            fresh &= np.fromiter(map(len, words), np.int64, len(words)) < CLASSED
+        once = np.flatnonzero(fresh & (uses == 1)).tolist()
+        made = [*np.flatnonzero(fresh & (uses > 1)).tolist(), *(k for k in once if words[k] in seen)]
+        if len(seen) > 8 * self.most:
+            seen.clear()
+        seen.update([words[k] for k in once])
+        if made:
+            numbers = len(self.words) + np.arange(len(made))
+            own[made] = numbers
+            chosen = [words[k] for k in made]
+            self.index.update(zip(chosen, numbers.tolist(), strict=True))
+            self.words.extend(chosen)
+            self.uses.add(np.zeros(len(made), np.int64))
+            self.roots.add(self._make(self.words, numbers, np.zeros(len(made), np.uint64)))
+        known = np.flatnonzero(own >= 0)
+        self.uses.all[own[known]] += uses[known]
+        return own
+
     def _make(self, words: list[str], word: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """New classes of words (by number) and masks."""
         chosen = [f" {words[k]}" for k in word.tolist()]
@@ -430,30 +489,25 @@ class Encoder:
 
         ``keys`` name the texts for the choice of skips; null texts have no pieces.
         """
-        if max(len(self.index), self.word.size // 2) > self.most:
+        if max(len(self.words), self.word.size // 2) > self.most:
             self.forget()
+        met = Numbering()
         ids, counts, places = [np.zeros(0, np.int64)], [], [np.zeros(0, np.uint64)]
         for key, value in zip(keys, values, strict=True):
             found = _segments(value) if value else []
-            ids.append(self.index.of(found))
+            ids.append(met.of(found))
             counts.append(len(found))
             place = np.arange(len(found))
             base = np.full(1, 0 if key is None else key)
             places.append(_hash_arrays(self.dropout.seed, base, place, place))
         ids, places = np.concatenate(ids).astype(np.int64), np.concatenate(places)
-        words = list(self.index)
-        fresh = np.arange(self.roots.size, len(words))
+        words = list(met)
+        own = self._numbers(words, np.bincount(ids, minlength=len(words)))
+        classes = own[ids]
+        known = np.flatnonzero(classes >= 0)
+        classes[known] = self.roots.all[classes[known]]
         if self.dropout.limit:
-            lengths = np.fromiter((len(word) + 1 for word in words[self.roots.size :]), np.int64, len(fresh))
-            short = lengths <= CLASSED
-        else:
-            short = np.ones(len(fresh), dtype=bool)
-        roots = np.full(len(fresh), -1)
-        roots[short] = self._make(words, fresh[short], np.zeros(int(short.sum()), np.uint64))
-        self.roots.add(roots)
-        classes = self.roots.all[ids]
-        if self.dropout.limit:
-            classes = self._walk(words, places, classes)
+            classes = self._walk(self.words, places, classes)
         alone, known = np.flatnonzero(classes < 0), np.flatnonzero(classes >= 0)
         flat, own = encode_words(self.vocabulary, [f" {words[k]}" for k in ids[alone].tolist()], places[alone], self.dropout)
         starts, sizes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
@@ -468,18 +522,6 @@ def encode_texts(vocabulary: Vocabulary, keys: list[int | None], values: list[st
     return Encoder(vocabulary, dropout).encode(keys, values)
 
 
-# The encoder of this worker process; tasks of one job find the words of earlier ones.
-_LAST: dict = {}
-
-
-def _encoder(vocabulary: Vocabulary, dropout: Dropout) -> Encoder:
-    key = (vocabulary.digest, dropout)
-    if key not in _LAST:
-        _LAST.clear()
-        _LAST[key] = Encoder(vocabulary, dropout)
-    return _LAST[key]
-
-
 def decode_pieces(vocabulary: Vocabulary, pieces: np.ndarray, counts: np.ndarray) -> list[str]:
     """The texts of pieces that stand one after another, ``counts`` for each."""
     raw = _gathered(vocabulary.bytes, vocabulary.offsets[pieces], vocabulary.sizes[pieces]).tobytes()
@@ -489,13 +531,16 @@ def decode_pieces(vocabulary: Vocabulary, pieces: np.ndarray, counts: np.ndarray
     return [text[1:] if text.startswith(" ") else text for text in out]
 
 
-def _per_part(rows: DataFrame, column: str, schema: str, columns) -> DataFrame:
+def _per_part(rows: DataFrame, schema: str, vocabulary: Vocabulary, dropout: Dropout, columns) -> DataFrame:
+    """The result of ``columns``, which takes a part and an encoder; the encoder lives as long as its task."""
     arrow = batches(schema)
+    share = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(share.value, dropout)
         for batch in stream:
-            for part in slices(batch, column, SLICE):
-                made = columns(part)
+            for part in slices(batch, "text", SLICE):
+                made = columns(part, encoder)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(made, list(arrow)[1:], strict=True))], schema=arrow)
 
     return rows.mapInArrow(run, schema)
@@ -514,13 +559,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout()
     Empty texts have no pieces, null texts a null; texts of any length are
     encoded whole. Rows that share a doc_id and a text get the same pieces.
     """
-    share = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def column(part):
+    def column(part, encoder):
         values = part["text"].to_pylist()
-        return (_as_lists(*_encoder(share.value, dropout).encode(part["doc_id"].to_pylist(), values), values),)
+        return (_as_lists(*encoder.encode(part["doc_id"].to_pylist(), values), values),)
 
-    return _per_part(texts(docs), "text", "doc_id long, pieces array<int>", column)
+    return _per_part(texts(docs), "doc_id long, pieces array<int>", vocabulary, dropout, column)
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout()) -> DataFrame:
@@ -534,10 +577,11 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout(
     arrow = batches(schema)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(share.value, dropout)
         for batch in stream:
             for part in slices(batch, "text", SLICE):
                 values = part["text"].to_pylist()
-                made = _as_lists(*_encoder(share.value, dropout).encode(part["doc_id"].to_pylist(), values), values)
+                made = _as_lists(*encoder.encode(part["doc_id"].to_pylist(), values), values)
                 yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), made.cast(arrow.field("pieces").type)], schema=arrow)
 
     return docs.select(*(f.name for f in rest), "text").mapInArrow(run, schema)
@@ -568,12 +612,10 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropo
     doc_id, n_chars, n_pieces, pieces_sha256 (of little-endian 32-bit ids),
     decoded_sha256 (of the UTF-8 bytes) and lossless. A null text counts as empty.
     """
-    share = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def columns(part):
+    def columns(part, encoder):
         values = [value or "" for value in part["text"].to_pylist()]
-        pieces, counts = _encoder(share.value, dropout).encode(part["doc_id"].to_pylist(), values)
-        decoded = decode_pieces(share.value, pieces, counts)
+        pieces, counts = encoder.encode(part["doc_id"].to_pylist(), values)
+        decoded = decode_pieces(encoder.vocabulary, pieces, counts)
         ends = np.concatenate(([0], np.cumsum(counts))).tolist()
         return (
             list(map(len, values)),
@@ -587,4 +629,4 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropo
         "doc_id long, n_chars long, n_pieces long, pieces_sha256 string, "
         "decoded_sha256 string, lossless boolean"
     )
-    return _per_part(texts(docs), "text", schema, columns)
+    return _per_part(texts(docs), schema, vocabulary, dropout, columns)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
-# Texts are hashed in buffers of at most this many bytes.
-BUFFER = 1 << 21
-_BITS = 22
+# Texts are hashed in buffers of at most this many bytes; twice as many have a place.
+BUFFER = 1 << 19
+_BITS = 20
 _PLACE = np.uint64((1 << _BITS) - 1)
 _random = np.random.default_rng(100)
 # Two codes for every byte value, and an odd base: hashes are taken modulo 2^64.
@@ -14,15 +16,14 @@ CODES = _random.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) +
 _BASE = 0x2545F4914F6CDD1D
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full((1 << _BITS) + 1, base, dtype=np.uint64)
+@cache
+def _powers(inverse: bool = False) -> np.ndarray:
+    """Powers of the base or of its inverse; made where hashes are taken, and only there."""
+    out = np.full((1 << _BITS) + 1, pow(_BASE, -1, 1 << 64) if inverse else _BASE, dtype=np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-POWERS, INVERSES = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits, so that any of them may choose a partition or a minimum."""
     values = values ^ (values >> np.uint64(32))
@@ -35,13 +36,13 @@ def mix(values: np.ndarray) -> np.ndarray:
 def prefix_hashes(data: np.ndarray, code: int = 0) -> np.ndarray:
     """The hash of each prefix of a buffer of bytes, the empty one included."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(CODES[code][data] * POWERS[: len(data)], out=out[1:])
+    np.cumsum(CODES[code][data] * _powers()[: len(data)], out=out[1:])
     return out
 
 
 def span_hashes(prefixes: np.ndarray, starts: np.ndarray, length) -> np.ndarray:
     """Hashes of the bytes [start, start + length); equal bytes have equal hashes."""
-    return (prefixes[starts + length] - prefixes[starts]) * INVERSES[starts]
+    return (prefixes[starts + length] - prefixes[starts]) * _powers(inverse=True)[starts]
 
 
 def common_lengths(prefixes: np.ndarray, one: np.ndarray, other: np.ndarray, most: int) -> np.ndarray:
