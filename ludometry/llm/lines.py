@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ludometry.llm.base import batches, few, numbered, slices, written
 from ludometry.llm.components import components
-from ludometry.llm.rolling import mix
+from ludometry.llm.rolling import mix, ranges
 from ludometry.llm.suffixes import with_own_ids
 
 # Characters of a shingle, bands, rows of a band, least similarity. A pair at 0.8
@@ -45,12 +45,8 @@ def jaccard(one: set[str], other: set[str]) -> float:
     return shared / (len(one) + len(other) - shared)
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """Lines x BINS: the smallest shingle hash of each bin, empty bins filled.
-
-    An empty bin takes the value of a bin drawn by a hash of its number and the
-    attempt, the same for all lines, until one is not empty.
-    """
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of all lines, in order and repeated ones too, and the line of each."""
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
@@ -62,10 +58,29 @@ def signatures(lines: list[str]) -> np.ndarray:
     owner = np.repeat(np.arange(len(lines)), sizes)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = np.flatnonzero(nth <= sizes[owner] - SHINGLE)
-    hashes = mix(hashes[inside])
+    return mix(hashes[inside]), owner[inside]
+
+
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The sorted distinct hashes of every line's shingles."""
+    hashes, owner = shingle_hashes(lines)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    fresh = np.ones(len(hashes), dtype=bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return np.split(hashes[fresh], np.cumsum(np.bincount(owner[fresh], minlength=len(lines)))[:-1])
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """Lines x BINS: the smallest shingle hash of each bin, empty bins filled.
+
+    An empty bin takes the value of a bin drawn by a hash of its number and the
+    attempt, the same for all lines, until one is not empty.
+    """
+    hashes, owner = shingle_hashes(lines)
     bins = (hashes >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)
     out = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint64)
-    np.minimum.at(out, owner[inside] * BINS + bins.astype(np.int64), mix(hashes))
+    np.minimum.at(out, owner * BINS + bins.astype(np.int64), mix(hashes))
     out = out.reshape(len(lines), BINS)
     filled = out != _EMPTY
     row, column = np.nonzero(~filled)
@@ -134,16 +149,16 @@ def _buckets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Each member carries its place in the bucket; nothing but the last row is held.
     """
-    schema = pa.schema([(name, pa.int64()) for name in ("band", "line_id", "place")])
-    band, line, place, held = None, None, 0, False
+    schema = pa.schema([("band", pa.int64()), ("column", pa.int32()), ("line_id", pa.int64()), ("place", pa.int64())])
+    band, column, line, place, held = None, None, None, 0, False
     for batch in stream:
-        bands, lines = batch["band"].to_numpy(), batch["line_id"].to_numpy()
+        bands, columns, lines = (batch[c].to_numpy() for c in ("band", "column", "line_id"))
         if not len(bands):
             continue
         fresh = np.ones(len(bands), dtype=bool)
         fresh[1:] = (bands[1:] != bands[:-1]) | (lines[1:] != lines[:-1])
         fresh[0] = (bands[0], lines[0]) != (band, line)
-        bands, lines = bands[fresh], lines[fresh]
+        bands, columns, lines = bands[fresh], columns[fresh], lines[fresh]
         if not len(bands):
             continue
         starts = np.ones(len(bands), dtype=bool)
@@ -155,77 +170,97 @@ def _buckets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         followed = np.append(~starts[1:], False)
         out = (places > 0) | followed
         if held and places[0] > 0:
-            yield pa.RecordBatch.from_arrays([pa.array([band]), pa.array([line]), pa.array([0])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((band, column, line, 0), schema, strict=True)], schema=schema)
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(bands[out]), pa.array(lines[out]), pa.array(places[out])], schema=schema)
-        band, line, place = int(bands[-1]), int(lines[-1]), int(places[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (bands, columns, lines, places)], schema=schema)
+        band, column, line, place = int(bands[-1]), int(columns[-1]), int(lines[-1]), int(places[-1])
         held = place == 0
 
 
-def linked_pairs(members: list[tuple[int, int, str]], least: float) -> list[tuple[int, int]]:
-    """Links that join what is similar among (line_id, block, text) of one task.
+def linked_pairs(
+    ids: np.ndarray, blocks: np.ndarray, keys: np.ndarray, sets: list[np.ndarray], column: int, least: float
+) -> list[tuple[int, int]]:
+    """Links that join what is similar among the members of one task.
 
-    Members of one block are compared with each other if there is one block, else
-    only with those of the other. Pairs that are joined already are passed over.
+    ``keys`` are the bands of every member and ``column`` is the bucket's own: a pair
+    is compared only in the first of the buckets that it shares. Members of one
+    block are compared with each other if there is one block, else only with those
+    of the other. Pairs that are joined already are passed over.
     """
-    sets = [shingle_set(text) for _, _, text in members]
-    order = sorted(range(len(members)), key=lambda k: len(sets[k]))
-    blocks = {block for _, block, _ in members}
-    groups: dict[int, list[int]] = {}  # members by root
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    order = np.argsort(sizes, kind="stable")
+    sizes, ids, blocks, keys = sizes[order], ids[order], blocks[order], keys[order]
+    flat, inverse = np.unique(np.concatenate([sets[k] for k in order.tolist()]), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    marks = np.zeros(len(flat), dtype=bool)
+    label = np.arange(len(ids))
+    apart = blocks.min() != blocks.max()
     links = []
-    for x in order:
-        mine = members[x][0]
-        joined: set[int] = set()
-        for root in list(groups):
-            if root in joined:
-                continue
-            for y in reversed(groups[root]):  # the nearest in size first
-                if len(sets[y]) < least * len(sets[x]):
-                    break
-                if len(blocks) > 1 and members[x][1] == members[y][1]:
-                    continue
-                if jaccard(sets[x], sets[y]) >= least:
-                    links.append((mine, members[y][0]))
-                    joined.add(root)
-                    break
-        together = sorted((k for root in joined for k in groups.pop(root)), key=lambda k: len(sets[k]))
-        groups[x] = [*together, x]
+    for x in range(1, len(ids)):
+        low = int(np.searchsorted(sizes, np.ceil(least * sizes[x] - 1e-9)))
+        open_ = label[low:x] != label[x]
+        if apart:
+            open_ &= blocks[low:x] != blocks[x]
+        others = low + np.flatnonzero(open_)
+        if not len(others):
+            continue
+        shared = keys[others] == keys[x]
+        others = others[(shared.argmax(axis=1) == column) & shared[:, column]]
+        if not len(others):
+            continue
+        own = inverse[starts[x] : starts[x] + sizes[x]]
+        marks[own] = True
+        held = marks[inverse[ranges(starts[others], sizes[others])]].astype(np.int64)
+        marks[own] = False
+        common = np.add.reduceat(held, np.cumsum(sizes[others]) - sizes[others])
+        near = others[common >= least * (sizes[others] + sizes[x] - common) - 1e-9]
+        for y in near[np.unique(label[near], return_index=True)[1]].tolist():
+            links.append((int(ids[x]), int(ids[y])))
+            label[label == label[y]] = label[x]
     return links
 
 
 def _verify(least: float):
-    """Streams (band, task, block, line_id, text) sorted by (band, task) into links."""
-    schema = batches("a long, b long")
+    """Streams (band, task, column, block, line_id, text, bands) sorted by (band, task) into links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members = None, []
+        key, column, held = None, 0, []
 
         def made() -> Iterator[pa.RecordBatch]:
-            links = linked_pairs(members, least)
+            if len(held) < 2:
+                return
+            ids, blocks, keys, sets = zip(*held, strict=True)
+            links = linked_pairs(np.array(ids), np.array(blocks), np.array(keys), sets, column, least)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], schema=schema)
 
         for batch in stream:
-            for band, task, block, line_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sets = shingle_sets(batch["text"].to_pylist())
+            keys = batch["bands"].flatten().to_numpy().reshape(-1, BANDS)
+            rows = zip(*(batch[c].to_pylist() for c in ("band", "task", "column", "block", "line_id")), strict=True)
+            for k, (band, task, own, block, line_id) in enumerate(rows):
                 if (band, task) != key:
                     yield from made()
-                    key, members = (band, task), []
-                members.append((line_id, block, text))
+                    key, column, held = (band, task), own, []
+                held.append((line_id, block, keys[k], sets[k]))
         yield from made()
 
     return run
 
 
 def _links(tasks: DataFrame, texts_: DataFrame, least: float) -> DataFrame:
-    """Verified links of tasks (band, task, block, line_id)."""
-    rows = tasks.join(texts_, "line_id").select("band", "task", "block", "line_id", "text")
+    """Verified links of tasks (band, column, task, block, line_id)."""
+    rows = tasks.join(texts_, "line_id").select("band", "task", "column", "block", "line_id", "text", "bands")
     dealt = rows.repartition("band", "task").sortWithinPartitions("band", "task")
     return written(dealt.mapInArrow(_verify(least), "a long, b long"), "links")
 
 
 def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line_id, text) of the wanted lines, each once."""
+    """(line_id, text, bands) of the wanted lines, each once."""
     schema = batches("line_id long, text string")
+    whole = "line_id long, text string, bands array<long>"
+    banded = batches(whole)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -234,32 +269,43 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 if own:
                     yield pa.RecordBatch.from_arrays([pa.array([_digest(line)[0] for line in own], pa.int64()), pa.array(own, pa.string())], schema=schema)
 
+    def with_bands(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for part in slices(batch, "text", SLICE):
+                keys = band_keys(part["text"].to_pylist())
+                offsets = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
+                bands = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([part["line_id"], part["text"], bands], schema=banded)
+
     lines = docs.mapInArrow(run, "line_id long, text string")
     wanted = few(written(wanted, "wanted"))
-    return written(lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.min("text").alias("text")), "texts")
+    each = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.min("text").alias("text"))
+    return written(each.mapInArrow(with_bands, whole), "texts")
 
 
 def similar_lines(docs: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
     """(node, component) of the lines of ``found`` (occurrences) that are joined to others."""
-    entries = found.filter("bands IS NOT NULL AND size(bands) > 0").select("line_id", F.explode("bands").alias("band"))
-    dealt = entries.repartition("band").sortWithinPartitions("band", "line_id")
-    members = written(dealt.mapInArrow(_buckets, "band long, line_id long, place long"), "buckets")
-    # Buckets of the same members are one: near copies share most of their bands.
+    entries = found.filter("bands IS NOT NULL AND size(bands) > 0").select("line_id", F.posexplode("bands").alias("column", "band"))
+    dealt = entries.select("band", "column", "line_id").repartition("band").sortWithinPartitions("band", "line_id")
+    members = written(dealt.mapInArrow(_buckets, "band long, column int, line_id long, place long"), "buckets")
+    # Buckets of the same members are one: near copies share most of their bands. The first
+    # column stands for them, as a pair is compared in the first bucket that it shares.
     same = members.groupBy("band").agg(
+        F.min("column").alias("column"),
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("line_id")).alias("x"), F.bit_xor(F.xxhash64("line_id", F.lit(1))).alias("y")
     )
-    kept = same.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band", "n")
+    kept = same.groupBy("n", "x", "y").agg(F.min(F.struct("column", "band")).alias("kept")).select("kept.band", "kept.column", "n")
     tasks = written(
-        members.join(kept, "band").select(
-            "band", "n", "line_id", "place", F.floor(F.col("place") / BLOCK).alias("block"), F.ceil(F.col("n") / BLOCK).alias("blocks")
+        members.drop("column").join(kept, "band").select(
+            "band", "column", "n", "line_id", "place", F.floor(F.col("place") / BLOCK).alias("block"), F.ceil(F.col("n") / BLOCK).alias("blocks")
         ),
         "tasks",
     )
     texts_ = _candidate_texts(docs, tasks.select("line_id").distinct())
     # A long bucket is cut into blocks; its first member is in all of them.
-    own = tasks.select("band", F.col("block").alias("task"), F.lit(0).alias("block"), "line_id")
+    own = tasks.select("band", "column", F.col("block").alias("task"), F.lit(0).alias("block"), "line_id")
     bridges = tasks.filter("place = 0 AND blocks > 1").select(
-        "band", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("task"), F.lit(0).alias("block"), "line_id"
+        "band", "column", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("task"), F.lit(0).alias("block"), "line_id"
     )
     links = _links(own.unionByName(bridges), texts_, least)
     joined = components(links)
@@ -269,10 +315,10 @@ def similar_lines(docs: DataFrame, found: DataFrame, least: float = LEAST) -> Da
     # Where a long bucket is not one component, all its blocks meet in pairs.
     labelled = long.join(joined, long["line_id"] == joined["node"], "left").withColumn("label", F.coalesce("component", "line_id"))
     apart = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("band")
-    open_ = long.join(apart, "band").select("band", "line_id", "block", "blocks")
+    open_ = long.join(apart, "band").select("band", "column", "line_id", "block", "blocks")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = open_.withColumn("other", F.explode(others)).filter("other <> block").select(
-        "band", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("task"), "block", "line_id"
+        "band", "column", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("task"), "block", "line_id"
     )
     return components(links.unionByName(_links(pairs, texts_, least)))
 
