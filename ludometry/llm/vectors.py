@@ -1,29 +1,33 @@
 """Approximate nearest neighbours by robust-pruned directed graphs, one per shard.
 
-Vectors are dealt into shards of bounded size by a hash of their id. In a shard,
+Vectors are dealt into shards of bounded size by a hash of their row. In a shard,
 greedy beam searches from an entry point propose neighbours for each vector, and
 robust pruning keeps those that no kept one is closer to by the factor alpha.
-Every shard is searched by every query, and the best of all shards remain.
-Equal vectors of a shard are one node that carries the smallest ids, as many as
-a result can hold, so copies cannot crowd a graph or a result.
+Every shard is searched by every query, and the best of all shards remain; a shard
+of no more nodes than a beam holds is searched whole. Equal vectors of a shard are
+one node that carries the smallest ids, as many as a result can hold, so copies
+cannot crowd a graph or a result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludometry.llm.base import written
+from ludometry.llm.base import batches, row_keys, written
 
+# A node's ids and rows are those of its copies, the smallest first.
 INDEX = (
-    "shard long, dims int, node int, vec_id long, copies array<long>, entry boolean, "
+    "shard long, dims int, node int, ids array<long>, rows array<long>, entry boolean, "
     "vector array<double>, neighbours array<int>"
 )
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, row long, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -35,13 +39,13 @@ class Settings:
     search_beam: int = 96
     alpha: float = 1.2
     shard_rows: int = 4096
-    query_rows: int = 2048
 
 
 def _distances(vectors: np.ndarray, nodes: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Squared distances of each target to its row of nodes, in single precision.
+    """Squared distances of each target to its row of nodes.
 
-    By differences and not by norms, which cancel where vectors are close.
+    By differences and not by norms, which cancel where vectors are close, and in
+    double precision, so that a few vectors far from the rest spoil nothing.
     """
     apart = vectors[nodes]
     apart -= targets[:, None, :]
@@ -54,11 +58,12 @@ def beam_search(
     """For each target the ``beam`` nearest nodes met, nearest first, and distances.
 
     All targets take a step at a time: the nearest node not yet expanded gives
-    its neighbours; the best of old and new remain. ``neighbours`` ends with -1.
+    its neighbours; the best of old and new remain. Rows of ``neighbours`` hold a
+    node once at most, and -1 for none.
     """
     count, rows = len(vectors), len(targets)
     nodes = np.full((rows, beam), -1, dtype=np.int32)
-    far = np.full((rows, beam), np.inf, dtype=np.float32)
+    far = np.full((rows, beam), np.inf)
     done = np.zeros((rows, beam), dtype=bool)
     seen = np.zeros((rows, count), dtype=bool)
     nodes[:, 0] = entry
@@ -77,8 +82,9 @@ def beam_search(
         valid = near >= 0
         safe = np.where(valid, near, 0)
         valid &= ~seen[live[:, None], safe]
-        seen[live[:, None], safe] |= valid
-        distance = np.where(valid, _distances(vectors, safe, targets[live]), np.inf).astype(np.float32)
+        row, place = np.nonzero(valid)
+        seen[live[row], near[row, place]] = True  # the valid ones alone: safe also names node 0
+        distance = np.where(valid, _distances(vectors, safe, targets[live]), np.inf)
         all_nodes = np.concatenate((nodes[live], np.where(valid, near, -1)), axis=1)
         all_far = np.concatenate((far[live], distance), axis=1)
         all_done = np.concatenate((done[live], np.zeros_like(valid)), axis=1)
@@ -131,6 +137,7 @@ def build_graph(vectors: np.ndarray, settings: Settings, block: int = 512, seed:
     random = np.random.default_rng(seed)
     neighbours = random.integers(0, count, (count, degree)).astype(np.int32)
     neighbours[neighbours == np.arange(count)[:, None]] = -1
+    neighbours = _once(neighbours)
     for alpha in (1.0, settings.alpha):
         order = random.permutation(count)
         for at in range(0, count, block):
@@ -179,7 +186,18 @@ def _within_reach(neighbours: np.ndarray, entry: int, least: int = 3, ways: int
     return neighbours
 
 
+def _once(neighbours: np.ndarray) -> np.ndarray:
+    """Rows that name a node once."""
+    neighbours = -np.sort(-neighbours, axis=1)
+    neighbours[:, 1:][neighbours[:, 1:] == neighbours[:, :-1]] = -1
+    return neighbours
+
+
 def _with_edges(neighbours: np.ndarray, sources: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """The graph with edges that it does not have yet; none leads from a node to itself."""
+    fresh = (neighbours[sources] != targets[:, None]).all(axis=1) & (sources != targets)
+    edges = np.unique(np.stack((sources[fresh], targets[fresh])), axis=1)
+    sources, targets = edges
     if not len(sources):
         return neighbours
     order = np.argsort(sources, kind="stable")
@@ -218,35 +236,39 @@ def _give_back(vectors: np.ndarray, neighbours: np.ndarray, points: np.ndarray,
 
 
 def usable(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, vector, dims) of vectors that take part.
+    """(row, vec_id, vector, dims) of vectors that take part.
 
     Null, empty and zero vectors, and those with a null or non-finite component,
-    do not; nor do rows with a null id. Other columns are left behind.
+    do not. ``row`` tells rows apart: it is the vec_id where that is unique. Other
+    columns are left behind.
     """
     doubles = F.col(vector).cast("array<double>")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
+    own = (
         rows.select(F.col(key).cast("long").alias("vec_id"), doubles.alias("vector"))
-        .filter("vec_id IS NOT NULL AND size(vector) > 0")
+        .filter("size(vector) > 0")
         .filter(finite & F.exists("vector", lambda x: x != 0))
         .withColumn("dims", F.size("vector"))
     )
+    known, name = row_keys(own, "vec_id")
+    return known.select(F.col(name).alias("row"), "vec_id", "vector", "dims")
 
 
 def build_index(rows: DataFrame, settings: Settings = Settings(), copies: int = 11) -> DataFrame:
     """The index of rows from ``usable``: one row per node, see INDEX.
 
     Vectors of each number of dimensions have shards of their own. All rows are
-    indexed; a node lists the ``copies`` smallest ids of its equal vectors.
+    indexed; a node lists the ``copies`` smallest ids of its equal vectors, null
+    last, and their rows.
     """
     sizes = rows.groupBy("dims").agg(F.count(F.lit(1)).alias("n"))
     shards = F.ceil(F.col("n") / settings.shard_rows)
     dealt = rows.join(F.broadcast(sizes), "dims").select(
-        F.pmod(F.xxhash64("vec_id"), shards).alias("shard"), "dims", "vec_id", "vector"
+        F.pmod(F.xxhash64("row"), shards).alias("shard"), "dims", "row", "vec_id", "vector"
     )
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("vec_id", kind="stable")
+        part = part.sort_values(["vec_id", "row"], kind="stable", na_position="last")
         exact = np.stack(part["vector"].to_numpy())
         exact += 0.0  # one zero
         _, first, same = np.unique(exact, axis=0, return_index=True, return_inverse=True)
@@ -254,10 +276,13 @@ def build_index(rows: DataFrame, settings: Settings = Settings(), copies: int =
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         same, first = place[same.ravel()], first[order]
-        ids: list[list[int]] = [[] for _ in first]
-        for node, vec_id in zip(same.tolist(), part["vec_id"].tolist(), strict=True):
+        ids: list[list[int | None]] = [[] for _ in first]
+        rows_: list[list[int]] = [[] for _ in first]
+        known = part["vec_id"].astype("object").where(part["vec_id"].notna(), None).tolist()
+        for node, vec_id, row in zip(same.tolist(), known, part["row"].tolist(), strict=True):
             if len(ids[node]) < copies:
-                ids[node].append(vec_id)
+                ids[node].append(None if vec_id is None else int(vec_id))
+                rows_[node].append(row)
         vectors = exact[first]
         neighbours, entry = build_graph(_scaled(vectors), settings)
         return pd.DataFrame(
@@ -265,8 +290,8 @@ def build_index(rows: DataFrame, settings: Settings = Settings(), copies: int =
                 "shard": part["shard"].iloc[0],
                 "dims": part["dims"].iloc[0],
                 "node": np.arange(len(first)),
-                "vec_id": [own[0] for own in ids],
-                "copies": ids,
+                "ids": ids,
+                "rows": rows_,
                 "entry": np.arange(len(first)) == entry,
                 "vector": list(vectors),
                 "neighbours": [own[own >= 0] for own in neighbours],
@@ -277,76 +302,105 @@ def build_index(rows: DataFrame, settings: Settings = Settings(), copies: int =
 
 
 def _scaled(vectors: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
-    """In single precision around a mean length of 1, so that no square overflows."""
-    scale = np.abs(vectors if by is None else by).max()
-    return (vectors / scale).astype(np.float32)
+    """Around a usual length of 1, so that squares neither overflow nor vanish."""
+    return vectors / np.median(np.abs(vectors if by is None else by).max(axis=1))
+
+
+class _Shard:
+    """One shard, held while the queries that are dealt to it stream past."""
+
+    def __init__(self, rows: list[dict], settings: Settings, most: int) -> None:
+        rows = sorted(rows, key=lambda row: row["node"])
+        self.most, self.ids, self.rows = most, [r["ids"] for r in rows], [r["rows"] for r in rows]
+        self.exact = np.array([r["vector"] for r in rows])
+        # Null ids stand last among equals.
+        self.order = np.array([float("inf") if own[0] is None else own[0] for own in self.ids])
+        self.beam = max(settings.search_beam, most + 1)
+        self.entry = next(k for k, r in enumerate(rows) if r["entry"])
+        widest = max(1, *(len(r["neighbours"]) for r in rows))
+        self.neighbours = np.full((len(rows), widest), -1, dtype=np.int32)
+        for k, r in enumerate(rows):
+            self.neighbours[k, : len(r["neighbours"])] = r["neighbours"]
+        self.scaled = _scaled(self.exact)
+
+    def met(self, queries: np.ndarray) -> np.ndarray:
+        """The nodes that each query meets, -1 for none; all of them where a beam holds them."""
+        if len(self.exact) <= self.beam:
+            return np.tile(np.arange(len(self.exact)), (len(queries), 1))
+        return beam_search(self.scaled, self.neighbours, self.entry, _scaled(queries, self.exact), self.beam)[0]
+
+    def found(self, queries: list[tuple[int, int | None, list[float]]]) -> Iterator[tuple]:
+        """Rows of FOUND for some queries (row, id, vector)."""
+        wanted = np.array([vector for *_, vector in queries])
+        for (query_row, query_id, _), query, nodes in zip(queries, wanted, self.met(wanted), strict=True):
+            nodes = nodes[nodes >= 0]
+            with np.errstate(over="ignore"):
+                scores = np.sqrt(((self.exact[nodes] - query) ** 2).sum(axis=1))
+            own = [
+                (query_row, query_id, row, vec_id, float(scores[k]))
+                for k in np.lexsort((self.order[nodes], scores))[: self.most + 1].tolist()
+                for vec_id, row in zip(self.ids[nodes[k]], self.rows[nodes[k]], strict=True)
+                if row != query_row
+            ]
+            own.sort(key=lambda x: (x[4], x[3] is None, x[3] or 0, x[2]))
+            yield from own[: self.most]
 
 
 def search(index: DataFrame, queries: DataFrame, most: int = 10, settings: Settings = Settings()) -> DataFrame:
     """query_id, rank, vec_id, score: the ``most`` nearest found of each query.
 
     ``queries`` are rows from ``usable``. Every shard of a query's number of
-    dimensions is searched; a query's own id is no result. The score is the
+    dimensions is searched; a query's own row is no result. The score is the
     Euclidean distance of the original vectors in double precision; ties go to
-    the smaller vec_id. Queries meet a shard in blocks, so no task holds them all.
+    the smaller vec_id, null being the largest. A task holds one shard, and the
+    queries stream past it.
     """
-    counts = queries.groupBy("dims").agg(F.count(F.lit(1)).alias("n"))
-    blocks = queries.join(F.broadcast(counts), "dims").select(
-        "dims",
-        F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / settings.query_rows)).alias("block"),
-        F.col("vec_id").alias("query_id"),
-        F.col("vector").alias("query"),
-    )
     shards = index.select("dims", "shard").distinct()
-    asked = blocks.join(shards, "dims")
-    held = index.join(blocks.select("dims", "block").distinct(), "dims")
-
-    def run(nodes: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(nodes) or not len(own):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        nodes = nodes.sort_values("node")
-        exact, wanted = np.stack(nodes["vector"].to_numpy()), np.stack(own["query"].to_numpy())
-        lists = nodes["neighbours"].tolist()
-        neighbours = np.full((len(nodes), max(1, max(map(len, lists)))), -1, dtype=np.int32)
-        for row, own_neighbours in enumerate(lists):
-            neighbours[row, : len(own_neighbours)] = own_neighbours
-        entry = int(np.flatnonzero(nodes["entry"].to_numpy())[0])
-        beam = min(max(settings.search_beam, most + 1), len(nodes))
-        out = []
-        for at in range(0, len(wanted), 256):
-            part = wanted[at : at + 256]
-            met, _ = beam_search(_scaled(exact), neighbours, entry, _scaled(part, exact), beam)
-            for query_id, query, row in zip(own["query_id"].iloc[at : at + 256], part, met, strict=True):
-                row = row[row >= 0]
-                scores = np.sqrt(((exact[row] - query) ** 2).sum(axis=1))
-                best = np.lexsort((nodes["vec_id"].to_numpy()[row], scores))
-                found = [
-                    (query_id, vec_id, scores[k])
-                    for k in best[: most + 1].tolist()
-                    for vec_id in nodes["copies"].iloc[int(row[k])]
-                    if vec_id != query_id
-                ]
-                found.sort(key=lambda x: (x[2], x[1]))
-                out.extend(found[:most])
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    keys = ("dims", "shard", "block")
-    # Both sides come from one index; fresh names keep their columns apart.
-    held, asked = (x.select(*(F.col(c).alias(c) for c in x.columns)) for x in (held, asked))
-    met = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, FOUND)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    # Both sides of a shard as rows of one kind, nodes first.
+    nodes = index.select("dims", "shard", F.lit(0).alias("kind"), "node", "ids", "rows", "entry", "vector", "neighbours")
+    asked = queries.join(shards, "dims").select(
+        "dims", "shard", F.lit(1).alias("kind"), F.lit(-1).alias("node"), F.array("vec_id").alias("ids"),
+        F.array("row").alias("rows"), F.lit(False).alias("entry"), "vector", F.array().cast("array<int>").alias("neighbours"),
+    )
+    schema = batches(FOUND)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, shard = None, [], None
+        for batch in stream:
+            for at in range(0, batch.num_rows, 256):
+                waiting: list[tuple] = []
+                out: list[tuple] = []
+                for row in batch.slice(at, 256).to_pylist():
+                    if (row["dims"], row["shard"]) != key:
+                        if waiting:
+                            out.extend(shard.found(waiting))
+                            waiting = []
+                        key, held, shard = (row["dims"], row["shard"]), [], None
+                    if not row["kind"]:
+                        held.append(row)
+                        continue
+                    if shard is None:
+                        shard, held = _Shard(held, settings, most), []
+                    waiting.append((row["rows"][0], row["ids"][0], row["vector"]))
+                if waiting:
+                    out.extend(shard.found(waiting))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    dealt = nodes.unionByName(asked).repartition("dims", "shard").sortWithinPartitions("dims", "shard", "kind")
+    met = dealt.mapInArrow(run, FOUND)
+    order = Window.partitionBy("query_row").orderBy("score", F.col("vec_id").asc_nulls_last(), "row")
     ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def nearest(rows: DataFrame, every: int = 100, most: int = 10, settings: Settings = Settings()) -> DataFrame:
-    """The nearest of every row whose vec_id is divisible by ``every``, among all others.
+    """The nearest of every row whose vec_id is divisible by ``every``, among all other rows.
 
     An empty table gives an empty result; a query with fewer candidates gets
-    them all. Rows that repeat a vec_id are candidates of their own, and none of
-    them is a result of its own id.
+    them all. Rows that share a vec_id are queries and candidates of their own,
+    as are, among the candidates, rows without one; their vec_id is null.
     """
-    own = usable(rows)
+    own = written(usable(rows), "vectors")
     index = written(build_index(own, settings, most + 1), "graph")
-    queries = own.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    return search(index, queries, most, settings)
+    return search(index, own.filter(F.col("vec_id") % every == 0), most, settings)
