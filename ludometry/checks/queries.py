@@ -21,7 +21,6 @@ from ludometry.checks.fixtures import (
     top_level_map_lines,
 )
 from ludometry.operators import enrich, matches, profile, quality, sessions, stats
-from ludometry.operators.increment import upsert
 from ludometry.operators.mart import player_stats
 from ludometry.operators.normalize import with_event_time
 from ludometry.plans import bronze, flat, gold, silver
@@ -31,13 +30,10 @@ from ludometry.schemas import (
     BRONZE_EVENT,
     BRONZE_MAP,
     CORRUPT,
-    MATCH,
-    MATCH_KEY,
     SILVER_EVENT,
     SILVER_MAP,
 )
 from ludometry.session import scratch_path
-from ludometry.sinks.tables import append
 from ludometry.sources.jsonlines import read_events, read_lines
 from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
 from ludometry.streaming.ingest import ingest_new_files
@@ -357,10 +353,10 @@ def matches_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     Matches of the other maps stay as they were stored.
     """
     events = game_events(spark, sf_dir)
-    stored = scratch_path(spark, "stored")
-    append(matches.matches(_first_delivery(events)), stored)
+    table = scratch_path(spark, "matches")
+    gold.update_matches(_first_delivery(events), table)
     one_map = matches.matches(events).filter(F.col("map_id") == "3")
-    return upsert(spark.read.schema(MATCH).parquet(stored), one_map, MATCH_KEY)
+    return gold.merge_matches(one_map, table)
 
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:

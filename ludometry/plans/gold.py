@@ -18,10 +18,18 @@ from ludometry.operators.stats import (
 )
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
-from ludometry.session import scratch_path
-from ludometry.sinks.tables import overwrite
-from ludometry.sinks.versions import extend, prune, publish, read_current
-from ludometry.sources.tables import discard, read_or_empty, stage_events, stage_maps
+from ludometry.sinks.tables import landed, overwrite
+from ludometry.sinks.versions import (
+    bucket_count,
+    bucket_name,
+    change_count,
+    extend,
+    prune,
+    publish,
+    read_current,
+    replace_buckets,
+)
+from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
 
 
 def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -43,39 +51,72 @@ def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS)
     return matches(history, hot_rows).filter(F.col("finish_timestamp") > last)
 
 
+# Changes of a match table after which a watermark update writes it anew as one version.
+MOST_CHANGES = 64
+
+
 def update_matches(
-    events: DataFrame, path: str, mode: str = "full", hot_rows: int = HOT_ROWS
+    events: DataFrame, path: str, mode: str = "full", hot_rows: int = HOT_ROWS, buckets: int | None = None
 ) -> DataFrame:
     """Bring the match table up to date and return it.
 
     ``full`` rebuilds it. ``watermark`` adds what finished after the last
     stored match and replaces rows of equal key; a finish that comes late, at
     or before the watermark, is not added until the next full rebuild.
+
+    The table lies in buckets of its players, by default as many as the session
+    has shuffle partitions when it is rebuilt.
     """
     if mode not in ("full", "watermark"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = events.sparkSession
     stored = read_current(spark, path, MATCH)
     if mode == "full" or stored is None:
-        publish(matches(events, hot_rows), path)
+        _publish_matches(matches(events, hot_rows), path, buckets)
     else:
         _merge(match_delta(events, stored, hot_rows), stored, path)
     return read_current(spark, path, MATCH)
 
 
+def merge_matches(delta: DataFrame, path: str) -> DataFrame:
+    """Add matches to a stored table, replacing rows of equal key, and return it."""
+    spark = delta.sparkSession
+    _merge(delta, read_current(spark, path, MATCH), path)
+    return read_current(spark, path, MATCH)
+
+
+def _publish_matches(rows: DataFrame, path: str, buckets: int | None = None) -> None:
+    spark = rows.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    publish(rows, path, by="user_id", count=count)
+    prune(spark, path)
+
+
 def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
+    """Add a delta to the match table, replacing rows of equal key.
+
+    Only the buckets that the delta lies in are looked into. Of those the ones
+    with rows to replace are written anew, and the rest of the delta is added beside them.
+    """
     spark = delta.sparkSession
-    landing = scratch_path(spark, "match-delta")
-    try:
-        delta.write.parquet(landing)
-        landed = spark.read.schema(MATCH).parquet(landing)
-        if stored.join(landed, MATCH_KEY, "left_semi").isEmpty():
-            extend(landed, path)
+    with landed(delta, "match-delta") as rows:
+        count = bucket_count(spark, path)
+        if count is None:  # an empty table, or one of an older layout
+            _publish_matches(upsert(stored, rows, MATCH_KEY), path)
+            return
+        bucket = bucket_name("user_id", count)
+        touched = [row.bucket for row in rows.select(bucket.alias("bucket")).distinct().collect()]  # buckets, not data
+        near = read_current(spark, path, MATCH, touched)
+        hit = near.join(rows.select(*MATCH_KEY), MATCH_KEY, "left_semi")
+        collided = [row.bucket for row in hit.select(bucket.alias("bucket")).distinct().collect()]
+        if not collided:
+            extend(rows, path, by="user_id")
         else:
-            publish(upsert(stored, landed, MATCH_KEY), path)
-            prune(spark, path)
-    finally:
-        discard(spark, landing)
+            again = bucket.isin(collided)
+            old = read_current(spark, path, MATCH, collided)
+            replace_buckets(upsert(old, rows.filter(again), MATCH_KEY), rows.filter(~again), path, by="user_id")
+    if change_count(spark, path) >= MOST_CHANGES:
+        _publish_matches(read_current(spark, path, MATCH), path, count)
 
 
 def run_gold(
