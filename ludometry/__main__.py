@@ -15,7 +15,7 @@ from ludometry.plans import bronze, gold, silver
 from ludometry.plans.lake import Lake
 from ludometry.schemas import SILVER_EVENT, SILVER_MAP
 from ludometry.session import build_session
-from ludometry.sources.tables import read_or_empty
+from ludometry.sources.tables import read_or_empty, stored_path
 from ludometry.streaming.ingest import ingest_new_files
 from ludometry.streaming.refine import run_silver_of_new_files
 
@@ -74,7 +74,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     if "gold" in options.jobs:
         gold.run_gold(spark, lake, options.matches).show(truncate=False)
     if "checks" in options.jobs:
-        checks = mart_checks(spark.read.parquet(lake.player_stats)).collect()
+        checks = mart_checks(spark.read.parquet(stored_path(spark, lake.player_stats))).collect()
         for check in checks:
             print(check.check_name, "passed" if check.passed else f"FAILED: {check.violations} rows")
         passed = all(check.passed for check in checks)

@@ -16,7 +16,7 @@ def country_status() -> Column:
 
 
 def mart_columns(joined: DataFrame) -> DataFrame:
-    """Final columns, rounding and order of the mart."""
+    """Final columns and rounding of the mart."""
     return joined.select(
         "user_id",
         "username",
@@ -28,19 +28,29 @@ def mart_columns(joined: DataFrame) -> DataFrame:
         round_half(F.col("avg_matches_per_session"), 2).alias("avg_matches_per_session"),
         "registration_date",
         country_status().alias("data_quality_status"),
-    ).orderBy(F.desc_nulls_last("total_playtime"))
+    )
 
 
-def mart_player_stats(
-    registered: DataFrame, totals: DataFrame, favorites: DataFrame
-) -> DataFrame:
-    """Registered players, with statistics where they completed a match."""
+def most_played_first(mart: DataFrame) -> DataFrame:
+    """The order of the mart. A table keeps none, so it is asked for where the mart is read."""
+    return mart.orderBy(F.desc_nulls_last("total_playtime"))
+
+
+def mart_rows(registered: DataFrame, totals: DataFrame, favorites: DataFrame) -> DataFrame:
+    """Registered players in no order, with statistics where they completed a match."""
     return mart_columns(
         registered.join(totals, "user_id", "left").join(favorites, "user_id", "left")
     )
 
 
+def mart_player_stats(
+    registered: DataFrame, totals: DataFrame, favorites: DataFrame
+) -> DataFrame:
+    """The same in the order of the mart."""
+    return most_played_first(mart_rows(registered, totals, favorites))
+
+
 def player_stats(events: DataFrame, maps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The mart straight from staged events, with the matches computed once."""
     rollup = player_rollup(matches(events, hot_rows), maps)
-    return mart_columns(registrations(events).join(rollup, "user_id", "left"))
+    return most_played_first(mart_columns(registrations(events).join(rollup, "user_id", "left")))

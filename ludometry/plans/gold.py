@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludometry.operators.increment import BROADCAST_KEYS, fits, upsert, watermark
-from ludometry.operators.mart import mart_player_stats
+from ludometry.operators.mart import mart_rows, most_played_first
 from ludometry.operators.matches import matches
 from ludometry.operators.running import HOT_ROWS
 from ludometry.operators.sessions import MATCH_FINISH
@@ -130,6 +130,5 @@ def run_gold(
     overwrite(user_totals(played), lake.user_totals)
     favorites = favorite_maps(spark.read.parquet(lake.user_map_stats), maps)
     totals = spark.read.parquet(lake.user_totals)
-    overwrite(mart_player_stats(registrations(events), totals, favorites), lake.player_stats)
-    # The mart is written in its order; a read has to ask for it again.
-    return spark.read.parquet(lake.player_stats).orderBy(F.desc_nulls_last("total_playtime"))
+    overwrite(mart_rows(registrations(events), totals, favorites), lake.player_stats)
+    return most_played_first(spark.read.parquet(lake.player_stats))

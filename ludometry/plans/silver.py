@@ -38,7 +38,7 @@ from ludometry.schemas import (
 from ludometry.session import ensure_checkpoints
 from ludometry.sinks.keys import add_keys, changing, known_among, outdate, stored_keys
 from ludometry.sinks.tables import append_partitioned, landed, overwrite, overwrite_partitions
-from ludometry.sources.tables import read_or_empty, read_table
+from ludometry.sources.tables import read_or_empty, read_table, settle
 
 # Most days that are worth listing in a filter; more are read as all days.
 MOST_DAYS = 5_000
@@ -275,6 +275,7 @@ def write_enriched(spark: SparkSession, lake: Lake, dates: Sequence | None = Non
 
 def read_enriched(spark: SparkSession, lake: Lake) -> DataFrame:
     """The enriched events in their declared column order."""
+    settle(spark, lake.enriched_events)
     return spark.read.parquet(lake.enriched_events).select(
         "map_id", *[name for name in SILVER_EVENT.fieldNames() if name != "map_id"], "map_name"
     )

@@ -14,7 +14,7 @@ from ludometry.plans.lake import Lake
 from ludometry.plans.silver import read_enriched
 from ludometry.schemas import BRONZE_EVENT, BRONZE_MAP, MATCH, SILVER_EVENT, SILVER_MAP
 from ludometry.sinks.versions import read_current
-from ludometry.sources.tables import folder_names, read_or_empty, stage_events, stage_maps
+from ludometry.sources.tables import read_or_empty, stage_events, stage_maps, stored_path
 
 
 def lake_tables(
@@ -45,14 +45,14 @@ def lake_tables(
     matches = read_current(spark, lake.matches, MATCH)
     if matches is not None:
         tables["int_matches"] = lambda: matches
-    if folder_names(spark, lake.enriched_events) is not None:
+    if stored_path(spark, lake.enriched_events) is not None:
         tables["events_enriched"] = lambda: read_enriched(spark, lake)
     for name, path in {
         "int_user_map_stats": lake.user_map_stats,
         "int_user_totals": lake.user_totals,
         "mart_player_stats": lake.player_stats,
     }.items():
-        if folder_names(spark, path) is not None:
+        if stored_path(spark, path) is not None:
             tables[name] = partial(spark.read.parquet, path)
     return tables
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ludometry.session import scratch_path
-from ludometry.sources.tables import discard
+from ludometry.sources.tables import NEXT, discard, settle, swap_in
 
 
 def append_partitioned(rows: DataFrame, path: str, by: str) -> int:
@@ -37,22 +37,32 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def overwrite(rows: DataFrame, path: str) -> int:
-    """Replace the whole table; ``rows`` must not read from it."""
+    """Replace the whole table, which stays readable until the new one is whole.
+
+    ``rows`` may read from it. A query that is running on the old table loses its files.
+    """
+    spark = rows.sparkSession
+    settle(spark, path)
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
+    counted.write.mode("overwrite").parquet(path + NEXT)
+    swap_in(spark, path)
     return written.get["rows"]
 
 
 def overwrite_partitions(rows: DataFrame, path: str, by: str, only_present: bool = False) -> None:
-    """Replace a partitioned table, or only the partitions that ``rows`` holds."""
-    (
-        rows.hint("rebalance", F.col(by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_present else "static")
-        .partitionBy(by)
-        .parquet(path)
-    )
+    """Replace a partitioned table as ``overwrite`` does, or only the partitions that ``rows`` holds.
+
+    Those are replaced one by one at the end of the write.
+    """
+    spark = rows.sparkSession
+    settle(spark, path)
+    writer = rows.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by)
+    if only_present:
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        return
+    writer.option("partitionOverwriteMode", "static").parquet(path + NEXT)
+    swap_in(spark, path)
 
 
 @contextmanager

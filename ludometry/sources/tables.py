@@ -40,12 +40,51 @@ def file_count(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(folder).getFileCount()
 
 
+# A refreshed table is written beside its path and then renamed into it.
+NEXT, OLD = ".next", ".old"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish or undo a refresh that ended between its two renames."""
+    if folder_names(spark, path) is not None:
+        return
+    for beside in (NEXT, OLD):
+        if "_SUCCESS" in (folder_names(spark, path + beside) or []):
+            rename(spark, path + beside, path)
+            return
+
+
+def swap_in(spark: SparkSession, path: str) -> None:
+    """Put the complete table at ``path`` + NEXT in the place of the one at ``path``.
+
+    The old one is there until the new one is whole. Between the two renames there is
+    none; ``settle`` mends that, should the job end just there.
+    """
+    discard(spark, path + OLD)
+    if folder_names(spark, path) is not None:
+        rename(spark, path, path + OLD)
+    rename(spark, path + NEXT, path)
+    discard(spark, path + OLD)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    files, folder = _file_system(spark, path)
+    if not files.rename(folder, _file_system(spark, target)[1]):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
+def stored_path(spark: SparkSession, path: str) -> str | None:
+    """The path of a refreshed table, or None where there is none yet."""
+    settle(spark, path)
+    return None if folder_names(spark, path) is None else path
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The table with its declared schema, or None where it does not exist yet.
 
     Partition columns are part of the schema and need no inference.
     """
-    if folder_names(spark, path) is None:
+    if stored_path(spark, path) is None:
         return None
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
