@@ -48,6 +48,45 @@ def user_map_stats(matches: DataFrame) -> DataFrame:
     )
 
 
+# Sums that add up over any parts of the matches; a part that goes counts with sign -1.
+
+
+def map_sums(matches: DataFrame, sign: str = "1") -> DataFrame:
+    """user_id, map_id, map_matches, map_wins."""
+    weight = F.expr(sign)
+    return matches.groupBy("user_id", "map_id").agg(
+        F.sum(weight.cast("long")).alias("map_matches"), F.sum((weight * F.col("is_win")).cast("long")).alias("map_wins")
+    )
+
+
+def session_sums(matches: DataFrame, sign: str = "1") -> DataFrame:
+    """user_id, session_number, playtime, wins, matches: the fold that also tells sessions apart."""
+    weight = F.expr(sign)
+    return matches.groupBy("user_id", "session_number").agg(
+        F.sum(weight * F.col("duration")).alias("playtime"),
+        F.sum((weight * F.col("is_win")).cast("long")).alias("wins"),
+        F.sum(weight.cast("long")).alias("matches"),
+    )
+
+
+def added_up(parts: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    """The sums of parts, without keys of which no match is left."""
+    sums = [F.sum(name).alias(name) for name in parts.columns if name not in keys]
+    return parts.groupBy(*keys).agg(*sums).filter(F.col(count) > 0)
+
+
+def user_map_stats_of(sums: DataFrame) -> DataFrame:
+    """``user_map_stats`` from added ``map_sums``."""
+    return sums.withColumn("map_win_ratio", ratio(F.col("map_wins"), F.col("map_matches")))
+
+
+def user_totals_of(sums: DataFrame) -> DataFrame:
+    """``user_totals`` from added ``session_sums``."""
+    return _totals_from_sessions(
+        sums.withColumnsRenamed({"playtime": "_playtime", "wins": "_wins", "matches": "_matches"})
+    )
+
+
 def user_totals(matches: DataFrame) -> DataFrame:
     """Totals per player; sessions are counted exactly.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +13,8 @@ from ludometry.operators.mart import mart_rows, most_played_first
 from ludometry.operators.matches import matches
 from ludometry.operators.running import HOT_ROWS
 from ludometry.operators.sessions import MATCH_FINISH
-from ludometry.operators.stats import (
-    favorite_maps,
-    registrations,
-    user_map_stats,
-    user_totals,
-)
+from ludometry.operators.stats import favorite_maps, registrations
+from ludometry.plans import sums
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
 from ludometry.sinks.tables import landed, overwrite
@@ -56,7 +55,12 @@ MOST_CHANGES = 64
 
 
 def update_matches(
-    events: DataFrame, path: str, mode: str = "full", hot_rows: int = HOT_ROWS, buckets: int | None = None
+    events: DataFrame,
+    path: str,
+    mode: str = "full",
+    hot_rows: int = HOT_ROWS,
+    buckets: int | None = None,
+    changed: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Bring the match table up to date and return it.
 
@@ -65,7 +69,8 @@ def update_matches(
     or before the watermark, is not added until the next full rebuild.
 
     The table lies in buckets of its players, by default as many as the session
-    has shuffle partitions when it is rebuilt.
+    has shuffle partitions when it is rebuilt. An update, but no rebuild, tells
+    ``changed`` the matches that came (``sign`` 1) and those they replaced (-1).
     """
     if mode not in ("full", "watermark"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -74,7 +79,7 @@ def update_matches(
     if mode == "full" or stored is None:
         _publish_matches(matches(events, hot_rows), path, buckets)
     else:
-        _merge(match_delta(events, stored, hot_rows), stored, path)
+        _merge(match_delta(events, stored, hot_rows), stored, path, changed)
     return read_current(spark, path, MATCH)
 
 
@@ -92,29 +97,35 @@ def _publish_matches(rows: DataFrame, path: str, buckets: int | None = None) ->
     prune(spark, path)
 
 
-def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
+def _merge(
+    delta: DataFrame, stored: DataFrame, path: str, changed: Callable[[DataFrame], None] | None = None
+) -> None:
     """Add a delta to the match table, replacing rows of equal key.
 
     Only the buckets that the delta lies in are looked into. Of those the ones
     with rows to replace are written anew, and the rest of the delta is added beside them.
     """
     spark = delta.sparkSession
-    with landed(delta, "match-delta") as rows:
+    with ExitStack() as scratch:
+        rows = scratch.enter_context(landed(delta, "match-delta"))
         count = bucket_count(spark, path)
-        if count is None:  # an empty table, or one of an older layout
+        near, bucket = stored, None
+        if count:  # neither an empty table nor one of an older layout
+            bucket = bucket_name("user_id", count)
+            touched = [row.bucket for row in rows.select(bucket.alias("bucket")).distinct().collect()]  # buckets, not data
+            near = read_current(spark, path, MATCH, touched)
+        gone = scratch.enter_context(landed(near.join(rows.select(*MATCH_KEY), MATCH_KEY, "left_semi"), "match-gone"))
+        if count is None:
             _publish_matches(upsert(stored, rows, MATCH_KEY), path)
-            return
-        bucket = bucket_name("user_id", count)
-        touched = [row.bucket for row in rows.select(bucket.alias("bucket")).distinct().collect()]  # buckets, not data
-        near = read_current(spark, path, MATCH, touched)
-        hit = near.join(rows.select(*MATCH_KEY), MATCH_KEY, "left_semi")
-        collided = [row.bucket for row in hit.select(bucket.alias("bucket")).distinct().collect()]
-        if not collided:
+        elif gone.isEmpty():
             extend(rows, path, by="user_id")
         else:
+            collided = [row.bucket for row in gone.select(bucket.alias("bucket")).distinct().collect()]
             again = bucket.isin(collided)
             old = read_current(spark, path, MATCH, collided)
             replace_buckets(upsert(old, rows.filter(again), MATCH_KEY), rows.filter(~again), path, by="user_id")
+        if changed is not None:
+            changed(rows.withColumn("sign", F.lit(1)).unionByName(gone.withColumn("sign", F.lit(-1))))
     if change_count(spark, path) >= MOST_CHANGES:
         _publish_matches(read_current(spark, path, MATCH), path, count)
 
@@ -122,12 +133,23 @@ def _merge(delta: DataFrame, stored: DataFrame, path: str) -> None:
 def run_gold(
     spark: SparkSession, lake: Lake, mode: str = "full", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Write every statistics table and return the mart."""
+    """Write every statistics table and return the mart.
+
+    In ``watermark`` mode the statistics follow the update of the match table by
+    sums and do not read it, see ``plans.sums``.
+    """
     events = stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))
     maps = stage_maps(read_or_empty(spark, lake.silver_maps, SILVER_MAP))
-    played = update_matches(events, lake.matches, mode, hot_rows)
-    overwrite(user_map_stats(played), lake.user_map_stats)
-    overwrite(user_totals(played), lake.user_totals)
+    follow = mode == "watermark" and sums.are_current(spark, lake)
+    played = update_matches(
+        events, lake.matches, mode, hot_rows, changed=(lambda signed: sums.add(lake, signed)) if follow else None
+    )
+    if follow:
+        sums.note_state(spark, lake)
+    else:
+        sums.rebuild(spark, lake, played)
+    overwrite(sums.user_map_stats(spark, lake), lake.user_map_stats)
+    overwrite(sums.user_totals(spark, lake), lake.user_totals)
     favorites = favorite_maps(spark.read.parquet(lake.user_map_stats), maps)
     totals = spark.read.parquet(lake.user_totals)
     overwrite(mart_rows(registrations(events), totals, favorites), lake.player_stats)

@@ -72,6 +72,14 @@ class Lake:
     def matches(self) -> str:
         return self._table("gold/int_matches")
 
+    @property
+    def map_sums(self) -> str:
+        return self._table("gold/map_sums")
+
+    @property
+    def session_sums(self) -> str:
+        return self._table("gold/session_sums")
+
     @property
     def user_map_stats(self) -> str:
         return self._table("gold/int_user_map_stats")

@@ -89,3 +89,7 @@ MATCH = _schema(
     _fields(T.IntegerType(), "is_win"),
 )
 MATCH_KEY = ["user_id", "map_id", "opponent_id", "match_number"]
+
+# Sums of matches that statistics are made of.
+MAP_SUMS = _schema(_fields(STRING, "user_id map_id"), _fields(LONG, "map_matches map_wins"))
+SESSION_SUMS = _schema(_fields(STRING, "user_id"), _fields(LONG, "session_number playtime wins matches"))

@@ -154,6 +154,15 @@ def replace_buckets(whole: DataFrame, added: DataFrame, path: str, by: str) -> s
     return target
 
 
+def state(spark: SparkSession, path: str) -> str | None:
+    """A name for what the current table holds: its version and its last complete change."""
+    complete = _complete(spark, path)
+    if not complete:
+        return None
+    done = [n for n, name in _changes(spark, path, complete[-1]) if _is_complete(spark, f"{path}/{name}")]
+    return f"{complete[-1]}-{max(done, default=-1)}"
+
+
 def change_count(spark: SparkSession, path: str) -> int:
     """Changes that the current version has gathered."""
     return len(_changes(spark, path, _complete(spark, path)[-1]))
