@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from ludometry.session import scratch_path
 
-# Rows up to which a written table of a few numbers a row is broadcast: 16 MB or so.
-BROADCAST = 1_000_000
+# Rows up to which a written table of a few numbers a row is broadcast: 16 MB or so;
+# and characters that its texts may have.
+BROADCAST, CHARACTERS = 1_000_000, 16_000_000
 # Bytes of rows that Spark hands to Python at a time; texts are long, so its default
 # of rows would be many megabytes in every worker.
 BATCH, _BATCH = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -42,11 +43,13 @@ def written(rows: DataFrame, label: str) -> DataFrame:
 
 
 def few(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
-    """A written table of narrow rows whose number was checked, to be broadcast if small.
+    """A written table of narrow rows whose number and length were checked, to be broadcast if small.
 
-    Beyond ``most`` rows Spark chooses the join.
+    Beyond ``most`` rows or ``CHARACTERS`` characters Spark chooses the join.
     """
-    return F.broadcast(rows) if rows.count() <= most else rows
+    lengths = [F.coalesce(F.sum(F.length(f.name)), F.lit(0)) for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    found = rows.agg(F.count(F.lit(1)), *lengths).first()
+    return F.broadcast(rows) if found[0] <= most and sum(found[1:]) <= CHARACTERS else rows
 
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -66,23 +69,27 @@ def has_unique_keys(docs: DataFrame, key: str = "doc_id") -> bool:
     return counts.filter("key IS NULL OR n > 1").isEmpty()
 
 
+def fresh_name(docs: DataFrame, name: str = "_row") -> str:
+    """A name that no column has; Spark minds no case."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, key: str, *order: str) -> tuple[DataFrame, str]:
     """Rows with a column that tells them apart and sorts like the key.
 
     Where the key is unique it is that column itself. Otherwise the rows are
-    sorted by key (null first) and ``order``, numbered from 0 and written, so
-    that a lost executor cannot number them anew.
+    sorted by key (null first), ``order`` and where they lie, numbered in that
+    order, with gaps, and written, so that a lost executor cannot number them anew.
     """
     if has_unique_keys(docs, key):
         return docs, key
-    spark = docs.sparkSession
-    name = "_row"
-    while name in docs.columns:
-        name += "_"
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
-    pairs = docs.orderBy(key, *order).rdd.zipWithIndex()
-    rows = spark.createDataFrame(pairs.map(lambda pair: (*pair[0], pair[1])), schema)
-    return written(rows, "numbered"), name
+    name, place = fresh_name(docs), fresh_name(docs, "_place")
+    # Where a row lies also parts rows that are the same, however many.
+    sorted_ = docs.withColumn(place, F.monotonically_increasing_id()).orderBy(key, *order, place).drop(place)
+    return written(sorted_.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
 def row_keys(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
@@ -93,9 +100,7 @@ def row_keys(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
     """
     if has_unique_keys(docs.select(F.col(key).cast("long").alias(key)), key):
         return docs, key
-    name = "_row"
-    while name in docs.columns:
-        name += "_"
+    name = fresh_name(docs)
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 

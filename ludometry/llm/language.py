@@ -243,7 +243,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def confident(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The documents, all columns, with a language that has ``least`` of their letters.
 
-    Null texts, texts without a letter and even mixtures of many languages go.
+    Null texts, texts without a letter and even mixtures of many languages go. Rows
+    that share a doc_id, or have none, are judged each on its own; an empty table
+    gives an empty result.
     """
     schema = docs.schema
     share = docs.sparkSession.sparkContext.broadcast(model)

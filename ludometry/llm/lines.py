@@ -402,7 +402,11 @@ def cleaned(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def digests(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The same with ``kept_sha256``, the SHA-256 of the text that is left, for the text."""
+    """The same with ``kept_sha256``, the SHA-256 of the text that is left, for the text.
+
+    Null and empty texts have the digest of the empty text; repeated and null
+    doc_ids, other columns and empty tables are as in ``deduplicated``.
+    """
     schema = RESULT.replace("text string", "kept_sha256 string")
 
     def run(rows: DataFrame) -> DataFrame:

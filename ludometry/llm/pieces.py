@@ -588,7 +588,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropout(
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id and text of every row of (doc_id, pieces); null pieces give a null text."""
+    """doc_id and text of every row of (doc_id, pieces).
+
+    Null pieces give a null text, no pieces an empty one. Rows that share a doc_id, or
+    have none, each give a row; other columns are ignored, and an empty table gives
+    an empty result.
+    """
     share = rows.sparkSession.sparkContext.broadcast(vocabulary)
     schema = batches("doc_id long, text string")
 
@@ -611,6 +616,8 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, dropout: Dropout = Dropo
 
     doc_id, n_chars, n_pieces, pieces_sha256 (of little-endian 32-bit ids),
     decoded_sha256 (of the UTF-8 bytes) and lossless. A null text counts as empty.
+    Rows that share a doc_id, or have none, each give a row; other columns are
+    ignored, and an empty table gives an empty result.
     """
     def columns(part, encoder):
         values = [value or "" for value in part["text"].to_pylist()]

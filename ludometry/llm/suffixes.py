@@ -112,7 +112,8 @@ def buffer_anchors(buffer: tuple, length: int, gram: int, hot: np.ndarray) -> li
     first, anchor = valid[fresh], anchor[fresh]
     h = grams[anchor]
     place = anchor - first
-    segment = span_hashes(prefixes, first, windows + length - 1)
+    other = prefix_hashes(data, 1)  # a code of its own: the gram's lies inside the segment
+    segment = span_hashes(other, first, windows + length - 1)
     segment = mix(segment ^ (windows * 1_000_003 + place).astype(np.uint64))
     if len(hot):
         at = np.searchsorted(hot, h)
@@ -124,7 +125,7 @@ def buffer_anchors(buffer: tuple, length: int, gram: int, hot: np.ndarray) -> li
             first = np.repeat(first, times) + nth
             single = np.flatnonzero(is_hot)
             h[single] = mix(span_hashes(prefixes, first[single], length))
-            segment[single] = mix(span_hashes(prefix_hashes(data, 1), first[single], length))
+            segment[single] = mix(span_hashes(other, first[single], length))
             windows = np.where(is_hot, 1, windows)
             place = np.where(is_hot, 0, place)
     part = np.searchsorted(offsets, first, side="right") - 1
@@ -513,6 +514,7 @@ def kept_texts(docs: DataFrame, removed: DataFrame, least: int = 1) -> DataFrame
     """(doc_id, text, n_removed) of documents less the same ranges.
 
     A range may begin or end inside a character; what is left of it becomes U+FFFD.
+    Null texts become empty; ``docs`` has unique, non-null doc_ids, and no document no row.
     """
 
     def row(data: bytes, gone: int, spans: int, left: bytes) -> tuple:

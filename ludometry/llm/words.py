@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable
 
 import numpy as np
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# What ``re`` takes for word characters beside letters and decimal digits: other number signs.
+_SIGNS = "".join(sign for sign in map(chr, range(sys.maxunicode + 1)) if sign.isnumeric() and not sign.isalpha() and not sign.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 class Numbering(dict):
