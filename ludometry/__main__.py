@@ -9,12 +9,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from ludometry.operators.checks import MART_CHECKS, MATCH_CHECKS, violations
 from ludometry.operators.enrich import unknown_maps
-from ludometry.operators.quality import mart_checks
-from ludometry.plans import bronze, gold, silver
+from ludometry.plans import bronze, gold, ledger, silver
 from ludometry.plans.lake import Lake
-from ludometry.schemas import SILVER_EVENT, SILVER_MAP
+from ludometry.schemas import MATCH, SILVER_EVENT, SILVER_MAP
 from ludometry.session import build_session
+from ludometry.sinks.versions import read_current
 from ludometry.sources.tables import read_or_empty, stored_path
 from ludometry.streaming.ingest import ingest_new_files
 from ludometry.streaming.refine import run_silver_of_new_files
@@ -53,20 +54,26 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> bool:
-    """Run the chosen jobs in layer order; False if a check of the mart failed."""
+    """Run the chosen jobs in layer order; False if a check of the mart or the matches failed."""
     lake = Lake(options.root)
     passed = True
     if "bronze" in options.jobs:
         if options.inbox:
-            ingest_new_files(spark, options.inbox, lake, lake.bronze_progress)
-            print("bronze maps", bronze.refresh_maps(spark, options.maps or lake.raw_maps, lake))
+            counts = {
+                "new_events": ingest_new_files(spark, options.inbox, lake, lake.bronze_progress),
+                "maps": bronze.refresh_maps(spark, options.maps or lake.raw_maps, lake),
+            }
         else:
-            print("bronze", bronze.run_bronze(spark, lake, options.events, options.maps, options.dates))
+            counts = bronze.run_bronze(spark, lake, options.events, options.maps, options.dates)
+        print("bronze", counts)
+        ledger.record(spark, lake, "bronze", counts)
     if "silver" in options.jobs:
         if options.dates is None:
-            print("silver", run_silver_of_new_files(spark, lake))
+            counts = run_silver_of_new_files(spark, lake)
         else:
-            print("silver", silver.run_silver(spark, lake, options.dates))
+            counts = silver.run_silver(spark, lake, options.dates)
+        print("silver", counts)
+        ledger.record(spark, lake, "silver", counts)
         events = read_or_empty(spark, lake.silver_events, SILVER_EVENT)
         unknown_maps(events, read_or_empty(spark, lake.silver_maps, SILVER_MAP)).show(truncate=False)
     if "enrich" in options.jobs:
@@ -74,10 +81,14 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     if "gold" in options.jobs:
         gold.run_gold(spark, lake, options.matches).show(truncate=False)
     if "checks" in options.jobs:
-        checks = mart_checks(spark.read.parquet(stored_path(spark, lake.player_stats))).collect()
-        for check in checks:
-            print(check.check_name, "passed" if check.passed else f"FAILED: {check.violations} rows")
-        passed = all(check.passed for check in checks)
+        tables = [
+            (spark.read.parquet(stored_path(spark, lake.player_stats)), MART_CHECKS),
+            (read_current(spark, lake.matches, MATCH), MATCH_CHECKS),
+        ]
+        for rows, checks in tables:
+            for check in violations(rows, checks).collect():
+                print(check.check_name, "passed" if check.passed else f"FAILED: {check.violations} rows")
+                passed = passed and check.passed
     return passed
 
 

@@ -538,5 +538,61 @@ FROM counted""",
     "raw_field_profile": _with(_GAME, _BRONZE, _LINES, then=_FIELD_PROFILE),
     "raw_schema": _with(_GAME, _BRONZE, _LINES, then=_MERGED_SCHEMA),
 }
+ORACLES["quality_violations_damaged"] = _with(
+    _GAME,
+    _statistics(),
+    f"whole AS ({_MART})",
+    _DAMAGED,
+    """
+repeated AS (SELECT user_id FROM mart WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1),
+named AS (
+  SELECT user_id, username, registration_date, total_playtime, list_sort(list_filter([
+    CASE WHEN user_id IS NULL THEN 'user_id_not_null' END,
+    CASE WHEN user_id IN (SELECT user_id FROM repeated) THEN 'user_id_unique' END,
+    CASE WHEN username IS NULL THEN 'username_not_null' END,
+    CASE WHEN registration_date IS NULL THEN 'registration_date_not_null' END,
+    CASE WHEN fav_map_win_ratio NOT BETWEEN 0 AND 1 THEN 'fav_map_win_ratio_in_range' END,
+    CASE WHEN total_win_ratio NOT BETWEEN 0 AND 1 THEN 'total_win_ratio_in_range' END,
+    CASE WHEN total_playtime < 0 THEN 'total_playtime_not_negative' END], lambda x: x IS NOT NULL)) AS broken
+  FROM mart)""",
+    then="""
+SELECT user_id, username, registration_date, total_playtime, array_to_string(broken, ',') AS broken
+FROM named WHERE len(broken) > 0""",
+)
+ORACLES["quality_checks_matches"] = _with(
+    _GAME,
+    _matches(),
+    """
+played AS (
+  SELECT user_id, CASE WHEN duration % 5 <> 0 THEN map_id END AS map_id, opponent_id, match_number,
+         duration - 3600 AS duration, is_win + CASE WHEN opponent_id = '1' THEN 1 ELSE 0 END AS is_win,
+         CASE WHEN match_number > 1 THEN outcome * 2 END AS outcome
+  FROM (SELECT * FROM matches UNION ALL SELECT * FROM matches WHERE map_id = '2')),
+counted AS (
+  SELECT 'user_id_map_id_opponent_id_match_number_unique' AS check_name, count(*) AS violations FROM (
+    SELECT 1 FROM played WHERE user_id IS NOT NULL AND map_id IS NOT NULL AND opponent_id IS NOT NULL
+    GROUP BY user_id, map_id, opponent_id, match_number HAVING count(*) > 1)
+  UNION ALL SELECT 'user_id_not_null', count(*) FILTER (user_id IS NULL) FROM played
+  UNION ALL SELECT 'map_id_not_null', count(*) FILTER (map_id IS NULL) FROM played
+  UNION ALL SELECT 'opponent_id_not_null', count(*) FILTER (opponent_id IS NULL) FROM played
+  UNION ALL SELECT 'duration_not_negative', count(*) FILTER (duration < 0) FROM played
+  UNION ALL SELECT 'is_win_accepted', count(*) FILTER (is_win NOT IN (0, 1)) FROM played
+  UNION ALL SELECT 'outcome_in_range', count(*) FILTER (outcome NOT BETWEEN 0 AND 1) FROM played)""",
+    then="SELECT check_name, violations, CASE WHEN violations = 0 THEN 1 ELSE 0 END AS passed FROM counted",
+)
+ORACLES["layer_counts_noted"] = _with(
+    _GAME,
+    _BRONZE,
+    _SILVER,
+    _MAP_CHECK,
+    then="""
+SELECT 'bronze_events' AS layer, count(*) AS row_count FROM bronze
+UNION ALL SELECT 'bronze_maps', count(*) + sum(is_valid)::BIGINT FROM map_checked -- good lines come twice
+UNION ALL SELECT 'silver_events', count(*) FROM silver
+UNION ALL SELECT 'quarantined_events', count(*) FROM quarantine
+UNION ALL SELECT 'silver_maps', count(*) FROM map_checked WHERE is_valid = 1
+UNION ALL SELECT 'quarantined_maps', count(*) FROM map_checked WHERE is_valid = 0""",
+)
 # Other plans for the same rows.
 ORACLES["silver_incremental_by_id"] = ORACLES["silver_incremental"]
+ORACLES["matches_followed"] = ORACLES["matches_incremental"]

@@ -20,20 +20,22 @@ from ludometry.checks.fixtures import (
     profile_lines,
     top_level_map_lines,
 )
-from ludometry.operators import enrich, matches, profile, quality, sessions, stats
+from ludometry.operators import checks, enrich, matches, profile, quality, sessions, stats
 from ludometry.operators.mart import player_stats
 from ludometry.operators.normalize import with_event_time
-from ludometry.plans import bronze, flat, gold, silver
+from ludometry.plans import bronze, carried, flat, gold, ledger, silver
 from ludometry.plans.lake import Lake
 from ludometry.plans.views import register_views
 from ludometry.schemas import (
     BRONZE_EVENT,
     BRONZE_MAP,
     CORRUPT,
+    MATCH,
     SILVER_EVENT,
     SILVER_MAP,
 )
 from ludometry.session import scratch_path
+from ludometry.sinks.versions import read_current
 from ludometry.sources.jsonlines import read_events, read_lines
 from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
 from ludometry.streaming.ingest import ingest_new_files
@@ -339,6 +341,17 @@ def matches_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.update_matches(events, table, mode="watermark")
 
 
+def matches_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the events of the second delivery alone, on the counters carried from the first."""
+    events = game_events(spark, sf_dir)
+    lake = Lake(scratch_path(spark, "lake"))
+    first = _first_delivery(events)
+    carried.apply_batch(spark, lake, first, 0, lambda: first)
+    second = events.join(first.select("event_id"), "event_id", "left_anti").select(events.columns)
+    carried.apply_batch(spark, lake, second, 1, lambda: events)
+    return read_current(spark, lake.matches, MATCH)
+
+
 def matches_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The match table after a first delivery and a full rebuild."""
     events = game_events(spark, sf_dir)
@@ -459,6 +472,16 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def layer_counts_noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every layer as two deliveries' jobs noted them, no layer counted again."""
+    delivery = _Delivery.start(spark, sf_dir)
+    lake, maps = delivery.lake, delivery.deliver_maps()
+    for raw in (delivery.deliver("first", before=CUT), delivery.deliver()):
+        ledger.record(spark, lake, "bronze", bronze.run_bronze(spark, lake, raw, maps))
+        ledger.record(spark, lake, "silver", run_silver_of_new_files(spark, lake))
+    return ledger.layer_totals(spark, lake)
+
+
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, maps = game_events(spark, sf_dir), game_maps(spark, sf_dir)
     return quality.mart_checks(player_stats(events, maps)).withColumn(
@@ -466,12 +489,12 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quality_checks_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checks on a mart with null, repeated, out-of-range and negative rows."""
+def _damaged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart with null, repeated, out-of-range and negative rows."""
     mart = player_stats(game_events(spark, sf_dir), game_maps(spark, sf_dir))
     idle = F.col("total_playtime").isNull()
     countryless = F.col("country").isNull()
-    damaged = mart.unionByName(mart.filter(countryless)).withColumns(
+    return mart.unionByName(mart.filter(countryless)).withColumns(
         {
             "user_id": F.when(~idle | countryless, F.col("user_id")),
             "username": F.when(~idle | (F.col("country") > "NATION_2"), F.col("username")),
@@ -485,7 +508,38 @@ def quality_checks_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).otherwise(F.col("total_playtime")),
         }
     )
-    return quality.mart_checks(damaged).withColumn("passed", F.col("passed").cast("int"))
+
+
+def _shown(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("passed", F.col("passed").cast("int"))
+
+
+def quality_checks_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks on a damaged mart."""
+    return _shown(quality.mart_checks(_damaged_mart(spark, sf_dir)))
+
+
+def quality_violations_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a damaged mart that break a check, and which they break."""
+    found = checks.violating(_damaged_mart(spark, sf_dir), checks.MART_CHECKS)
+    return found.select(
+        "user_id", "username", F.col("registration_date").cast("string").alias("registration_date"),
+        "total_playtime", F.array_join("broken", ",").alias("broken"),
+    )
+
+
+def quality_checks_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of another table: matches with repeated keys, null maps, odd outcomes and negative durations."""
+    played = completed_matches(spark, sf_dir)
+    damaged = played.unionByName(played.filter("map_id = '2'")).withColumns(
+        {
+            "map_id": F.when(F.col("duration") % 5 != 0, F.col("map_id")),
+            "duration": F.col("duration") - 3_600,
+            "is_win": F.col("is_win") + F.when(F.col("opponent_id") == "1", 1).otherwise(0),
+            "outcome": F.when(F.col("match_number") > 1, F.col("outcome") * 2),
+        }
+    )
+    return _shown(checks.violations(damaged, checks.MATCH_CHECKS))
 
 
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -553,6 +607,7 @@ QUERIES: dict[str, Query] = {
     "matches": completed_matches,
     "matches_crowded": completed_matches_crowded,
     "matches_incremental": matches_incremental,
+    "matches_followed": matches_followed,
     "matches_rebuilt": matches_rebuilt,
     "matches_upsert": matches_upsert,
     "registrations": registrations,
@@ -570,8 +625,11 @@ QUERIES: dict[str, Query] = {
     "distinct_values": distinct_values,
     "first_events": first_events,
     "layer_counts": layer_counts,
+    "layer_counts_noted": layer_counts_noted,
     "quality_checks": quality_checks,
     "quality_checks_damaged": quality_checks_damaged,
+    "quality_violations_damaged": quality_violations_damaged,
+    "quality_checks_matches": quality_checks_matches,
     "raw_field_profile": raw_field_profile,
     "raw_schema": raw_schema,
 }

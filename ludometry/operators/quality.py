@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludometry.operators import checks
 from ludometry.schemas import CORRUPT
 
 Rule = tuple[str, Column]
@@ -87,52 +88,21 @@ def unresolved(rows: DataFrame, dimension: DataFrame, key: str, name: str) -> Da
 
 
 def null_violations(rows: DataFrame, column: str) -> DataFrame:
-    return rows.filter(F.col(column).isNull())
+    return rows.filter(checks.check(checks.NOT_NULL, column).broken())
 
 
 def duplicate_violations(rows: DataFrame, key: str) -> DataFrame:
-    return (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-    )
+    return checks.copies(rows, checks.check(checks.UNIQUE, key))
 
 
 def ratio_violations(rows: DataFrame, column: str) -> DataFrame:
-    return rows.filter((F.col(column) < 0) | (F.col(column) > 1))
+    return rows.filter(checks.check(checks.IN_RANGE, column, low=0, high=1).broken())
 
 
 def negative_violations(rows: DataFrame, column: str) -> DataFrame:
-    return rows.filter(F.col(column) < 0)
+    return rows.filter(checks.check(checks.NOT_NEGATIVE, column).broken())
 
 
 def mart_checks(mart: DataFrame) -> DataFrame:
-    """Number of violations of every mart check, as (check_name, violations, passed).
-
-    The row checks count in the fold that also finds repeated players, so the
-    mart is read once: per player first, then over players.
-    """
-    per_row = {
-        "user_id_not_null": F.col("user_id").isNull(),
-        "username_not_null": F.col("username").isNull(),
-        "registration_date_not_null": F.col("registration_date").isNull(),
-        "fav_map_win_ratio_in_range": (F.col("fav_map_win_ratio") < 0)
-        | (F.col("fav_map_win_ratio") > 1),
-        "total_win_ratio_in_range": (F.col("total_win_ratio") < 0)
-        | (F.col("total_win_ratio") > 1),
-        "total_playtime_not_negative": F.col("total_playtime") < 0,
-    }
-    folded = mart.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("_copies"),
-        *[F.count_if(broken).alias(name) for name, broken in per_row.items()],
-    )
-    repeated = F.col("user_id").isNotNull() & (F.col("_copies") > 1)
-    counts = folded.agg(
-        F.count_if(repeated).alias("user_id_unique"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in per_row],
-    )
-    return (
-        counts.unpivot([], counts.columns, "check_name", "violations")
-        .withColumn("passed", F.col("violations") == 0)
-    )
+    """Number of violations of every mart check, as (check_name, violations, passed)."""
+    return checks.violations(mart, checks.MART_CHECKS)

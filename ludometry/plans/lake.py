@@ -72,6 +72,14 @@ class Lake:
     def matches(self) -> str:
         return self._table("gold/int_matches")
 
+    @property
+    def carried(self) -> str:
+        return self._table("gold/carried")
+
+    @property
+    def gold_progress(self) -> str:
+        return self._table("gold/progress")
+
     @property
     def map_sums(self) -> str:
         return self._table("gold/map_sums")
@@ -91,3 +99,7 @@ class Lake:
     @property
     def player_stats(self) -> str:
         return self._table("gold/mart_player_stats")
+
+    @property
+    def ledger(self) -> str:
+        return self._table("ledger")

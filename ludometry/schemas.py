@@ -93,3 +93,16 @@ MATCH_KEY = ["user_id", "map_id", "opponent_id", "match_number"]
 # Sums of matches that statistics are made of.
 MAP_SUMS = _schema(_fields(STRING, "user_id map_id"), _fields(LONG, "map_matches map_wins"))
 SESSION_SUMS = _schema(_fields(STRING, "user_id"), _fields(LONG, "session_number playtime wins matches"))
+
+# One row for each layer that a run of a job wrote.
+LEDGER = _schema(
+    _fields(STRING, "run"), _fields(INSTANT, "run_at"), _fields(STRING, "job layer"), _fields(FLAG, "replaced"), _fields(LONG, "row_count")
+)
+
+# What a match update carries from one batch of events to the next, as rows that add up.
+CARRIED = _schema(
+    _fields(STRING, "user_id map_id opponent_id kind"),
+    _fields(LONG, "match_number session_number at"),
+    _fields(STRING, "event_id"),
+    _fields(LONG, "n"),
+)

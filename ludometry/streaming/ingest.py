@@ -21,8 +21,8 @@ def ingest_new_files(
     lake: Lake,
     progress: str,
     files_per_batch: int | None = None,
-) -> None:
-    """Process all files that arrived since the last call, then stop.
+) -> int:
+    """Process all files that arrived since the last call, then stop; returns the rows appended.
 
     ``progress`` is the query's checkpoint folder, one per raw folder.
     """
@@ -34,8 +34,10 @@ def ingest_new_files(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    added = [0]
+
     def add(batch: DataFrame, _: int) -> None:
-        append_new_events(batch.sparkSession, batch, lake)
+        added[0] += append_new_events(batch.sparkSession, batch, lake)
 
     query = (
         reader.json(raw_folder)
@@ -45,3 +47,4 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    return added[0]
