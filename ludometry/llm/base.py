@@ -17,7 +17,7 @@ from ludometry.session import scratch_path
 BROADCAST, CHARACTERS = 1_000_000, 16_000_000
 # Bytes of rows that Spark hands to Python at a time; texts are long, so its default
 # of rows would be many megabytes in every worker.
-BATCH, _BATCH = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -22,7 +22,7 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15
 SEGMENT = 256
 PLACES = 1 << 30
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 # First code points of blocks of scripts, and the script's number
 # (0: any other). Latin 1, Greek 2, Cyrillic 3, Armenian 4, Hebrew 5, Arabic 6,

@@ -30,7 +30,7 @@ SHINGLE, BANDS, ROWS, LEAST = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
 # Members of a bucket compared in one task.
 BLOCK = 2_000
-SLICE = 2 << 20
+SLICE = 1 << 20
 OCCURRENCE = "line_id long, check long, doc_id long, line int, bands array<long>"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -236,14 +236,15 @@ def _verify(least: float):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], schema=schema)
 
         for batch in stream:
-            sets = shingle_sets(batch["text"].to_pylist())
-            keys = batch["bands"].flatten().to_numpy().reshape(-1, BANDS)
-            rows = zip(*(batch[c].to_pylist() for c in ("band", "task", "column", "block", "line_id")), strict=True)
-            for k, (band, task, own, block, line_id) in enumerate(rows):
-                if (band, task) != key:
-                    yield from made()
-                    key, column, held = (band, task), own, []
-                held.append((line_id, block, keys[k], sets[k]))
+            for part in slices(batch, "text", SLICE):
+                sets = shingle_sets(part["text"].to_pylist())
+                keys = part["bands"].flatten().to_numpy().reshape(-1, BANDS)
+                rows = zip(*(part[c].to_pylist() for c in ("band", "task", "column", "block", "line_id")), strict=True)
+                for k, (band, task, own, block, line_id) in enumerate(rows):
+                    if (band, task) != key:
+                        yield from made()
+                        key, column, held = (band, task), own, []
+                    held.append((line_id, block, keys[k].copy(), sets[k].copy()))  # no slice is held by its rows
         yield from made()
 
     return run
