@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from ludometry.operators.checks import MART_CHECKS, MATCH_CHECKS, violations
 from ludometry.operators.enrich import unknown_maps
 from ludometry.plans import bronze, gold, ledger, silver
+from ludometry.plans.carried import run_gold_of_new_files
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, SILVER_EVENT, SILVER_MAP
 from ludometry.session import build_session
@@ -42,7 +43,12 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
         help="limit Bronze, Silver and enrichment to this day, or to rows without "
         "one ('undated'); may be repeated",
     )
-    parser.add_argument("--matches", choices=["full", "watermark"], default="full")
+    parser.add_argument(
+        "--matches",
+        choices=["full", "watermark", "new-files"],
+        default="full",
+        help="rebuild the matches, update them from all events, or from new files of Silver",
+    )
     parsed = parser.parse_args(arguments)
     parsed.jobs = parsed.jobs or JOBS
     if parsed.inbox and (parsed.events or parsed.dates):
@@ -79,7 +85,10 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     if "enrich" in options.jobs:
         silver.write_enriched(spark, lake, options.dates)
     if "gold" in options.jobs:
-        gold.run_gold(spark, lake, options.matches).show(truncate=False)
+        if options.matches == "new-files":
+            run_gold_of_new_files(spark, lake).show(truncate=False)
+        else:
+            gold.run_gold(spark, lake, options.matches).show(truncate=False)
     if "checks" in options.jobs:
         tables = [
             (spark.read.parquet(stored_path(spark, lake.player_stats)), MART_CHECKS),

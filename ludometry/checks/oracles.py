@@ -596,3 +596,4 @@ UNION ALL SELECT 'quarantined_maps', count(*) FROM map_checked WHERE is_valid =
 # Other plans for the same rows.
 ORACLES["silver_incremental_by_id"] = ORACLES["silver_incremental"]
 ORACLES["matches_followed"] = ORACLES["matches_incremental"]
+ORACLES["lake_player_stats_followed"] = ORACLES["lake_player_stats"]

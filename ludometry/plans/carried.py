@@ -27,7 +27,7 @@ from ludometry.operators.increment import watermark as largest
 from ludometry.operators.matches import GROUP, matches
 from ludometry.operators.running import HOT_ROWS, RunningTotal, per_key
 from ludometry.operators.sessions import EVENT_ORDER, MATCH_FINISH, MATCH_START, opens_session
-from ludometry.plans.gold import _merge, match_delta, update_matches
+from ludometry.plans.gold import _merge, match_delta, update_matches, write_statistics
 from ludometry.plans.lake import Lake
 from ludometry.schemas import CARRIED, MATCH, MATCH_KEY, SILVER_EVENT
 from ludometry.sinks.tables import landed
@@ -163,11 +163,13 @@ def apply_batch(
     number: int,
     history: Callable[[], DataFrame],
     hot_rows: int = HOT_ROWS,
+    changed: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Bring the match table up to date with a batch of staged events.
 
     ``number`` tells batches apart, and ``history()`` is all events, the batch
-    among them; it is called only where the batch alone does not do.
+    among them; it is called only where the batch alone does not do. ``changed``
+    is told of the matches that came and went, as by ``gold.update_matches``.
     """
     stored = read_current(spark, lake.matches, MATCH)
     noted = _note(spark, lake)
@@ -176,7 +178,7 @@ def apply_batch(
         return  # replayed, and done before
     if stored is None or noted is None or noted.rpartition(".")[0] != now:
         every = history()
-        update_matches(every, lake.matches, "full" if stored is None else "watermark", hot_rows)
+        update_matches(every, lake.matches, "full" if stored is None else "watermark", hot_rows, changed=changed)
         _publish(_since_the_beginning(every, hot_rows), lake)
         _write_note(spark, lake, number)
         return
@@ -189,27 +191,36 @@ def apply_batch(
             first = events.groupBy("user_id").agg(F.min(F.struct(F.col("timestamp").alias("at"), "event_id")).alias("_first"))
             late = first.join(latest, "user_id").filter("_first <= _latest").select(F.col("user_id").alias("key"))
             with landed(late, "late") as late_players:
-                _apply(spark, lake, events, before, late_players, stored, history, hot_rows)
+                delta, change = _apply(events, before, late_players, stored, history, hot_rows)
+                with landed(change, "carried-change") as counted:
+                    _merge(delta, stored, lake.matches, changed)
+                    extend(counted, lake.carried)
     if change_count(spark, lake.carried) >= MOST_CHANGES:
         _publish(added_up(read_current(spark, lake.carried, CARRIED)), lake)
     _write_note(spark, lake, number)
 
 
-def _apply(spark, lake, events, before, late, stored, history, hot_rows) -> None:
+def _apply(
+    events: DataFrame,
+    before: DataFrame,
+    late: DataFrame,
+    stored: DataFrame,
+    history: Callable[[], DataFrame],
+    hot_rows: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The matches that relevant events add, and the CARRIED rows; late players' ones from the history."""
     last = largest(stored, "finish_timestamp").first().watermark
     steady, known = without(events, late, "user_id"), without(before, late, "user_id")
     sides = _sides(steady, known, hot_rows)
     delta, change = _continued(sides, known, last), _change(steady, sides, known)
-    if not late.isEmpty():
-        names = late.select(F.col("key").alias("user_id"))
-        past = history().join(names, "user_id", "left_semi")
-        delta = delta.unionByName(match_delta(past, stored, hot_rows))
-        change = change.unionByName(_since_the_beginning(past, hot_rows)).unionByName(
-            _negative(before.join(names, "user_id", "left_semi"))
-        )
-    with landed(change, "carried-change") as counted:
-        _merge(delta, stored, lake.matches)
-        extend(counted, lake.carried)
+    if late.isEmpty():
+        return delta, change
+    names = late.select(F.col("key").alias("user_id"))
+    past = history().join(names, "user_id", "left_semi")
+    change = change.unionByName(_since_the_beginning(past, hot_rows)).unionByName(
+        _negative(before.join(names, "user_id", "left_semi"))
+    )
+    return delta.unionByName(match_delta(past, stored, hot_rows)), change
 
 
 def _since_the_beginning(events: DataFrame, hot_rows: int) -> DataFrame:
@@ -236,7 +247,11 @@ def _write_note(spark: SparkSession, lake: Lake, number: int) -> None:
 
 
 def follow_matches(
-    spark: SparkSession, lake: Lake, progress: str | None = None, hot_rows: int = HOT_ROWS
+    spark: SparkSession,
+    lake: Lake,
+    progress: str | None = None,
+    hot_rows: int = HOT_ROWS,
+    changed: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Update the match table from the files that Silver gained, and return it.
 
@@ -245,7 +260,7 @@ def follow_matches(
 
     def add(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession
-        apply_batch(own, lake, stage_events(batch), number, lambda: _all_events(own, lake), hot_rows)
+        apply_batch(own, lake, stage_events(batch), number, lambda: _all_events(own, lake), hot_rows, changed)
 
     if folder_names(spark, lake.silver_events) is not None:
         query = (
@@ -261,5 +276,10 @@ def follow_matches(
     return spark.createDataFrame([], MATCH) if found is None else found
 
 
+def run_gold_of_new_files(spark: SparkSession, lake: Lake, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As ``gold.run_gold``, from the files that Silver gained since the last call."""
+    return write_statistics(spark, lake, lambda changed: follow_matches(spark, lake, None, hot_rows, changed))
+
+
 def _all_events(spark: SparkSession, lake: Lake) -> DataFrame:
     return stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))

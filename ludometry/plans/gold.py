@@ -133,23 +133,40 @@ def _merge(
 def run_gold(
     spark: SparkSession, lake: Lake, mode: str = "full", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Write every statistics table and return the mart.
+    """Bring the match table up to date, write every statistics table and return the mart.
 
     In ``watermark`` mode the statistics follow the update of the match table by
     sums and do not read it, see ``plans.sums``.
     """
     events = stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))
-    maps = stage_maps(read_or_empty(spark, lake.silver_maps, SILVER_MAP))
-    follow = mode == "watermark" and sums.are_current(spark, lake)
-    played = update_matches(
-        events, lake.matches, mode, hot_rows, changed=(lambda signed: sums.add(lake, signed)) if follow else None
-    )
+
+    def update(changed: Callable[[DataFrame], None] | None) -> DataFrame:
+        return update_matches(events, lake.matches, mode, hot_rows, changed=changed)
+
+    return write_statistics(spark, lake, update, rebuilt=mode == "full")
+
+
+def write_statistics(
+    spark: SparkSession,
+    lake: Lake,
+    update: Callable[[Callable[[DataFrame], None] | None], DataFrame],
+    rebuilt: bool = False,
+) -> DataFrame:
+    """Write the statistics of the matches that ``update`` returns, and return the mart.
+
+    ``update`` takes what is to be told of changed matches, null if the sums are
+    made anew in any case.
+    """
+    follow = not rebuilt and sums.are_current(spark, lake)
+    played = update((lambda signed: sums.add(lake, signed)) if follow else None)
     if follow:
         sums.note_state(spark, lake)
     else:
         sums.rebuild(spark, lake, played)
     overwrite(sums.user_map_stats(spark, lake), lake.user_map_stats)
     overwrite(sums.user_totals(spark, lake), lake.user_totals)
+    events = stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))
+    maps = stage_maps(read_or_empty(spark, lake.silver_maps, SILVER_MAP))
     favorites = favorite_maps(spark.read.parquet(lake.user_map_stats), maps)
     totals = spark.read.parquet(lake.user_totals)
     overwrite(mart_rows(registrations(events), totals, favorites), lake.player_stats)

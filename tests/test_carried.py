@@ -135,3 +135,20 @@ def test_new_silver_files_are_followed(spark, tmp_path):
     deliver("b", raw_line("3", 30, "match_start", **place), raw_line("4", 40, "match_finish", outcome=0, **place))
     found = carried.follow_matches(spark, lake)
     assert as_set(found, "match_number", "finish_timestamp", "is_win") == {(1, 20, 1), (2, 40, 0)}
+
+
+def test_the_mart_follows_new_files(spark, tmp_path):
+    """Three deliveries through new-file jobs, the statistics equal to a rebuild after each."""
+    from test_sums import DELIVERIES, TABLES, statistics
+
+    from ludometry.operators.stats import user_map_stats, user_totals
+
+    lake = Lake(str(tmp_path / "lake"))
+    for k, lines in enumerate(DELIVERIES):
+        path = write_lines(f"{lake.root}/raw/{k}.jsonl", lines)
+        bronze.append_new_events(spark, read_events(spark, path), lake)
+        silver.run_silver(spark, lake)
+        assert carried.run_gold_of_new_files(spark, lake).count() == (2 if k < 2 else 3)
+        played, found = read_current(spark, lake.matches, MATCH), statistics(spark, lake)
+        assert found["user_map_stats"] == as_set(user_map_stats(played), *TABLES["user_map_stats"])
+        assert found["user_totals"] == as_set(user_totals(played), *TABLES["user_totals"])
