@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ludometry.llm import contamination, language, lines, pieces, simhash
-from ludometry.llm.base import table, written
+from ludometry.llm.base import scratch, table
 from ludometry.llm.queries import PIECES
+from ludometry.session import scratch_path
+from ludometry.sources.tables import discard
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,7 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn; a stage's own tables go when its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludometry.session import scratch_path
+from ludometry.sources.tables import discard
 
 # Rows up to which a written table of a few numbers a row is broadcast: 16 MB or so;
 # and characters that its texts may have.
@@ -33,15 +35,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Paths written within the blocks of ``scratch``, innermost last.
+_SCRATCH: list[list[str]] = []
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there."""
+    """The rows as a table in the shared folder: lineage ends there.
+
+    The table stays until the block of ``scratch`` around it, if there is one, ends.
+    """
     spark = rows.sparkSession
     bounded(spark)
     path = scratch_path(spark, label)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what operators wrote in it.
+
+    Results that read such tables must have been consumed, or written elsewhere,
+    by then.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            discard(spark, path)
+
+
 def few(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
     """A written table of narrow rows whose number and length were checked, to be broadcast if small.
 

@@ -31,6 +31,21 @@ def test_stages_take_effect(spark):
     assert decoded == {row.doc_id: row.text for row in clean.select("doc_id", "text").collect()}
 
 
+def test_run_leaves_the_last_stage_only(spark):
+    from ludometry.session import shared_folder
+    from ludometry.sources.tables import folder_names
+
+    before = set(folder_names(spark, shared_folder(spark)))
+    made = corpus_pipeline.run(spark, SF)
+    rows = made.count()
+    left = set(folder_names(spark, shared_folder(spark))) - before
+    assert len(left) == 1 and left.pop().startswith("benchmark-")
+    docs = table(spark, SF, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), "again")
+    assert rows == docs.count() and made.columns == docs.columns
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entries
 
