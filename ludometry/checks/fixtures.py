@@ -1,6 +1,6 @@
 """Game telemetry derived from the driver's tables.
 
-The given ``events`` become game events and ``region`` the maps. Every event
+The given ``events`` become game events, ``region`` the maps and ``nation`` the countries. Every event
 row is used. Field ``k`` of ``props`` decides the details, among them which raw
 lines are damaged and how.
 """
@@ -8,6 +8,7 @@ lines are damaged and how.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENTS = T.StructType(
@@ -24,6 +25,10 @@ REGION = T.StructType(
     [T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]
 )
 
+NATION = T.StructType(
+    [T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType())]
+)
+
 # A signup of some value registers its player; some players never do.
 GAME_TYPE = """
 CASE WHEN event_type = 'signup' AND value >= 80 THEN 'registration'
@@ -43,8 +48,7 @@ DETAILS = {
     "timestamp": "seconds",
     "event_type": "game_type",
     "user_id": "CAST(user_id AS STRING)",
-    "country": """CASE WHEN game_type = 'registration' AND k >= 10 AND user_id % 26 < 25
-                       THEN concat('NATION_', user_id % 26) END""",
+    "country": "CASE WHEN game_type = 'registration' AND k >= 10 THEN n_name END",
     "device_os": """CASE WHEN game_type = 'registration'
                          THEN CASE k % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END
                     END""",
@@ -79,14 +83,17 @@ RAW_DATA = f"""struct({RAW_PROFILE}, upper(session_state) AS state,
 def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned fields that each type of event carries, and k."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-    return events.selectExpr(
+    nations = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet")
+    kinds = events.selectExpr(
         "event_id",
         f"{SECONDS} AS seconds",
         f"{GAME_TYPE} AS game_type",
         "user_id",
         "value",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
-    ).selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
+    )
+    lives_in = F.col("user_id") % 26 == F.col("n_nationkey")
+    return kinds.join(nations, lives_in, "left").selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
 
 
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
