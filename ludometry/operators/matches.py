@@ -25,7 +25,9 @@ def _with_ordinal(rows: DataFrame, keys: list[str], total: RunningTotal) -> Data
     return total(rows, keys, EVENT_ORDER, F.lit(1), "match_number")
 
 
-def match_starts(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_starts(
+    events: DataFrame, hot_rows: int = HOT_ROWS, hot: list[tuple] | None = None
+) -> DataFrame:
     """Starts with session number and ordinal.
 
     Only session openings move the session number, so the window needs those
@@ -41,18 +43,20 @@ def match_starts(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     def number(rows: DataFrame, total: RunningTotal) -> DataFrame:
         return _with_ordinal(_with_session(rows, total).filter(is_start), GROUP, total)
 
-    return per_key(needed, ["user_id"], number, hot_rows).select(
+    return per_key(needed, ["user_id"], number, hot_rows, hot).select(
         *GROUP, "session_number", F.col("timestamp").alias("start_timestamp"), "match_number"
     )
 
 
-def match_finishes(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_finishes(
+    events: DataFrame, hot_rows: int = HOT_ROWS, hot: list[tuple] | None = None
+) -> DataFrame:
     """Finishes with outcome and ordinal."""
     needed = events.filter(F.col("event_type") == MATCH_FINISH).select(
         *GROUP, *EVENT_ORDER, "outcome"
     )
     return per_key(
-        needed, ["user_id"], lambda rows, total: _with_ordinal(rows, GROUP, total), hot_rows
+        needed, ["user_id"], lambda rows, total: _with_ordinal(rows, GROUP, total), hot_rows, hot
     ).select(*GROUP, "outcome", F.col("timestamp").alias("finish_timestamp"), "match_number")
 
 

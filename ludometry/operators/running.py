@@ -89,14 +89,18 @@ def per_key(
     keys: Sequence[str],
     apply: Callable[[DataFrame, RunningTotal], DataFrame],
     hot_rows: int = HOT_ROWS,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Run ``apply`` with the plain running total, and with a safe one on hot keys.
 
+    ``hot``, where the caller knows them, are the keys as ``hot_keys`` gives them;
+    nothing is counted then. They choose the plan and not the numbers.
+
     The safe one slices the hot keys themselves; totals over finer keys, which
     may be hot or not, are decided by a count of their own. A slice holds about
     as many rows as the largest key that is not hot.
     """
-    hot = hot_keys(rows, keys, hot_rows)
+    hot = hot_keys(rows, keys, hot_rows) if hot is None else hot
     if not hot:
         return apply(rows, running_total)
     slices = 1 + sum(found[-1] for found in hot) // hot_rows

@@ -24,7 +24,9 @@ def opens_session() -> Column:
     return F.when(ping & started, 1).otherwise(0)
 
 
-def event_sessions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def event_sessions(
+    events: DataFrame, hot_rows: int = HOT_ROWS, hot: list[tuple] | None = None
+) -> DataFrame:
     """Every event with its start flag and the running number of its session.
 
     Events before a player's first start belong to session 0.
@@ -37,4 +39,5 @@ def event_sessions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             rows, ["user_id"], EVENT_ORDER, F.col("new_session"), "session_number"
         ),
         hot_rows,
+        hot,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from contextlib import ExitStack
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ludometry.operators.increment import BROADCAST_KEYS, fits, upsert, watermark
 from ludometry.operators.mart import mart_rows, most_played_first
 from ludometry.operators.matches import matches
-from ludometry.operators.running import HOT_ROWS
+from ludometry.operators.running import HOT_ROWS, hot_keys
 from ludometry.operators.sessions import MATCH_FINISH
 from ludometry.operators.stats import favorite_maps, registrations
 from ludometry.plans import sums
@@ -28,7 +29,7 @@ from ludometry.sinks.versions import (
     read_current,
     replace_buckets,
 )
-from ludometry.sources.tables import read_or_empty, stage_events, stage_maps
+from ludometry.sources.tables import read_or_empty, read_text, stage_events, stage_maps, write_text
 
 
 def match_delta(events: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -139,6 +140,7 @@ def run_gold(
     sums and do not read it, see ``plans.sums``.
     """
     events = stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))
+    note_crowded_players(spark, lake, events, hot_rows)
 
     def update(changed: Callable[[DataFrame], None] | None) -> DataFrame:
         return update_matches(events, lake.matches, mode, hot_rows, changed=changed)
@@ -146,6 +148,23 @@ def run_gold(
     return write_statistics(spark, lake, update, rebuilt=mode == "full")
 
 
+def note_crowded_players(spark: SparkSession, lake: Lake, events: DataFrame, hot_rows: int) -> None:
+    """Note the players with over ``hot_rows`` events, so that views need not count them.
+
+    They are at most events / ``hot_rows``; they choose plans and not results, so the
+    note may be older than the events.
+    """
+    found = hot_keys(events, ["user_id"], hot_rows)
+    write_text(spark, lake.crowded_players, json.dumps({"hot_rows": hot_rows, "players": found}))
+
+
+def crowded_players(spark: SparkSession, lake: Lake, hot_rows: int) -> list[tuple] | None:
+    """The players noted, without a job; None if none were noted for this ``hot_rows``."""
+    text = read_text(spark, lake.crowded_players)
+    noted = json.loads(text) if text else {}
+    return [tuple(own) for own in noted["players"]] if noted.get("hot_rows") == hot_rows else None
+
+
 def write_statistics(
     spark: SparkSession,
     lake: Lake,

@@ -96,6 +96,10 @@ class Lake:
     def user_totals(self) -> str:
         return self._table("gold/int_user_totals")
 
+    @property
+    def crowded_players(self) -> str:
+        return self._table("gold/crowded_players.json")
+
     @property
     def player_stats(self) -> str:
         return self._table("gold/mart_player_stats")

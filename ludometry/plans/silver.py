@@ -29,6 +29,7 @@ from ludometry.plans.lake import Lake
 from ludometry.schemas import (
     BRONZE_EVENT,
     BRONZE_MAP,
+    ENRICHED_EVENT,
     QUARANTINED_EVENT,
     RAW_PAYLOAD,
     RECORD_KEY,
@@ -276,6 +277,6 @@ def write_enriched(spark: SparkSession, lake: Lake, dates: Sequence | None = Non
 def read_enriched(spark: SparkSession, lake: Lake) -> DataFrame:
     """The enriched events in their declared column order."""
     settle(spark, lake.enriched_events)
-    return spark.read.parquet(lake.enriched_events).select(
+    return spark.read.schema(ENRICHED_EVENT).parquet(lake.enriched_events).select(
         "map_id", *[name for name in SILVER_EVENT.fieldNames() if name != "map_id"], "map_name"
     )

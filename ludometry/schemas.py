@@ -99,6 +99,24 @@ LEDGER = _schema(
     _fields(STRING, "run"), _fields(INSTANT, "run_at"), _fields(STRING, "job layer"), _fields(FLAG, "replaced"), _fields(LONG, "row_count")
 )
 
+ENRICHED_EVENT = _schema(SILVER_EVENT.fields, _fields(STRING, "map_name"))
+USER_MAP_STATS = _schema(
+    _fields(STRING, "user_id map_id"), _fields(LONG, "map_matches map_wins"), _fields(DOUBLE, "map_win_ratio")
+)
+USER_TOTALS = _schema(
+    _fields(STRING, "user_id"),
+    _fields(LONG, "total_playtime total_wins total_matches total_sessions"),
+    _fields(DOUBLE, "total_win_ratio avg_matches_per_session"),
+)
+PLAYER_STATS = _schema(
+    _fields(STRING, "user_id username country fav_map"),
+    _fields(DOUBLE, "fav_map_win_ratio"),
+    _fields(LONG, "total_playtime"),
+    _fields(DOUBLE, "total_win_ratio avg_matches_per_session"),
+    _fields(DAY, "registration_date"),
+    _fields(STRING, "data_quality_status"),
+)
+
 # What a match update carries from one batch of events to the next, as rows that add up.
 CARRIED = _schema(
     _fields(STRING, "user_id map_id opponent_id kind"),

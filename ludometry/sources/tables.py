@@ -34,6 +34,26 @@ def touch(spark: SparkSession, path: str) -> None:
     files.create(file, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text that the driver knows, in the place of an earlier one."""
+    files, file = _file_system(spark, path)
+    stream = files.create(file, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text, read by the driver without a job; None where there is none."""
+    files, file = _file_system(spark, path)
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     """Files in a folder and those below it."""
     files, folder = _file_system(spark, path)

@@ -2,6 +2,8 @@ import pytest
 from rows import as_set, raw_line, write_lines
 
 from ludometry.__main__ import JOBS, parse, run
+from ludometry.operators.running import HOT_ROWS
+from ludometry.plans.gold import crowded_players, run_gold
 from ludometry.plans.lake import Lake
 from ludometry.plans.views import register_views
 
@@ -67,3 +69,25 @@ def test_views_before_any_job(spark, tmp_path):
     names = register_views(spark, Lake(str(tmp_path / "none")))
     assert len(names) == 11
     assert all(spark.table(name).count() == 0 for name in names)
+
+
+@pytest.mark.parametrize("hot_rows", [HOT_ROWS, 2])
+def test_all_views_are_registered_without_a_job_once_gold_has_run(spark, tmp_path, hot_rows):
+    lake = Lake(str(tmp_path / "lake"))
+    place = dict(map_id="m", opponent_id="o")
+    write_lines(lake.raw_events, [raw_line("1", 1, "match_start", **place), raw_line("2", 2, "match_finish", **place), raw_line("3", 3, "x")])
+    write_lines(lake.raw_maps, ['{"id": "m", "name": "Lake"}'])
+    run(spark, parse([lake.root, "bronze", "silver", "enrich"]))
+    run_gold(spark, lake, hot_rows=hot_rows)
+    assert crowded_players(spark, lake, hot_rows) == ([] if hot_rows == HOT_ROWS else [("u", 3)])
+    assert crowded_players(spark, lake, 5) is None
+    spark.sparkContext.setJobGroup(f"views {hot_rows}", "registration of all views")
+    try:
+        names = register_views(spark, lake, hot_rows)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"views {hot_rows}")
+        assert (len(jobs) == 0) == (hot_rows == HOT_ROWS)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(names) == 16
+    assert spark.table("int_match_starts").count() == spark.table("int_match_finishes").count() == 1
+    assert spark.table("int_events_sessions").count() == 3
