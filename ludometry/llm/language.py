@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludometry.llm.base import batches, slices, texts
-from ludometry.llm.words import LETTERS, WordTable, gram_buckets
+from ludometry.llm.words import WordTable, gram_buckets, letter_pattern
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -266,7 +266,7 @@ def _spans(model: Model, values: list[str | None]) -> tuple[list[list[dict]]]:
     for text, own in zip(values, ids, strict=True):
         spans: list[dict] = []
         if model.languages:
-            for found, label in zip(LETTERS.finditer(text or ""), labels[at : at + len(own)], strict=True):
+            for found, label in zip(letter_pattern(text or "").finditer(text or ""), labels[at : at + len(own)], strict=True):
                 lang = model.languages[label]
                 if spans and spans[-1]["lang"] == lang:
                     spans[-1]["end"] = found.end()
