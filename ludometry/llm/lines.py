@@ -28,6 +28,8 @@ from ludometry.llm.suffixes import with_own_ids
 # shares no band with probability 0.002, one at 0.85 with 0.0001.
 SHINGLE, BANDS, ROWS, LEAST = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
+# The bits of a key that tell its band.
+COLUMN = 15
 # Members of a bucket compared in one task.
 BLOCK = 2_000
 SLICE = 1 << 20
@@ -61,14 +63,10 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(hashes[inside]), owner[inside]
 
 
-def shingle_sets(lines: list[str]) -> list[np.ndarray]:
-    """The sorted distinct hashes of every line's shingles."""
+def shingles_of(lines: list[str]) -> list[np.ndarray]:
+    """The hashes of every line's shingles, repeated ones too."""
     hashes, owner = shingle_hashes(lines)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    fresh = np.ones(len(hashes), dtype=bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return np.split(hashes[fresh], np.cumsum(np.bincount(owner[fresh], minlength=len(lines)))[:-1])
+    return np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(lines)))[:-1])
 
 
 def signatures(lines: list[str]) -> np.ndarray:
@@ -95,12 +93,12 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 
 def band_keys(lines: list[str]) -> np.ndarray:
-    """Lines x BANDS: a hash of the band's number and rows."""
+    """Lines x BANDS: a hash of the band's number and rows, the number itself in the last bits."""
     parts = signatures(lines).reshape(len(lines), BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2]).copy()
     for k in range(ROWS):
         key = mix(key * np.uint64(0xD6E8FEB86659FD93) + parts[:, :, k])
-    return key.view(np.int64)
+    return (key & ~np.uint64(COLUMN) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def _lines(text: str) -> list[tuple[int, str]]:
@@ -149,16 +147,16 @@ def _buckets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Each member carries its place in the bucket; nothing but the last row is held.
     """
-    schema = pa.schema([("band", pa.int64()), ("column", pa.int32()), ("line_id", pa.int64()), ("place", pa.int64())])
-    band, column, line, place, held = None, None, None, 0, False
+    schema = pa.schema([(name, pa.int64()) for name in ("band", "line_id", "place")])
+    band, line, place, held = None, None, 0, False
     for batch in stream:
-        bands, columns, lines = (batch[c].to_numpy() for c in ("band", "column", "line_id"))
+        bands, lines = batch["band"].to_numpy(), batch["line_id"].to_numpy()
         if not len(bands):
             continue
         fresh = np.ones(len(bands), dtype=bool)
         fresh[1:] = (bands[1:] != bands[:-1]) | (lines[1:] != lines[:-1])
         fresh[0] = (bands[0], lines[0]) != (band, line)
-        bands, columns, lines = bands[fresh], columns[fresh], lines[fresh]
+        bands, lines = bands[fresh], lines[fresh]
         if not len(bands):
             continue
         starts = np.ones(len(bands), dtype=bool)
@@ -170,15 +168,22 @@ def _buckets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         followed = np.append(~starts[1:], False)
         out = (places > 0) | followed
         if held and places[0] > 0:
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((band, column, line, 0), schema, strict=True)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([band]), pa.array([line]), pa.array([0])], schema=schema)
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (bands, columns, lines, places)], schema=schema)
-        band, column, line, place = int(bands[-1]), int(columns[-1]), int(lines[-1]), int(places[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(bands[out]), pa.array(lines[out]), pa.array(places[out])], schema=schema)
+        band, line, place = int(bands[-1]), int(lines[-1]), int(places[-1])
         held = place == 0
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
 def linked_pairs(
-    ids: np.ndarray, blocks: np.ndarray, keys: np.ndarray, sets: list[np.ndarray], column: int, least: float
+    ids: list[int], blocks: list[int], keys: list[np.ndarray], shingles: list[np.ndarray], column: int, least: float
 ) -> list[tuple[int, int]]:
     """Links that join what is similar among the members of one task.
 
@@ -187,35 +192,45 @@ def linked_pairs(
     block are compared with each other if there is one block, else only with those
     of the other. Pairs that are joined already are passed over.
     """
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    order = np.argsort(sizes, kind="stable")
-    sizes, ids, blocks, keys = sizes[order], ids[order], blocks[order], keys[order]
-    flat, inverse = np.unique(np.concatenate([sets[k] for k in order.tolist()]), return_inverse=True)
+    if len(ids) == 2:  # most buckets
+        shared = keys[0] == keys[1]
+        if not shared[column] or shared[:column].any():
+            return []
+        both = len(_distinct(np.concatenate(shingles)))
+        common = len(_distinct(shingles[0])) + len(_distinct(shingles[1])) - both
+        return [(ids[1], ids[0])] if common >= least * both - 1e-9 else []
+    raw = np.fromiter(map(len, shingles), np.int64, len(shingles))
+    flat, inverse = np.unique(np.concatenate(shingles), return_inverse=True)
+    # The distinct shingles of every member, one member after another.
+    own = _distinct(np.repeat(np.arange(len(ids)), raw) * len(flat) + inverse)
+    member, elements = own // len(flat), own % len(flat)
+    sizes = np.bincount(member, minlength=len(ids))
     starts = np.cumsum(sizes) - sizes
-    marks = np.zeros(len(flat), dtype=bool)
-    label = np.arange(len(ids))
-    apart = blocks.min() != blocks.max()
-    links = []
+    order = np.argsort(sizes, kind="stable")
+    ordered, bands, block = sizes[order], np.stack(keys)[order], np.array(blocks)[order]
+    apart = block.min() != block.max()
+    marks, label, links = np.zeros(len(flat), dtype=bool), np.arange(len(ids)), []
     for x in range(1, len(ids)):
-        low = int(np.searchsorted(sizes, np.ceil(least * sizes[x] - 1e-9)))
+        low = int(np.searchsorted(ordered, np.ceil(least * ordered[x] - 1e-9)))
         open_ = label[low:x] != label[x]
         if apart:
-            open_ &= blocks[low:x] != blocks[x]
+            open_ &= block[low:x] != block[x]
         others = low + np.flatnonzero(open_)
         if not len(others):
             continue
-        shared = keys[others] == keys[x]
+        shared = bands[others] == bands[x]
         others = others[(shared.argmax(axis=1) == column) & shared[:, column]]
         if not len(others):
             continue
-        own = inverse[starts[x] : starts[x] + sizes[x]]
-        marks[own] = True
-        held = marks[inverse[ranges(starts[others], sizes[others])]].astype(np.int64)
-        marks[own] = False
-        common = np.add.reduceat(held, np.cumsum(sizes[others]) - sizes[others])
-        near = others[common >= least * (sizes[others] + sizes[x] - common) - 1e-9]
+        begin = starts[order[x]]
+        mine = elements[begin : begin + ordered[x]]
+        marks[mine] = True
+        held = marks[elements[ranges(starts[order[others]], ordered[others])]].astype(np.int64)
+        marks[mine] = False
+        common = np.add.reduceat(held, np.cumsum(ordered[others]) - ordered[others])
+        near = others[common >= least * (ordered[others] + ordered[x] - common) - 1e-9]
         for y in near[np.unique(label[near], return_index=True)[1]].tolist():
-            links.append((int(ids[x]), int(ids[y])))
+            links.append((ids[order[x]], ids[order[y]]))
             label[label == label[y]] = label[x]
     return links
 
@@ -230,14 +245,13 @@ def _verify(least: float):
         def made() -> Iterator[pa.RecordBatch]:
             if len(held) < 2:
                 return
-            ids, blocks, keys, sets = zip(*held, strict=True)
-            links = linked_pairs(np.array(ids), np.array(blocks), np.array(keys), sets, column, least)
+            links = linked_pairs(*map(list, zip(*held, strict=True)), column, least)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], schema=schema)
 
         for batch in stream:
             for part in slices(batch, "text", SLICE):
-                sets = shingle_sets(part["text"].to_pylist())
+                sets = shingles_of(part["text"].to_pylist())
                 keys = part["bands"].flatten().to_numpy().reshape(-1, BANDS)
                 rows = zip(*(part[c].to_pylist() for c in ("band", "task", "column", "block", "line_id")), strict=True)
                 for k, (band, task, own, block, line_id) in enumerate(rows):
@@ -286,18 +300,18 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def similar_lines(docs: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
     """(node, component) of the lines of ``found`` (occurrences) that are joined to others."""
-    entries = found.filter("bands IS NOT NULL AND size(bands) > 0").select("line_id", F.posexplode("bands").alias("column", "band"))
-    dealt = entries.select("band", "column", "line_id").repartition("band").sortWithinPartitions("band", "line_id")
-    members = written(dealt.mapInArrow(_buckets, "band long, column int, line_id long, place long"), "buckets")
+    entries = found.filter("bands IS NOT NULL AND size(bands) > 0").select("line_id", F.explode("bands").alias("band"))
+    dealt = entries.repartition("band").sortWithinPartitions("band", "line_id")
+    members = written(dealt.mapInArrow(_buckets, "band long, line_id long, place long"), "buckets")
     # Buckets of the same members are one: near copies share most of their bands. The first
     # column stands for them, as a pair is compared in the first bucket that it shares.
     same = members.groupBy("band").agg(
-        F.min("column").alias("column"),
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("line_id")).alias("x"), F.bit_xor(F.xxhash64("line_id", F.lit(1))).alias("y")
     )
-    kept = same.groupBy("n", "x", "y").agg(F.min(F.struct("column", "band")).alias("kept")).select("kept.band", "kept.column", "n")
+    kept = same.withColumn("column", F.col("band").bitwiseAND(F.lit(COLUMN)).cast("int"))
+    kept = kept.groupBy("n", "x", "y").agg(F.min(F.struct("column", "band")).alias("kept")).select("kept.band", "kept.column", "n")
     tasks = written(
-        members.drop("column").join(kept, "band").select(
+        members.join(kept, "band").select(
             "band", "column", "n", "line_id", "place", F.floor(F.col("place") / BLOCK).alias("block"), F.ceil(F.col("n") / BLOCK).alias("blocks")
         ),
         "tasks",
