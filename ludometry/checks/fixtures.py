@@ -92,8 +92,11 @@ def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    lives_in = F.col("user_id") % 26 == F.col("n_nationkey")
-    return kinds.join(nations, lives_in, "left").selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
+    # The few names as one map, which is not even read where no country is asked for.
+    entry = F.struct(F.col("n_nationkey").cast("long"), "n_name")
+    names = nations.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    named = kinds.withColumn("n_name", F.try_element_at(names, F.col("user_id") % 26))
+    return named.selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
 
 
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
