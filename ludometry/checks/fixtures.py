@@ -92,10 +92,8 @@ def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    # The few names as one map, which is not even read where no country is asked for.
-    entry = F.struct(F.col("n_nationkey").cast("long"), "n_name")
-    names = nations.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-    named = kinds.withColumn("n_name", F.try_element_at(names, F.col("user_id") % 26))
+    names = [F.lit(x) for row in nations.collect() for x in (row.n_nationkey, row.n_name)]  # 25 rows
+    named = kinds.withColumn("n_name", F.try_element_at(F.create_map(*names), (F.col("user_id") % 26).cast("int")))
     return named.selectExpr(*[f"{how} AS {name}" for name, how in DETAILS.items()], "k")
 
 
