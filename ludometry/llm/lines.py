@@ -33,8 +33,12 @@ COLUMN = 15
 # Members of a bucket compared in one task.
 BLOCK = 2_000
 SLICE = 1 << 20
+# Characters that are hashed at a time.
+CACHED = 1 << 16
 OCCURRENCE = "line_id long, check long, doc_id long, line int, bands array<long>"
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+# The hashes of the first code points, which most lines keep to.
+_LOW = mix(np.arange(1, 0x2101, dtype=np.uint64))
 
 
 def shingle_set(line: str) -> set[str]:
@@ -52,21 +56,27 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
-    hashes = mix(codes.astype(np.uint64) + np.uint64(1))
+    hashes = _LOW[codes] if len(codes) and codes.max() < len(_LOW) else mix(codes.astype(np.uint64) + np.uint64(1))
     reach = 1
     while reach < SHINGLE:  # of twice as many characters at each step
-        hashes = hashes[:-reach] * np.uint64(0x9E3779B97F4A7C15 + 2 * reach) + hashes[reach:]
+        following = hashes[reach:]
+        hashes = hashes[:-reach] * np.uint64(0x9E3779B97F4A7C15 + 2 * reach)
+        hashes += following
         reach *= 2
-    owner = np.repeat(np.arange(len(lines)), sizes)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    inside = np.flatnonzero(nth <= sizes[owner] - SHINGLE)
-    return mix(hashes[inside]), owner[inside]
+    inside = np.ones(len(hashes), dtype=bool)  # the shingles that end in their line
+    ends = np.cumsum(sizes)[:-1]
+    for k in range(1, SHINGLE):
+        inside[ends - k] = False
+    return mix(hashes[inside]), np.repeat(np.arange(len(lines)), sizes - SHINGLE + 1)
 
 
 def shingles_of(lines: list[str]) -> list[np.ndarray]:
     """The hashes of every line's shingles, repeated ones too."""
-    hashes, owner = shingle_hashes(lines)
-    return np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(lines)))[:-1])
+    out: list[np.ndarray] = []
+    for block in _blocks(lines):
+        hashes, owner = shingle_hashes(block)
+        out.extend(np.split(hashes, np.cumsum(np.bincount(owner, minlength=len(block)))[:-1]))
+    return out
 
 
 def signatures(lines: list[str]) -> np.ndarray:
@@ -92,8 +102,25 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
+def _blocks(lines: list[str]) -> Iterator[list[str]]:
+    """Lines in blocks whose arrays fit into the nearer caches."""
+    start, held = 0, 0
+    for k, line in enumerate(lines):
+        if held > CACHED:
+            yield lines[start:k]
+            start, held = k, 0
+        held += len(line)
+    if lines:
+        yield lines[start:]
+
+
 def band_keys(lines: list[str]) -> np.ndarray:
     """Lines x BANDS: a hash of the band's number and rows, the number itself in the last bits."""
+    made = [_band_keys(block) for block in _blocks(lines)]
+    return np.concatenate(made) if made else np.zeros((0, BANDS), np.int64)
+
+
+def _band_keys(lines: list[str]) -> np.ndarray:
     parts = signatures(lines).reshape(len(lines), BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2]).copy()
     for k in range(ROWS):

@@ -26,11 +26,16 @@ def _powers(inverse: bool = False) -> np.ndarray:
 
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits, so that any of them may choose a partition or a minimum."""
-    values = values ^ (values >> np.uint64(32))
-    values = values * np.uint64(0xD6E8FEB86659FD93)
-    values ^= values >> np.uint64(32)
-    values *= np.uint64(0xD6E8FEB86659FD93)
-    return values ^ (values >> np.uint64(32))
+    half, factor = np.uint64(32), np.uint64(0xD6E8FEB86659FD93)
+    moved = values >> half
+    out = values ^ moved
+    out *= factor
+    np.right_shift(out, half, out=moved)
+    out ^= moved
+    out *= factor
+    np.right_shift(out, half, out=moved)
+    out ^= moved
+    return out
 
 
 def prefix_hashes(data: np.ndarray, code: int = 0) -> np.ndarray:
