@@ -44,8 +44,7 @@ class Settings:
 def _distances(vectors: np.ndarray, nodes: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Squared distances of each target to its row of nodes.
 
-    By differences and not by norms, which cancel where vectors are close, and in
-    double precision, so that a few vectors far from the rest spoil nothing.
+    By differences and not by norms, which cancel where vectors are close.
     """
     apart = vectors[nodes]
     apart -= targets[:, None, :]
@@ -284,7 +283,7 @@ def build_index(rows: DataFrame, settings: Settings = Settings(), copies: int =
                 ids[node].append(None if vec_id is None else int(vec_id))
                 rows_[node].append(row)
         vectors = exact[first]
-        neighbours, entry = build_graph(_scaled(vectors), settings)
+        neighbours, entry = build_graph(_narrow(_scaled(vectors)), settings)
         return pd.DataFrame(
             {
                 "shard": part["shard"].iloc[0],
@@ -306,6 +305,11 @@ def _scaled(vectors: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
     return vectors / np.median(np.abs(vectors if by is None else by).max(axis=1))
 
 
+def _narrow(vectors: np.ndarray) -> np.ndarray:
+    """In single precision, unless some vectors lie so far from the rest that their squares would overflow."""
+    return vectors.astype(np.float32) if np.abs(vectors).max() < 1e15 else vectors
+
+
 class _Shard:
     """One shard, held while the queries that are dealt to it stream past."""
 
@@ -322,12 +326,15 @@ class _Shard:
         for k, r in enumerate(rows):
             self.neighbours[k, : len(r["neighbours"])] = r["neighbours"]
         self.scaled = _scaled(self.exact)
+        self.narrow = _narrow(self.scaled)
 
     def met(self, queries: np.ndarray) -> np.ndarray:
         """The nodes that each query meets, -1 for none; all of them where a beam holds them."""
         if len(self.exact) <= self.beam:
             return np.tile(np.arange(len(self.exact)), (len(queries), 1))
-        return beam_search(self.scaled, self.neighbours, self.entry, _scaled(queries, self.exact), self.beam)[0]
+        wanted = _narrow(_scaled(queries, self.exact))
+        held = self.narrow if wanted.dtype == np.float32 else self.scaled
+        return beam_search(held, self.neighbours, self.entry, wanted, self.beam)[0]
 
     def found(self, queries: list[tuple[int, int | None, list[float]]]) -> Iterator[tuple]:
         """Rows of FOUND for some queries (row, id, vector)."""
