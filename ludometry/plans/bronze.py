@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ludometry.operators.increment import in_dates, new_rows, without
 from ludometry.operators.normalize import with_event_time
 from ludometry.plans.lake import Lake
 from ludometry.schemas import BRONZE_EVENT, RAW_PAYLOAD
+from ludometry.session import together
 from ludometry.sinks.keys import add_keys, changing, known_among, outdate, stored_keys
 from ludometry.sinks.tables import append_partitioned, landed, overwrite
 from ludometry.sources.jsonlines import read_events, read_maps
@@ -52,12 +54,18 @@ def append_new_events(
     if stored is None:
         return append_partitioned(batch, lake.bronze_events, "event_date")
     # Parsed once and with all fields; the corrupt flags depend on it.
-    with landed(batch.withColumn("key", content_key("id", RAW_PAYLOAD)), "bronze-landing") as rows:
+    landing = landed(batch.withColumn("key", content_key("id", RAW_PAYLOAD)), "bronze-landing")
+    with ExitStack() as scratch:
         if dates is not None:
+            rows = scratch.enter_context(landing)
             outdate(spark, lake.bronze_keys)
             fresh = new_rows(rows, _stored_keys(in_dates(stored, dates)), "key", rows.count())
             return append_partitioned(fresh.drop("key"), lake.bronze_events, "event_date")
-        history = stored_keys(spark, lake.bronze_keys, lambda: _stored_keys(stored))
+        rows, history = together(
+            spark,
+            lambda: scratch.enter_context(landing),
+            lambda: stored_keys(spark, lake.bronze_keys, lambda: _stored_keys(stored)),
+        )
         with landed(known_among(rows, history), "bronze-known") as known:
             with changing(spark, lake.bronze_keys):
                 fresh = without(rows, known, "key").drop("key")

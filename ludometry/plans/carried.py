@@ -10,14 +10,16 @@ A player whose batch holds an event before the last one seen is looked up in the
 history instead, as late events shift all ordinals after them. Either way a match is
 added if it finishes after the last stored one, as in ``gold.update_matches``.
 
-Matches are written first, then the counters, then a note to which state of the
-match table and to which batch they belong. A batch that is replayed is known by
+Matches are written first, or at the same time where both are made from the history,
+then the counters, then a note to which state of the match table and to which batch
+they belong. A batch that is replayed is known by
 its number; if the note fits nothing, the counters are made anew from the history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +29,10 @@ from ludometry.operators.increment import watermark as largest
 from ludometry.operators.matches import GROUP, matches
 from ludometry.operators.running import HOT_ROWS, RunningTotal, per_key
 from ludometry.operators.sessions import EVENT_ORDER, MATCH_FINISH, MATCH_START, opens_session
-from ludometry.plans.gold import _merge, match_delta, update_matches, write_statistics
+from ludometry.plans.gold import match_delta, merge_landed, update_matches, write_statistics
 from ludometry.plans.lake import Lake
 from ludometry.schemas import CARRIED, MATCH, MATCH_KEY, SILVER_EVENT
+from ludometry.session import together
 from ludometry.sinks.tables import landed
 from ludometry.sinks.versions import change_count, extend, prune, publish, read_current, state
 from ludometry.sources.tables import discard, folder_names, read_or_empty, stage_events, touch
@@ -178,11 +181,15 @@ def apply_batch(
         return  # replayed, and done before
     if stored is None or noted is None or noted.rpartition(".")[0] != now:
         every = history()
-        update_matches(every, lake.matches, "full" if stored is None else "watermark", hot_rows, changed=changed)
-        _publish(_since_the_beginning(every, hot_rows), lake)
+        with ExitStack() as scratch:
+            together(
+                spark,
+                lambda: update_matches(every, lake.matches, "full" if stored is None else "watermark", hot_rows, changed=changed),
+                lambda: _publish(_since_the_beginning(every, hot_rows, scratch), lake),
+            )
         _write_note(spark, lake, number)
         return
-    with landed(_relevant(batch), "batch") as events, landed(events.select("user_id").distinct(), "players") as players:
+    with ExitStack() as scratch, landed(_relevant(batch), "batch") as events, landed(events.select("user_id").distinct(), "players") as players:
         # What the batch's players bring along; nothing is shuffled but their rows.
         mine = players.withColumnRenamed("user_id", "_player")
         carried = read_current(spark, lake.carried, CARRIED)
@@ -191,10 +198,14 @@ def apply_batch(
             first = events.groupBy("user_id").agg(F.min(F.struct(F.col("timestamp").alias("at"), "event_id")).alias("_first"))
             late = first.join(latest, "user_id").filter("_first <= _latest").select(F.col("user_id").alias("key"))
             with landed(late, "late") as late_players:
-                delta, change = _apply(events, before, late_players, stored, history, hot_rows)
-                with landed(change, "carried-change") as counted:
-                    _merge(delta, stored, lake.matches, changed)
-                    extend(counted, lake.carried)
+                delta, change = _apply(events, before, late_players, stored, history, hot_rows, scratch)
+                played, counted = together(
+                    spark,
+                    lambda: scratch.enter_context(landed(delta, "match-delta")),
+                    lambda: scratch.enter_context(landed(change, "carried-change")),
+                )
+                merge_landed(played, stored, lake.matches, changed)
+                extend(counted, lake.carried)
     if change_count(spark, lake.carried) >= MOST_CHANGES:
         _publish(added_up(read_current(spark, lake.carried, CARRIED)), lake)
     _write_note(spark, lake, number)
@@ -207,25 +218,32 @@ def _apply(
     stored: DataFrame,
     history: Callable[[], DataFrame],
     hot_rows: int,
+    scratch: ExitStack,
 ) -> tuple[DataFrame, DataFrame]:
     """The matches that relevant events add, and the CARRIED rows; late players' ones from the history."""
     last = largest(stored, "finish_timestamp").first().watermark
     steady, known = without(events, late, "user_id"), without(before, late, "user_id")
-    sides = _sides(steady, known, hot_rows)
+    sides = _pinned(_sides(steady, known, hot_rows).drop("event_id"), "sides", scratch)
     delta, change = _continued(sides, known, last), _change(steady, sides, known)
     if late.isEmpty():
         return delta, change
     names = late.select(F.col("key").alias("user_id"))
     past = history().join(names, "user_id", "left_semi")
-    change = change.unionByName(_since_the_beginning(past, hot_rows)).unionByName(
+    change = change.unionByName(_since_the_beginning(past, hot_rows, scratch)).unionByName(
         _negative(before.join(names, "user_id", "left_semi"))
     )
     return delta.unionByName(match_delta(past, stored, hot_rows)), change
 
 
-def _since_the_beginning(events: DataFrame, hot_rows: int) -> DataFrame:
-    own = _relevant(events)
-    return _change(own, _sides(own, None, hot_rows), None)
+def _pinned(rows: DataFrame, label: str, scratch: ExitStack | None) -> DataFrame:
+    """The rows as a table until ``scratch`` is left: counts, open starts and matches all read
+    them, and each would number the sides anew. Without ``scratch`` they stay as they are."""
+    return rows if scratch is None else scratch.enter_context(landed(rows, label))
+
+
+def _since_the_beginning(events: DataFrame, hot_rows: int, scratch: ExitStack | None = None) -> DataFrame:
+    own = _pinned(_relevant(events), "relevant", scratch)
+    return _change(own, _pinned(_sides(own, None, hot_rows).drop("event_id"), "sides", scratch), None)
 
 
 def _publish(carried: DataFrame, lake: Lake) -> None:

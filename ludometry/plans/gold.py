@@ -18,6 +18,7 @@ from ludometry.operators.stats import favorite_maps, registrations
 from ludometry.plans import sums
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MATCH, MATCH_KEY, SILVER_EVENT, SILVER_MAP
+from ludometry.session import together
 from ludometry.sinks.tables import landed, overwrite
 from ludometry.sinks.versions import (
     bucket_count,
@@ -106,9 +107,16 @@ def _merge(
     Only the buckets that the delta lies in are looked into. Of those the ones
     with rows to replace are written anew, and the rest of the delta is added beside them.
     """
-    spark = delta.sparkSession
+    with landed(delta, "match-delta") as rows:
+        merge_landed(rows, stored, path, changed)
+
+
+def merge_landed(
+    rows: DataFrame, stored: DataFrame, path: str, changed: Callable[[DataFrame], None] | None = None
+) -> None:
+    """The same with a delta that is a table already."""
+    spark = rows.sparkSession
     with ExitStack() as scratch:
-        rows = scratch.enter_context(landed(delta, "match-delta"))
         count = bucket_count(spark, path)
         near, bucket = stored, None
         if count:  # neither an empty table nor one of an older layout
@@ -182,8 +190,11 @@ def write_statistics(
         sums.note_state(spark, lake)
     else:
         sums.rebuild(spark, lake, played)
-    overwrite(sums.user_map_stats(spark, lake), lake.user_map_stats)
-    overwrite(sums.user_totals(spark, lake), lake.user_totals)
+    together(
+        spark,
+        lambda: overwrite(sums.user_map_stats(spark, lake), lake.user_map_stats),
+        lambda: overwrite(sums.user_totals(spark, lake), lake.user_totals),
+    )
     events = stage_events(read_or_empty(spark, lake.silver_events, SILVER_EVENT))
     maps = stage_maps(read_or_empty(spark, lake.silver_maps, SILVER_MAP))
     favorites = favorite_maps(spark.read.parquet(lake.user_map_stats), maps)

@@ -36,7 +36,7 @@ from ludometry.schemas import (
     SILVER_EVENT,
     SILVER_MAP,
 )
-from ludometry.session import ensure_checkpoints
+from ludometry.session import ensure_checkpoints, together
 from ludometry.sinks.keys import add_keys, changing, known_among, outdate, stored_keys
 from ludometry.sinks.tables import append_partitioned, landed, overwrite, overwrite_partitions
 from ludometry.sources.tables import read_or_empty, read_table, settle
@@ -192,15 +192,18 @@ def append_refined(
     quarantined = read_table(spark, lake.quarantined_events, QUARANTINED_EVENT)
     with ExitStack() as scratch:
         # Refined once; the look-ups and both writes read what they need of it.
-        refined = scratch.enter_context(landed(refine_records(rows, at), "refined"))
+        refined, ids, records = together(
+            spark,
+            lambda: scratch.enter_context(landed(refine_records(rows, at), "refined")),
+            lambda: None if silver is None else stored_keys(spark, lake.silver_keys, lambda: _keys(silver, "event_id")),
+            lambda: None if quarantined is None else stored_keys(spark, lake.quarantine_keys, lambda: _keys(quarantined, RECORD_KEY)),
+        )
         if silver is not None:
-            history = stored_keys(spark, lake.silver_keys, lambda: _keys(silver, "event_id"))
-            done = scratch.enter_context(landed(known_among(_keys(refined, "event_id"), history), "done"))
+            done = scratch.enter_context(landed(known_among(_keys(refined, "event_id"), ids), "done"))
             refined = without(refined, done, "event_id")
         rejected = split(refined)[1]
         if quarantined is not None:
-            history = stored_keys(spark, lake.quarantine_keys, lambda: _keys(quarantined, RECORD_KEY))
-            held = scratch.enter_context(landed(known_among(_keys(rejected, RECORD_KEY), history), "held"))
+            held = scratch.enter_context(landed(known_among(_keys(rejected, RECORD_KEY), records), "held"))
             rejected = without(rejected, held, RECORD_KEY)
         valid = split(refined)[0]
         return {

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ludometry.operators.stats import added_up, map_sums, session_sums, user_map_stats_of, user_totals_of
 from ludometry.plans.lake import Lake
 from ludometry.schemas import MAP_SUMS, SESSION_SUMS
+from ludometry.session import together
 from ludometry.sinks.versions import change_count, extend, prune, publish, read_current, state
 from ludometry.sources.tables import discard, folder_names, touch
 
@@ -47,8 +48,11 @@ def note_state(spark: SparkSession, lake: Lake) -> None:
 
 def rebuild(spark: SparkSession, lake: Lake, matches: DataFrame) -> None:
     """The sums of all matches, as new versions."""
-    publish(map_sums(matches), lake.map_sums)
-    publish(session_sums(matches), lake.session_sums)
+    together(
+        spark,
+        lambda: publish(map_sums(matches), lake.map_sums),
+        lambda: publish(session_sums(matches), lake.session_sums),
+    )
     for path in (lake.map_sums, lake.session_sums):
         prune(spark, path)
     note_state(spark, lake)
@@ -57,8 +61,11 @@ def rebuild(spark: SparkSession, lake: Lake, matches: DataFrame) -> None:
 def add(lake: Lake, signed: DataFrame) -> None:
     """Add the sums of matches with a ``sign``: 1 for those that came, -1 for those that went."""
     spark = signed.sparkSession
-    extend(map_sums(signed, "sign"), lake.map_sums)
-    extend(session_sums(signed, "sign"), lake.session_sums)
+    together(
+        spark,
+        lambda: extend(map_sums(signed, "sign"), lake.map_sums),
+        lambda: extend(session_sums(signed, "sign"), lake.session_sums),
+    )
     if change_count(spark, lake.session_sums) >= MOST_CHANGES:
         publish(_map_sums(spark, lake), lake.map_sums)
         publish(_session_sums(spark, lake), lake.session_sums)
