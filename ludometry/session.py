@@ -4,11 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -58,13 +54,3 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
-
-
-def together(spark: SparkSession, *jobs: Callable[[], Any]) -> list:
-    """Run jobs that do not wait for each other at the same time; returns their results in order.
-
-    All of them have ended when this returns; of several that fail, the first raises.
-    """
-    with ThreadPoolExecutor(len(jobs)) as threads:
-        running = [threads.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-    return [own.result() for own in running]
